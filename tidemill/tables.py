@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.sources.streams import file_stream
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -28,6 +30,12 @@ SCHEMAS = {
 }
 
 
+def stream_glob(path: str) -> str:
+    """A pattern that matches only ``path``: a file stream takes a folder or a pattern,
+    and a table may be one file or a folder of files."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 class Tables:
     """``tables.events`` reads ``<root>/events.parquet`` with its declared schema."""
 
@@ -38,6 +46,12 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
+    def stream(self, name: str, **options) -> DataFrame:
+        """The table as a stream of its files."""
+        return file_stream(
+            self.spark, "parquet", stream_glob(self.path(name)), SCHEMAS[name], **options
+        )
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
