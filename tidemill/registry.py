@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.session import size_shuffles
 from tidemill.tables import Tables
 
 MODULES = (
@@ -34,6 +35,7 @@ class Query:
     oracle: str | None
 
     def __call__(self, spark: SparkSession, root: str) -> DataFrame:
+        size_shuffles(spark)
         return self.build(Tables(spark, root))
 
 

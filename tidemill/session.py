@@ -41,6 +41,20 @@ def build_session(
     return builder.getOrCreate()
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession) -> None:
+    """On a cluster start shuffles with three partitions per core, unless the session says
+    more; AQE merges those that stay small. A local session is left as it is."""
+    context = spark.sparkContext
+    if context.master.startswith("local") or spark.conf.get(INITIAL_PARTITIONS, None):
+        return
+    wanted = 3 * context.defaultParallelism
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
