@@ -19,7 +19,7 @@ def words(df: DataFrame, text: str, keep: list[str] = (), separator: str = r"\s+
 
 def cell_items(column: str | Column, separator: str = ",") -> Column:
     """A delimited cell as an array of trimmed items."""
-    return F.transform(F.split(column, separator), F.trim)
+    return F.transform(F.split(column, separator), lambda item: F.trim(item))
 
 
 def quoted_field(column: str | Column, index: int) -> Column:

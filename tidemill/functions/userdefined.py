@@ -9,16 +9,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf, pandas_udf, udtf
 
 
-@arrow_udf("string")
+@arrow_udf(T.StringType())
 def first_two(text: pa.Array) -> pa.Array:
     """The first two characters."""
     return pc.utf8_slice_codeunits(text, 0, 2)
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def level_name(score: pd.Series) -> pd.Series:
     """Level of a score; the same ranges as ``plans.points.LEVELS``."""
     from tidemill.plans.points import LEVELS, TOP_LEVEL
@@ -28,7 +29,7 @@ def level_name(score: pd.Series) -> pd.Series:
     return pd.cut(score, edges, right=False, labels=names).astype("object")
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def growth_of(period: pd.Series, amount: pd.Series) -> float:
     """(later - earlier) / earlier for two periods, as a grouped aggregate.
 
@@ -49,7 +50,11 @@ def growth(period: str | Column, amount: str | Column, earlier, later) -> Column
     return F.try_divide(after - before, before)
 
 
-@udtf(returnType="word: string, cnt: int")
+@udtf(
+    returnType=T.StructType(
+        [T.StructField("word", T.StringType()), T.StructField("cnt", T.IntegerType())]
+    )
+)
 class WordsOfCell:
     """Words of one ``|``-joined cell with their counts in that cell."""
 

@@ -37,6 +37,10 @@ def _sort(name: str) -> Column:
     return F.col(name[1:]).desc() if name.startswith("-") else F.col(name).asc()
 
 
+def whole_div(column: Column, size: int) -> Column:
+    return F.call_function("div", column, F.lit(size))
+
+
 class OrderedKeys:
     """``order`` names the sort columns, ``-name`` for descending. Methods that count
     rows (``position``, ``running``, ``framed``) need it to be unique within a key."""
@@ -136,7 +140,7 @@ class OrderedKeys:
         size = max(self.rows_per_task, reach + 1)
 
         def slice_of(shift: int) -> Column:
-            return F.floor((F.col(POSITION) - 1 + shift) / F.lit(size))
+            return whole_div(F.col(POSITION) - 1 + shift, size)
 
         spread = (
             self.position(POSITION)
@@ -217,7 +221,7 @@ def collect_chunks(
     several, so no array outgrows a task and no value is left out.
     """
     numbered = OrderedKeys(df, keys, order, rows_per_task).position(POSITION)
-    chunk = F.floor((F.col(POSITION) - 1) / F.lit(chunk_rows)).cast("bigint")
+    chunk = whole_div(F.col(POSITION) - 1, chunk_rows)
     items = F.sort_array(F.collect_list(F.struct(POSITION, F.col(value).alias("v"))))
     return (
         numbered.withColumn("chunk", chunk)
