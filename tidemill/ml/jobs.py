@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 
 from tidemill.ml.features import FEATURES
 
+# fixed values: the numbers of clusters of an elbow scan
+ELBOW_KS = [2, 3, 4, 5, 6, 7, 10, 15, 20, 25, 30, 45, 50, 55, 60, 80, 90, 100]
+
 
 @contextmanager
 def held(df: DataFrame):
@@ -102,8 +105,8 @@ def kmeans(points: DataFrame, k: int = 3, iterations: int = 1000, seed: int = 1)
 
 def elbow(
     points: DataFrame,
-    ks: Iterable[int],
-    iterations: int = 20,
+    ks: Iterable[int] = ELBOW_KS,
+    iterations: int = 1000,
     seed: int = 1,
     parallelism: int = 8,
 ) -> DataFrame:

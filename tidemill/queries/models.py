@@ -126,7 +126,7 @@ def ml_kmeans(t):
 
 @query("ml_elbow")
 def ml_elbow(t):
-    return jobs.elbow(vectors(t), range(2, 20))
+    return jobs.elbow(vectors(t))
 
 
 @query("ml_gmm")
