@@ -7,6 +7,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import functions as F
 
 from tidemill.ml import features, jobs
+from tidemill.operators.aggregates import observed
 
 
 @pytest.fixture(scope="module")
@@ -76,6 +77,15 @@ def test_logistic_regression(points):
     assert jobs.class_metric(scored, "label", "accuracy") > 0.97
 
 
+@pytest.mark.parametrize("fit", [jobs.logistic_regression, jobs.random_forest])
+def test_binary_models_after_observed_metrics(points, fit):
+    watched, seen = observed(points, n=F.count(F.lit(1)))
+    watched.count()
+    assert seen.get == {"n": 360}
+    scored = fit(points.filter("label < 2"), "label").transform(points)
+    assert scored.repartition(3).count() == 360
+
+
 @pytest.mark.parametrize("fit", [jobs.decision_tree, jobs.random_forest])
 def test_tree_classifiers(points, fit):
     train, test = features.split(points, ["id"])

@@ -19,10 +19,11 @@ from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.recommendation import ALS
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.ml.features import FEATURES
+from tidemill.session import work_path
 
 # fixed values: the numbers of clusters of an elbow scan
 ELBOW_KS = [2, 3, 4, 5, 6, 7, 10, 15, 20, 25, 30, 45, 50, 55, 60, 80, 90, 100]
@@ -37,6 +38,17 @@ def held(df: DataFrame):
         df.unpersist()
 
 
+def stored(model, spark: SparkSession):
+    """The model written to the shared folder and loaded again.
+
+    A loaded model has no training summary. The summary of a binary classifier holds the
+    session, which cannot be sent to tasks once the session has observed metrics.
+    """
+    path = work_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def linear_regression(train: DataFrame, label: str, iterations: int = 100, **options):
     model = LinearRegression(featuresCol=FEATURES, labelCol=label, maxIter=iterations, **options)
     with held(train) as rows:
@@ -64,7 +76,7 @@ def logistic_regression(train: DataFrame, label: str, iterations=1000, tolerance
         featuresCol=FEATURES, labelCol=label, maxIter=iterations, tol=tolerance
     )
     with held(train) as rows:
-        return model.fit(rows)
+        return stored(model.fit(rows), train.sparkSession)
 
 
 def decision_tree(train: DataFrame, label: str, depth: int = 5, bins: int = 32, seed: int = 1):
@@ -94,7 +106,7 @@ def random_forest(train: DataFrame, label: str, trees: int = 10, depth: int = 5,
         featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
     )
     with held(train) as rows:
-        return forest.fit(rows)
+        return stored(forest.fit(rows), train.sparkSession)
 
 
 def kmeans(points: DataFrame, k: int = 3, iterations: int = 1000, seed: int = 1):
