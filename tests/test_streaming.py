@@ -180,6 +180,18 @@ def test_results_and_offsets_agree(spark, small, split_events, tmp_path):
     assert rows_of(top) == rows_of(spark.read.parquet(log).select("batch_id", "offset"))
 
 
+def test_one_folder_per_batch(spark, split_events, tmp_path):
+    text = one_by_one(spark, split_events).select("event_type")
+    runner.save_batches(text, str(tmp_path / "b"), str(tmp_path / "cp"), ".txt")
+    folders = sorted(p.name for p in tmp_path.glob("b-*.txt"))
+    assert folders == [f"b-{i}.txt" for i in range(6)]
+    assert spark.read.text(str(tmp_path / "b-*.txt")).count() == text_count(spark, split_events)
+
+
+def text_count(spark, path):
+    return spark.read.parquet(path).count()
+
+
 def test_marker_stops_the_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     marker = tmp_path / "stop"

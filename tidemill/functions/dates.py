@@ -36,6 +36,14 @@ def today(fmt: str = DAY_COMPACT) -> Column:
     return F.date_format(F.current_date(), fmt)
 
 
+def now_millis() -> Column:
+    return F.unix_millis(F.current_timestamp())
+
+
+def now_text(fmt: str = DATE_TIME) -> Column:
+    return F.date_format(F.current_timestamp(), fmt)
+
+
 def iso_text_to_timestamp(text: str | Column) -> Column:
     """``2018-09-13T02:15:16+08:00`` without its zone; NULL if it is no date-time."""
     bare = F.replace(F.get(F.split(text, r"\+"), F.lit(0)), F.lit("T"), F.lit(" "))

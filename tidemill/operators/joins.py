@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.plans.bounds import checked_broadcast, null_safe
@@ -40,6 +40,11 @@ def pair_with_all(df: DataFrame, small: DataFrame, max_rows: int = PAIR_ROWS) ->
     )
 
 
+def common_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows in both; repeats are dropped map-side before the sides meet."""
+    return left.distinct().intersect(right.distinct())
+
+
 def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` not in ``right``, repeats in ``left`` kept, NULL equal to NULL."""
     distinct = right.distinct()
@@ -66,7 +71,3 @@ def cogroup_chunks(
     a = a.withColumnRenamed("items", "left_items")
     b = b.withColumnRenamed("items", "right_items")
     return a.join(b, [key, "chunk"], "full")
-
-
-def with_default(column: str | Column, default) -> Column:
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(default))

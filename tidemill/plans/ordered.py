@@ -1,11 +1,11 @@
 """Ordered computations per key when one key may not fit one task.
 
-``Window.partitionBy(key)`` sends all rows of a key to one task. ``OrderedKeys``
-measures the largest key first. Up to ``rows_per_task`` rows it is the plain window.
-Beyond that the rows are range-partitioned by (key, order) into blocks, written once,
-windowed per (key, block), and joined with what each block inherits from the blocks
-before it. At most one key runs on from one block into the next, so that table has no
-more rows than there are blocks and may be broadcast.
+``Window.partitionBy(key)`` sends all rows of a key to one task. ``OrderedKeys`` counts the
+rows of each key first. Keys of up to ``rows_per_task`` rows take the plain window. The few
+larger ones (at most total / rows_per_task of them, so their list may be broadcast) are
+range-partitioned by (key, order) into blocks, written once, windowed per (key, block), and
+joined with what each block inherits from the blocks before it. At most one key runs on
+from one block into the next, so that table has no more rows than there are blocks.
 """
 
 from __future__ import annotations
@@ -41,46 +41,60 @@ def whole_div(column: Column, size: int) -> Column:
     return F.call_function("div", column, F.lit(size))
 
 
-class OrderedKeys:
-    """``order`` names the sort columns, ``-name`` for descending. Methods that count
-    rows (``position``, ``running``, ``framed``) need it to be unique within a key."""
+Frame = Callable[[WindowSpec], Column]
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: list[str],
-        order: list[str],
-        rows_per_task: int = ROWS_PER_TASK,
-    ):
+
+class PlainKeys:
+    """One window per key."""
+
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str]):
         self.df = df
-        self.keys = list(keys)
-        self.order = list(order)
-        self.rows_per_task = rows_per_task
+        self.keys = keys
+        self.window = Window.partitionBy(*keys).orderBy(*[_sort(o) for o in order])
+
+    def running(self, name: str, kind: str, column: Column) -> DataFrame:
+        frame = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return self.df.withColumn(name, RUNNING[kind][0](column).over(frame))
+
+    def position(self, name: str) -> DataFrame:
+        return self.df.withColumn(name, F.row_number().over(self.window).cast("bigint"))
+
+    def framed(self, columns: dict[str, Frame], reach: int) -> DataFrame:
+        return self.df.select("*", *[f(self.window).alias(n) for n, f in columns.items()])
+
+    def running_range(self, name: str, kind: str, column: Column) -> DataFrame:
+        return self.df.withColumn(name, RUNNING[kind][0](column).over(self.window))
+
+    def ranks(self, rank: str, dense_rank: str) -> DataFrame:
+        numbers = {rank: F.rank(), dense_rank: F.dense_rank()}
+        return self.df.withColumns(
+            {name: f.over(self.window).cast("bigint") for name, f in numbers.items()}
+        )
+
+    def totals(self, name: str, aggregate: Column) -> DataFrame:
+        return self.df.withColumn(name, aggregate.over(Window.partitionBy(*self.keys)))
+
+
+class BlockedKeys:
+    """Keys that are cut into blocks. ``keys`` may be empty: then the frame is one key."""
+
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], rows: int, limit: int):
+        self.df = df
+        self.keys = keys
+        self.order = order
+        self.limit = limit
         self.sort = [_sort(o) for o in order]
         self.columns = df.columns
-        sizes = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-        self.blocked = (largest or 0) > rows_per_task
-        self._blocks = max(2, math.ceil((total or 0) / rows_per_task))
+        self.blocks = max(2, math.ceil(rows / limit))
         self._ranged: DataFrame | None = None
 
-    @property
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys).orderBy(*self.sort)
-
-    @property
-    def _block_window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.sort)
-
     def ranged(self) -> DataFrame:
+        """The rows in order over the blocks. Written, so that a block keeps its rows."""
         if self._ranged is None:
             by = [F.col(k).asc() for k in self.keys] + self.sort
-            self._ranged = materialize(
-                self.df.repartitionByRange(self._blocks, *by).withColumn(
-                    BLOCK, F.spark_partition_id()
-                ),
-                "blocks",
-            )
+            ranged = self.df.repartitionByRange(self.blocks, *by)
+            numbered = ranged.withColumn(BLOCK, F.spark_partition_id())
+            self._ranged = materialize(numbered, "blocks")
         return self._ranged
 
     def _with_carry(self, partial: Column, merged: Callable) -> DataFrame:
@@ -91,64 +105,52 @@ class OrderedKeys:
             .orderBy(BLOCK)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
+        parts = [*self.keys, BLOCK]
         carry = (
-            rows.groupBy(*self.keys, BLOCK)
+            rows.groupBy(*parts)
             .agg(partial.alias("_part"))
             .withColumn(CARRY, merged("_part").over(before))
             .filter(F.col(CARRY).isNotNull())
-            .select(*[F.col(k).alias(f"_{k}") for k in [*self.keys, BLOCK]], CARRY)
+            .select(*[F.col(c).alias(f"_{c}") for c in parts], CARRY)
         )
-        pairs = [(k, f"_{k}") for k in [*self.keys, BLOCK]]
-        joined = rows.join(F.broadcast(carry), null_safe(rows, carry, pairs), "left")
-        return joined.drop(*[b for _, b in pairs])
+        condition = null_safe(rows, carry, [(c, f"_{c}") for c in parts])
+        joined = rows.join(F.broadcast(carry), condition, "left")
+        return joined.drop(*[f"_{c}" for c in parts])
+
+    def _block_window(self) -> WindowSpec:
+        return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.sort)
 
     def running(self, name: str, kind: str, column: Column) -> DataFrame:
-        """Aggregate over rows from the first of the key up to the current one."""
         aggregate, combine = RUNNING[kind]
-        frame = (Window.unboundedPreceding, Window.currentRow)
-        if not self.blocked:
-            return self.df.withColumn(name, aggregate(column).over(self.window.rowsBetween(*frame)))
         merged = F.sum if kind in ("sum", "count") else aggregate
-        local = aggregate(column).over(self._block_window.rowsBetween(*frame))
+        frame = self._block_window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return (
             self._with_carry(aggregate(column), merged)
-            .withColumn(name, combine(F.col(CARRY), local))
+            .withColumn(name, combine(F.col(CARRY), aggregate(column).over(frame)))
             .select(*self.columns, name)
         )
 
     def position(self, name: str) -> DataFrame:
-        """1-based row number within the key."""
-        if not self.blocked:
-            return self.df.withColumn(name, F.row_number().over(self.window).cast("bigint"))
-        local = F.row_number().over(self._block_window)
+        local = F.row_number().over(self._block_window())
         return (
             self._with_carry(F.count(F.lit(1)), F.sum)
             .withColumn(name, F.coalesce(F.col(CARRY), F.lit(0)) + local)
             .select(*self.columns, name)
         )
 
-    def framed(
-        self, columns: dict[str, Callable[[WindowSpec], Column]], reach: int
-    ) -> DataFrame:
-        """Window expressions that look at most ``reach`` rows away (lag, lead, ROWS frames).
-
-        Long keys are cut into slices of consecutive positions; rows within ``reach`` of a
-        cut are also given to the neighbouring slice and dropped after the window.
-        """
-        if not self.blocked:
-            return self.df.select("*", *[f(self.window).alias(n) for n, f in columns.items()])
-        size = max(self.rows_per_task, reach + 1)
+    def framed(self, columns: dict[str, Frame], reach: int) -> DataFrame:
+        """Slices of consecutive positions; rows within ``reach`` of a cut are also given
+        to the neighbouring slice and dropped after the window."""
+        size = max(self.limit, reach + 1)
 
         def slice_of(shift: int) -> Column:
             return whole_div(F.col(POSITION) - 1 + shift, size)
 
+        slices = F.array_distinct(F.array("_own", slice_of(-reach), slice_of(reach)))
         spread = (
             self.position(POSITION)
             .withColumn("_own", slice_of(0))
-            .withColumn(
-                "_slice",
-                F.explode(F.array_distinct(F.array("_own", slice_of(-reach), slice_of(reach)))),
-            )
+            .withColumn("_slice", F.explode(slices))
         )
         window = Window.partitionBy(*self.keys, "_slice").orderBy(POSITION)
         return (
@@ -157,54 +159,93 @@ class OrderedKeys:
             .select(*self.columns, *columns)
         )
 
-    def _per_value(self, *partials: Column) -> tuple["OrderedKeys", list[str]]:
-        """One row per distinct sort value of each key: equal values are added up first."""
+    def _per_value(self, partial: Column, name: str) -> tuple[DataFrame, list[str]]:
+        """One row per key and sort value: rows with equal values are added up first."""
         values = [o.lstrip("-") for o in self.order]
-        grouped = self.df.groupBy(*self.keys, *values).agg(*partials)
-        return OrderedKeys(grouped, self.keys, self.order, self.rows_per_task), values
+        return self.df.groupBy(*self.keys, *values).agg(partial.alias(name)), values
 
-    def _back(self, per_value: DataFrame, values: list[str], added: list[str]) -> DataFrame:
-        join_on = [*self.keys, *values]
-        right = per_value.select(*[F.col(c).alias(f"_{c}") for c in join_on], *added)
-        condition = null_safe(self.df, right, [(c, f"_{c}") for c in join_on])
+    def _back(self, per_value: DataFrame, on: list[str], added: list[str]) -> DataFrame:
+        right = per_value.select(*[F.col(c).alias(f"_{c}") for c in on], *added)
+        condition = null_safe(self.df, right, [(c, f"_{c}") for c in on])
         return self.df.join(right, condition, "left").select(*self.columns, *added)
 
     def running_range(self, name: str, kind: str, column: Column) -> DataFrame:
-        """As ``running``, but rows with equal sort values share the result."""
-        aggregate, _ = RUNNING[kind]
-        if not self.blocked:
-            return self.df.withColumn(name, aggregate(column).over(self.window))
-        per_value, values = self._per_value(aggregate(column).alias("_part"))
+        per_value, values = self._per_value(RUNNING[kind][0](column), "_part")
         merged = "sum" if kind in ("sum", "count") else kind
-        summed = per_value.running(name, merged, F.col("_part"))
-        return self._back(summed, values, [name])
+        keyed = OrderedKeys(per_value, self.keys, self.order, self.limit)
+        summed = keyed.running(name, merged, F.col("_part"))
+        return self._back(summed, [*self.keys, *values], [name])
 
     def ranks(self, rank: str, dense_rank: str) -> DataFrame:
-        """``rank`` and ``dense_rank`` over the sort columns."""
-        if not self.blocked:
-            return self.df.withColumns(
-                {
-                    rank: F.rank().over(self.window).cast("bigint"),
-                    dense_rank: F.dense_rank().over(self.window).cast("bigint"),
-                }
-            )
-        per_value, values = self._per_value(F.count(F.lit(1)).alias("_same"))
-        summed = per_value.running("_upto", "sum", F.col("_same"))
-        numbered = OrderedKeys(summed, self.keys, self.order, self.rows_per_task).position(
-            dense_rank
-        )
+        per_value, values = self._per_value(F.count(F.lit(1)), "_same")
+        keyed = OrderedKeys(per_value, self.keys, self.order, self.limit)
+        summed = keyed.running("_upto", "sum", F.col("_same"))
+        numbered = OrderedKeys(summed, self.keys, self.order, self.limit).position(dense_rank)
         ranked = numbered.withColumn(rank, F.col("_upto") - F.col("_same") + 1)
-        return self._back(ranked, values, [rank, dense_rank])
+        return self._back(ranked, [*self.keys, *values], [rank, dense_rank])
 
     def totals(self, name: str, aggregate: Column) -> DataFrame:
-        """The aggregate over the whole key, on every row."""
+        per_key = self.df.groupBy(*self.keys).agg(aggregate.alias(name))
+        return self._back(per_key, self.keys, [name])
+
+
+class OrderedKeys:
+    """``order`` names the sort columns, ``-name`` for descending. Methods that count
+    rows (``position``, ``running``, ``framed``) need it to be unique within a key."""
+
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: list[str],
+        order: list[str],
+        rows_per_task: int = ROWS_PER_TASK,
+    ):
+        keys, order = list(keys), list(order)
+        large = F.col("_n") > rows_per_task
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows = sizes.agg(F.sum(F.when(large, F.col("_n")))).first()[0]
+        self.blocked = rows is not None
         if not self.blocked:
-            frame = Window.partitionBy(*self.keys)
-            return self.df.withColumn(name, aggregate.over(frame))
-        right = self.df.groupBy(*self.keys).agg(aggregate.alias(name))
-        right = right.select(*[F.col(k).alias(f"_{k}") for k in self.keys], name)
-        condition = null_safe(self.df, right, [(k, f"_{k}") for k in self.keys])
-        return self.df.join(right, condition, "left").select(*self.columns, name)
+            self.parts = [PlainKeys(df, keys, order)]
+        elif not keys:
+            self.parts = [BlockedKeys(df, keys, order, rows, rows_per_task)]
+        else:
+            hot = F.broadcast(sizes.filter(large).select(*[F.col(k).alias(f"_{k}") for k in keys]))
+            condition = null_safe(df, hot, [(k, f"_{k}") for k in keys])
+            self.parts = [
+                PlainKeys(df.join(hot, condition, "left_anti"), keys, order),
+                BlockedKeys(
+                    df.join(hot, condition, "left_semi"), keys, order, rows, rows_per_task
+                ),
+            ]
+
+    def _each(self, call: Callable[[PlainKeys | BlockedKeys], DataFrame]) -> DataFrame:
+        frames = [call(part) for part in self.parts]
+        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+    def running(self, name: str, kind: str, column: Column) -> DataFrame:
+        """sum, count, min or max from the first row of the key up to the current one."""
+        return self._each(lambda part: part.running(name, kind, column))
+
+    def position(self, name: str) -> DataFrame:
+        """1-based row number within the key."""
+        return self._each(lambda part: part.position(name))
+
+    def framed(self, columns: dict[str, Frame], reach: int) -> DataFrame:
+        """Window expressions that look at most ``reach`` rows away (lag, lead, ROWS frames)."""
+        return self._each(lambda part: part.framed(columns, reach))
+
+    def running_range(self, name: str, kind: str, column: Column) -> DataFrame:
+        """As ``running``, but rows with equal sort values share the result."""
+        return self._each(lambda part: part.running_range(name, kind, column))
+
+    def ranks(self, rank: str, dense_rank: str) -> DataFrame:
+        """``rank`` and ``dense_rank`` over the sort columns."""
+        return self._each(lambda part: part.ranks(rank, dense_rank))
+
+    def totals(self, name: str, aggregate: Column) -> DataFrame:
+        """The aggregate over the whole key, on every row."""
+        return self._each(lambda part: part.totals(name, aggregate))
 
 
 def collect_chunks(

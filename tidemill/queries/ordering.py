@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.operators.joins import except_rows
+from tidemill.operators.joins import common_rows, except_rows
 from tidemill.operators.ordering import listed_order, zip_with_index
 from tidemill.operators.sampling import cut_point, hash_fraction, hash_split, hash_take
 from tidemill.registry import query
@@ -117,13 +117,13 @@ def set_union(t):
 )
 def set_intersect(t):
     keys = t.lineitem.select((F.col("l_orderkey") % 1000).alias("k"))
-    return keys.intersect(t.events.select(F.col("user_id").alias("k")))
+    return common_rows(keys, t.events.select(F.col("user_id").alias("k")))
 
 
 @query("set_except", "select c_custkey as k from customer except select user_id from events")
 def set_except(t):
     customers = t.customer.select(F.col("c_custkey").alias("k"))
-    return customers.subtract(t.events.select(F.col("user_id").alias("k")))
+    return customers.distinct().subtract(t.events.select(F.col("user_id").alias("k")).distinct())
 
 
 @query(

@@ -191,7 +191,7 @@ def upsert_latest(t):
 def upsert_partitions(t):
     """The same upsert into a folder partitioned by priority; one partition is rewritten."""
     path = work_path(t.spark, "orders")
-    t.orders.write.partitionBy("o_orderpriority").parquet(path)
+    file_sinks.write_partitioned(t.orders, path, ["o_orderpriority"])
     keyed.upsert_partitions(path, order_changes(t), ["o_orderkey"], "seq", "o_orderpriority")
     return t.spark.read.schema(SCHEMAS["orders"]).parquet(path)
 
@@ -223,7 +223,7 @@ def metric_store(t):
     rows = keyed.metric_rows(events, F.col("event_type"), "ts", F.col("value"))
     second = F.unix_seconds("ts") * 1000
     rows = rows.withColumn("rowkey", F.concat_ws("-", "event", second))
-    rows.repartition("day").write.partitionBy("day").parquet(path)
+    file_sinks.write_partitioned(rows, path, ["day"])
     stored = t.spark.read.schema(rows.schema).parquet(path)
     now = F.lit(stored.agg(F.max("ts")).first()[0])
     return keyed.live_metrics(stored, now).select("rowkey", "value")

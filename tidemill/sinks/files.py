@@ -45,14 +45,30 @@ def dynamic_overwrite(spark: SparkSession):
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def balanced(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with equal values side by side, so that a partitioned write makes few files;
+    AQE splits a value that is too large for one task."""
+    return df.hint("rebalance", *[F.col(c) for c in columns])
+
+
 def create_table(
     df: DataFrame, name: str, path: str, partition_by: list[str] = (), fmt: str = "parquet"
 ) -> None:
     """Catalog table whose files lie under ``path``."""
+    if partition_by:
+        df = balanced(df, *partition_by)
     writer = df.write.format(fmt).option("path", path)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
+def write_partitioned(
+    df: DataFrame, path: str, columns: list[str], mode: str = "errorifexists"
+) -> None:
+    """Folder per value; under ``overwrite`` only the folders that occur in ``df`` are replaced."""
+    writer = balanced(df, *columns).write.mode(mode)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path)
+
+
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Insert by column order, replacing the partitions that occur in ``df``."""
     spark = df.sparkSession

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemill.plans.bounds import checked_broadcast
 from tidemill.session import materialize
+from tidemill.sinks.files import write_partitioned
 
 BATCH = "batch_id"
 
@@ -47,8 +48,7 @@ def upsert_partitions(
     touched = checked_broadcast(changes.select(partition).distinct())
     merged = upsert(base.join(touched, partition, "left_semi"), changes, keys, sequence)
     staged = materialize(merged.select(*base.columns), "upsert")
-    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(partition).parquet(base_path)
+    write_partitioned(staged, base_path, [partition], "overwrite")
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:

@@ -67,6 +67,17 @@ def run_to_files(
         finish(writer.trigger(availableNow=True).start())
 
 
+def save_batches(
+    df: DataFrame, prefix: str, checkpoint: str, suffix: str = "", fmt: str = "text"
+) -> None:
+    """One folder ``prefix-<batch id><suffix>`` per micro-batch, replaced if it is repeated."""
+
+    def handle(frame: DataFrame, batch_id: int) -> None:
+        frame.write.mode("overwrite").format(fmt).save(f"{prefix}-{batch_id}{suffix}")
+
+    run_each_batch(df, handle, checkpoint)
+
+
 def run_to_memory(df: DataFrame, name: str, mode: str = "complete") -> DataFrame:
     """Memory sink: the result is held by the driver, so only for a few rows."""
     spark = df.sparkSession
