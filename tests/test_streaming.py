@@ -8,6 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.plans.skew import SALT
 from tidemill.sinks.keyed import write_batch
 from tidemill.sources import streams
 from tidemill.streaming import delivery, runner, state
@@ -113,7 +114,8 @@ def test_custom_source_reads_new_files_after_a_restart(spark, tmp_path):
 def test_custom_state_over_batches(spark, small, split_events):
     amount = F.col("value").cast("bigint").alias("amount")
     read = one_by_one(spark, split_events).select("user_id", amount)
-    got = runner.updated(state.running_totals(read, "user_id", "amount"), ["user_id"], "t")
+    states = runner.updated(state.running_totals(read, "user_id", "amount"), ["user_id", SALT], "t")
+    got = state.merged_totals(states, "user_id")
     want = small.events.select("user_id", amount).groupBy("user_id").agg(
         F.count(F.lit(1)), F.sum("amount"))
     assert rows_of(got) == rows_of(want)
@@ -122,8 +124,9 @@ def test_custom_state_over_batches(spark, small, split_events):
 def test_dedup_over_batches(spark, small, split_events):
     twice = one_by_one(spark, split_events).union(one_by_one(spark, split_events))
     timed = streams.event_time(twice, "ts", "40 days")
-    assert runner.appended(timed.dropDuplicates(["event_id", "ts"]), "d").count() == (
-        small.events.count())
+    for unique in (timed.dropDuplicates(["event_id", "ts"]),
+                   state.unique(timed, ["event_id", "ts"])):
+        assert runner.appended(unique, "d").count() == small.events.count()
 
 
 def test_interval_join_equals_the_plain_condition(spark, small):

@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemill.ml import features, jobs
+from tidemill.operators.sampling import cut_point
 from tidemill.registry import query
 
 NUMBERS = ["l_quantity", "l_discount", "l_tax"]
@@ -43,24 +44,34 @@ def ml_index(t):
     return indexed.select("event_type", "idx").distinct()
 
 
-@query(
-    "ml_linreg",
-    """with m as (select covar_pop(l_quantity, l_quantity) as a, covar_pop(l_quantity, l_discount)
+def least_squares_sql(source: str) -> str:
+    """Weights k1, k2, k3 and the intercept from the normal equations."""
+    return f"""with src as (select * from lineitem{source}), m as (
+         select covar_pop(l_quantity, l_quantity) as a, covar_pop(l_quantity, l_discount)
          as b, covar_pop(l_quantity, l_tax) as c, covar_pop(l_discount, l_discount) as d,
          covar_pop(l_discount, l_tax) as e, covar_pop(l_tax, l_tax) as f,
          covar_pop(l_quantity, l_extendedprice) as x, covar_pop(l_discount, l_extendedprice) as y,
          covar_pop(l_tax, l_extendedprice) as z, avg(l_quantity) as mq, avg(l_discount) as md,
-         avg(l_tax) as mt, avg(l_extendedprice) as mp from lineitem),
+         avg(l_tax) as mt, avg(l_extendedprice) as mp from src),
        s as (select *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) as det
          from m),
-       k as (select *,
+       w as (select *,
          (x * (d * f - e * e) - b * (y * f - e * z) + c * (y * e - d * z)) / det as k1,
          (a * (y * f - e * z) - x * (b * f - c * e) + c * (b * z - y * c)) / det as k2,
-         (a * (d * z - y * e) - b * (b * z - y * c) + x * (b * e - d * c)) / det as k3 from s)
-       select 'l_quantity' as term, round(k1, 3) as weight from k
+         (a * (d * z - y * e) - b * (b * z - y * c) + x * (b * e - d * c)) / det as k3 from s),
+       k as (select k1, k2, k3, mp - k1 * mq - k2 * md - k3 * mt as k0 from w)"""
+
+
+SPLIT_SQL = "md5('11|' || l_orderkey || '|' || l_linenumber) {} '" + cut_point(0.8) + "'"
+
+
+@query(
+    "ml_linreg",
+    least_squares_sql("")
+    + """ select 'l_quantity' as term, round(k1, 3) as weight from k
        union all select 'l_discount', round(k2, 3) from k
        union all select 'l_tax', round(k3, 3) from k
-       union all select 'intercept', round(mp - k1 * mq - k2 * md - k3 * mt, 3) from k""",
+       union all select 'intercept', round(k0, 3) from k""",
 )
 def ml_linreg(t):
     """Least-squares weights, equal to the normal equations."""
@@ -70,6 +81,21 @@ def ml_linreg(t):
     return table.withColumn("weight", F.round("weight", 3))
 
 
+@query(
+    "ml_linreg_error",
+    least_squares_sql(" where " + SPLIT_SQL.format("<"))
+    + f""" select count(*) as cnt, round(avg(abs(k0 + k1 * l_quantity + k2 * l_discount +
+       k3 * l_tax - l_extendedprice)), 4) as mean_error from lineitem, k
+       where {SPLIT_SQL.format(">=")}""",
+)
+def ml_linreg_error(t):
+    """Trained on one part of the lines, mean absolute error on the other."""
+    train, test = features.split(priced(t), KEYS)
+    scored = jobs.linear_regression(train, "label").transform(test)
+    error = F.avg(F.abs(F.col("prediction") - F.col("label")))
+    return scored.agg(F.count(F.lit(1)).alias("cnt"), F.round(error, 4).alias("mean_error"))
+
+
 @query("ml_linreg_predict")
 def ml_linreg_predict(t):
     train, test = features.split(priced(t), KEYS)

@@ -2,28 +2,55 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.partitions import by_rule, partition_sizes, sorted_within
 from tidemill.registry import query
 
 
-@query("repartition_counts")
+def summed(sizes):
+    """How many partitions hold rows, and how many rows."""
+    return sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
+
+
+@query("repartition_counts", "select 4 as partitions, count(*)::bigint as rows from orders")
 def repartition_counts(t):
+    """Eight partitions, then four without a shuffle."""
     eight = t.orders.select("o_orderkey").repartition(8)
-    return partition_sizes(eight.coalesce(4))
+    sizes = summed(partition_sizes(eight.coalesce(4)))
+    return sizes.withColumn("partitions", F.col("partitions").cast("int"))
 
 
-@query("repartition_hash")
+@query("repartition_hash", "select o_custkey, 1::bigint as places, count(*) as rows from orders group by 1")
 def repartition_hash(t):
-    return partition_sizes(t.orders.select("o_custkey").repartition(8, "o_custkey"))
+    """Equal keys are in one partition."""
+    placed = t.orders.select("o_custkey").repartition(8, "o_custkey")
+    per_place = placed.groupBy("o_custkey", F.spark_partition_id().alias("place")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return per_place.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("places"), F.sum("n").alias("rows")
+    )
 
 
-@query("repartition_range")
+@query(
+    "repartition_range",
+    "select 0::bigint as overlaps, count(*)::bigint as rows from orders",
+)
 def repartition_range(t):
+    """Partitions hold ranges that do not overlap; one row per partition is compared."""
     ranged = t.orders.select("o_orderkey").repartitionByRange(8, "o_orderkey")
-    return ranged.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
+    spans = ranged.groupBy(F.spark_partition_id().alias("place")).agg(
+        F.min("o_orderkey").alias("low"),
+        F.max("o_orderkey").alias("high"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    before = F.max("high").over(
+        Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return spans.withColumn("before", before).agg(
+        F.count_if(F.col("before") >= F.col("low")).alias("overlaps"), F.sum("n").alias("rows")
     )
 
 
@@ -37,9 +64,19 @@ def repartition_custom(t):
     return partition_sizes(by_rule(t.orders.select("o_custkey"), 2, rule))
 
 
-@query("repartition_sorted")
+@query(
+    "repartition_sorted",
+    "select 0::bigint as misplaced, count(*)::bigint as rows from orders",
+)
 def repartition_sorted(t):
-    placed = sorted_within(
-        t.orders.select("o_custkey", "o_orderkey"), 8, ["o_custkey"], ["o_custkey", "o_orderkey"]
+    """Each partition is in order: its rows in place order are its rows in key order."""
+    order = ["o_custkey", "o_orderkey"]
+    placed = sorted_within(t.orders.select(*order), 8, ["o_custkey"], order)
+    placed = placed.withColumn("place", F.monotonically_increasing_id())
+    after = Window.partitionBy(F.shiftright("place", 33)).orderBy("place")
+    keys = F.struct(*order)
+    steps = placed.select((F.lag(keys).over(after) > keys).alias("back"))
+    return steps.agg(
+        F.count_if(F.coalesce("back", F.lit(False))).alias("misplaced"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    return placed.withColumn("partition", F.spark_partition_id())

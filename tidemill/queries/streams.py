@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import words
 from tidemill.plans.bounds import checked_broadcast
+from tidemill.plans.skew import SALT
 from tidemill.queries.aggregates import WORD_COUNT_SQL
 from tidemill.queries.projections import points_table
 from tidemill.registry import query
@@ -217,7 +218,7 @@ def stream_custom_state(t):
     """State kept by a function over batches of rows."""
     amounts = t.stream("events").select("user_id", F.col("value").cast("bigint").alias("amount"))
     totals = state.running_totals(amounts, "user_id", "amount")
-    return runner.updated(totals, ["user_id"], "totals")
+    return state.merged_totals(runner.updated(totals, ["user_id", SALT], "totals"), "user_id")
 
 
 @query(
@@ -287,7 +288,7 @@ def stream_watermark(t):
 def stream_dedup(t):
     """The stream united with itself; one row is kept of each (id, event time)."""
     once, again = timed(t), timed(t)
-    unique = once.union(again).dropDuplicates(["event_id", "ts"])
+    unique = state.unique(once.union(again), ["event_id", "ts"])
     stamp = F.col("ts").cast("timestamp_ntz").alias("ts")
     return runner.appended(unique.select("event_id", stamp, "event_type"), "dedup")
 

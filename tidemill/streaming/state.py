@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tidemill.plans.skew import SALT, task_salt
+
 
 def running_count(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
@@ -34,8 +36,12 @@ def windowed(
     return grouped.select(start, *keys, *names)
 
 
-def running_totals(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Running count and sum per key, kept by the function itself."""
+def running_totals(df: DataFrame, key: str, value: str, salts: int = 8) -> DataFrame:
+    """Running count and sum per key and salt, kept by the function itself.
+
+    The function sees every row of its group, so a key is split over ``salts`` states;
+    ``merged_totals`` adds them up.
+    """
 
     def update(
         group: tuple, frames: Iterator[pd.DataFrame], state: GroupState
@@ -45,14 +51,34 @@ def running_totals(df: DataFrame, key: str, value: str) -> DataFrame:
             count += len(frame)
             total += int(frame[value].sum())
         state.update((count, total))
-        yield pd.DataFrame({key: [group[0]], "cnt": [count], "total": [total]})
+        yield pd.DataFrame({key: [group[0]], SALT: [group[1]], "cnt": [count], "total": [total]})
 
     columns = "cnt bigint, total bigint"
-    return df.select(key, value).groupBy(key).applyInPandasWithState(
-        update, f"{key} bigint, {columns}", columns, "update", GroupStateTimeout.NoTimeout
+    salted = df.select(key, value).withColumn(SALT, task_salt(salts))
+    return salted.groupBy(key, SALT).applyInPandasWithState(
+        update,
+        f"{key} bigint, {SALT} int, {columns}",
+        columns,
+        "update",
+        GroupStateTimeout.NoTimeout,
     )
 
 
+def merged_totals(states: DataFrame, key: str) -> DataFrame:
+    """The last state of each (key, salt), added up per key."""
+    return states.groupBy(key).agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
+
+
+def unique(df: DataFrame, keys: list[str], salts: int = 8) -> DataFrame:
+    """One row per key; the watermark column must be one of the keys.
+
+    A stream does not drop copies before its shuffle. Copies are dropped per salt first,
+    so that of a key with any number of copies at most ``salts`` meet in one task.
+    """
+    per_salt = df.withColumn(SALT, task_salt(salts)).dropDuplicates([*keys, SALT])
+    return per_salt.drop(SALT).dropDuplicates(keys)
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int
 ) -> DataFrame:
