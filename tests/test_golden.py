@@ -183,10 +183,12 @@ def test_weekly_levels(spark):
     ).withColumn("ct", F.col("ct").cast("timestamp"))
     users = spark.createDataFrame([("A",), ("B",), ("C",), ("D",)], "user string")
     table = spark.createDataFrame(list(points.ACTION_POINTS.items()), "action string, points int")
-    got = points.weekly_levels(actions, users, table, "user", "action", "ct",
-                               F.lit(day("2019-09-30"))).collect()
-    assert {(r.user, r.uscore, r.ulevel) for r in got} == {
-        ("A", 7, "普通"), ("B", 0, "普通"), ("C", 0, "普通"), ("D", 0, "普通")}
+    monday = F.lit(day("2019-09-30"))
+    got = points.weekly_levels(actions, table, "user", "action", "ct", monday, users).collect()
+    listed = {("A", 7, "普通"), ("B", 0, "普通"), ("C", 0, "普通"), ("D", 0, "普通")}
+    assert {(r.user, r.uscore, r.ulevel) for r in got} == listed
+    acted = points.weekly_levels(actions, table, "user", "action", "ct", monday).collect()
+    assert {(r.user, r.uscore, r.ulevel) for r in acted} == listed - {("D", 0, "普通")}
 
 
 LINE = '8.35.201.160 - - [16/May/2018:{} +0800] "GET /uc_server/x.php HTTP/1.1" 200 5396'

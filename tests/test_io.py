@@ -122,7 +122,9 @@ def test_kafka_options(spark):
     assert by_topic == {"kafka.bootstrap.servers": "h:1", "startingOffsets": "earliest",
                         "subscribe": "a,b", "maxOffsetsPerTrigger": "10"}
     assert kafka.source_options("h:1", pattern="t.*", ending="latest")["endingOffsets"] == "latest"
-    assert kafka.source_options("h:1", assign={"a": [0, 1]})["assign"] == '{"a": [0, 1]}'
+    assert kafka.source_options("h:1", assign={"a": [0, 1]}, min_partitions=9) == {
+        "kafka.bootstrap.servers": "h:1", "startingOffsets": "latest", "minPartitions": "9",
+        "assign": '{"a": [0, 1]}'}
     with pytest.raises(ValueError):
         kafka.source_options("h:1")
     with pytest.raises(ValueError):

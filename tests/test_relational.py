@@ -15,7 +15,7 @@ from tidemill.plans.bounds import checked_broadcast, measured_bytes
 from tidemill.plans.skew import (
     agg_salted, hot_keys, join_full_split, join_hot_split, join_salted)
 from tidemill.functions.userdefined import count_by_batches
-from tidemill.session import materialize, shuffle_partitions
+from tidemill.session import cluster_conf, materialize
 
 
 def rows_of(df):
@@ -240,6 +240,9 @@ def test_views_and_catalog(spark, small):
     assert small.nation.columns == ["n_nationkey", "n_name", "n_regionkey"]
 
 
-def test_shuffle_partitions_follow_the_input():
-    assert shuffle_partitions(0, 8) == 8
-    assert shuffle_partitions(100 * 1024**4, 4000) == 819200
+@pytest.mark.parametrize("size,cores,partitions,split", [
+    (0, 8, 8, "128m"), (1024**4, 4000, 8192, "128m"), (100 * 1024**4, 4000, 50000, "1024m")])
+def test_settings_follow_input_and_cluster(size, cores, partitions, split):
+    assert cluster_conf(size, cores) == {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": split}

@@ -111,6 +111,17 @@ def test_custom_source_reads_new_files_after_a_restart(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(out).collect()) == ['one, "x"', "three", "two"]
 
 
+@pytest.mark.parametrize("split_bytes", [1, 3, 7, 1000])
+def test_custom_source_splits_files_between_lines(spark, tmp_path, split_bytes):
+    lines = ["é one", "", "three", "x" * 40, "last"]
+    (tmp_path / "a.txt").write_text("\n".join(lines))
+    (tmp_path / "b.txt").write_text("only\r\n")
+    (tmp_path / "empty.txt").write_text("")
+    read = streams.line_stream(spark, str(tmp_path), split_bytes)
+    got = runner.appended(read, "split").collect()
+    assert sorted(r.value for r in got) == sorted([*lines, "only"])
+
+
 def test_custom_state_over_batches(spark, small, split_events):
     amount = F.col("value").cast("bigint").alias("amount")
     read = one_by_one(spark, split_events).select("user_id", amount)

@@ -31,26 +31,25 @@ def action_time(text: str | Column) -> Column:
 
 def weekly_levels(
     actions: DataFrame,
-    users: DataFrame,
     points: DataFrame,
     user: str,
     action: str,
     moment: str,
     monday: Column,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """Points per user in ``[monday, monday + 7)`` and the level; users without an action
-    in the week have 0 points."""
-    scored = lookup(
-        actions.filter(in_week(F.col(moment), monday)).select(user, action),
-        points,
-        action,
-        "points",
-        0,
-    )
-    sums = scored.groupBy(user).agg(F.sum("points").alias("uscore"))
+    in the week have 0 points.
+
+    Without a list of ``users`` all users that ever acted are meant, and one pass over the
+    actions gives both them and their points. With a list only the week is read.
+    """
+    this_week = in_week(F.col(moment), monday)
+    if users is not None:
+        actions = actions.filter(this_week)
+    scored = lookup(actions.select(user, action, moment), points, action, "points", 0)
+    sums = scored.groupBy(user).agg(F.sum(F.when(this_week, F.col("points"))).alias("uscore"))
+    if users is not None:
+        sums = users.join(sums, user, "left")
     score = F.coalesce(F.col("uscore"), F.lit(0).cast("bigint"))
-    return (
-        users.join(sums, user, "left")
-        .select(user, score.alias("uscore"))
-        .withColumn("ulevel", level_of("uscore"))
-    )
+    return sums.select(user, score.alias("uscore")).withColumn("ulevel", level_of("uscore"))

@@ -139,7 +139,6 @@ def peaks_troughs(t):
 def user_level(t):
     return points.weekly_levels(
         t.events,
-        t.events.select("user_id").distinct(),
         points_table(t),
         "user_id",
         "event_type",

@@ -20,12 +20,26 @@ BASE_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+MEGABYTE = 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 128 * MEGABYTE
+MAX_SHUFFLE_PARTITIONS = 50_000
+WAVES = 25
 
 
-def shuffle_partitions(input_bytes: int, cores: int) -> int:
-    """Enough shuffle partitions for ~128 MB each; AQE merges the small ones."""
-    return max(cores, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+def cluster_conf(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings that follow the size of the input and of the cluster.
+
+    Shuffles start with about 128 MB per partition and AQE merges small ones. The count is
+    bounded, because a shuffle keeps one block per map and reduce partition; pruned columns
+    and map-side aggregates leave far less to shuffle than was read. Scans take larger
+    splits when the input would need more than 25 waves of tasks.
+    """
+    shuffles = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    split = math.ceil(input_bytes / (cores * WAVES) / MEGABYTE)
+    return {
+        "spark.sql.shuffle.partitions": str(max(cores, shuffles)),
+        "spark.sql.files.maxPartitionBytes": f"{min(1024, max(128, split))}m",
+    }
 
 
 def build_session(

@@ -37,7 +37,10 @@ def source_options(
     starting: str = "latest",
     ending: str | None = None,
     max_offsets: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
+    """``max_offsets`` caps the rate; ``min_partitions`` splits large topic partitions over
+    several tasks."""
     chosen = [c for c in (topics, pattern, assign) if c]
     if len(chosen) != 1:
         raise ValueError("give exactly one of topics, pattern, assign")
@@ -52,6 +55,8 @@ def source_options(
         options["endingOffsets"] = ending
     if max_offsets is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

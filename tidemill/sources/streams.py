@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.csv as pacsv
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,8 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from tidemill.sources.files import MICROS
 
 FILES_PER_TRIGGER = 1_000
+LINE_SPLIT_BYTES = 128 * 1024 * 1024
+LINES_PER_BATCH = 10_000
 
 
 def file_options(
@@ -72,23 +74,28 @@ def queue_stream(
     return file_stream(spark, "parquet", queue, schema, files_per_trigger=per_trigger)
 
 
-class LineFile(InputPartition):
-    def __init__(self, name: str):
-        super().__init__(name)
-        self.name = name
+class LineSplit(InputPartition):
+    """Bytes ``start`` to ``end`` of a file: the lines whose first byte lies in there."""
+
+    def __init__(self, name: str, start: int, end: int):
+        super().__init__((name, start, end))
+        self.name, self.start, self.end = name, start, end
 
 
 class LineReader(DataSourceStreamReader):
     """Offset n means: the first n files in name order. Any range can be read again, so
-    a lost task or a restart gives the same lines; files are opened by the tasks."""
+    a lost task or a restart gives the same lines. Large files are split over tasks."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, split_bytes: int):
         self.path = path
+        self.split_bytes = split_bytes
 
-    def _files(self) -> list[str]:
+    def _files(self) -> list[tuple[str, int]]:
         filesystem, root = pafs.FileSystem.from_uri(self.path)
         found = filesystem.get_file_info(pafs.FileSelector(root))
-        return sorted(f.path for f in found if f.is_file and not f.base_name.startswith(("_", ".")))
+        return sorted(
+            (f.path, f.size) for f in found if f.is_file and f.base_name[0] not in "._"
+        )
 
     def initialOffset(self) -> dict:
         return {"files": 0}
@@ -97,15 +104,25 @@ class LineReader(DataSourceStreamReader):
         return {"files": len(self._files())}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return [LineFile(name) for name in self._files()[start["files"] : end["files"]]]
+        return [
+            LineSplit(name, at, min(size, at + self.split_bytes))
+            for name, size in self._files()[start["files"] : end["files"]]
+            for at in range(0, size, self.split_bytes)
+        ]
 
-    def read(self, partition: LineFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: LineSplit) -> Iterator[pa.RecordBatch]:
         filesystem, _ = pafs.FileSystem.from_uri(self.path)
-        whole_line = pacsv.ParseOptions(delimiter="\x01", quote_char=False)
-        names = pacsv.ReadOptions(column_names=["value"])
-        strings = pacsv.ConvertOptions(column_types={"value": pa.string()}, strings_can_be_null=False)
-        with filesystem.open_input_stream(partition.name) as source:
-            yield from pacsv.open_csv(source, names, whole_line, strings)
+        with io.BufferedReader(filesystem.open_input_file(partition.name), 1 << 20) as source:
+            if partition.start:
+                source.seek(partition.start - 1)
+                source.readline()
+            while source.tell() < partition.end:
+                lines = []
+                while len(lines) < LINES_PER_BATCH and source.tell() < partition.end:
+                    line = source.readline()
+                    lines.append(line.removesuffix(b"\n").removesuffix(b"\r"))
+                values = pa.array(lines, pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([values], ["value"])
 
     def commit(self, end: dict) -> None:
         pass
@@ -122,9 +139,12 @@ class LineSource(DataSource):
         return "value string"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return LineReader(self.options["path"])
+        return LineReader(self.options["path"], int(self.options["splitBytes"]))
 
 
-def line_stream(spark: SparkSession, path: str) -> DataFrame:
+def line_stream(
+    spark: SparkSession, path: str, split_bytes: int = LINE_SPLIT_BYTES
+) -> DataFrame:
     spark.dataSource.register(LineSource)
-    return spark.readStream.format("tidemill_lines").option("path", path).load()
+    reader = spark.readStream.format("tidemill_lines").option("path", path)
+    return reader.option("splitBytes", str(split_bytes)).load()
