@@ -56,7 +56,7 @@ def test_scan_reads_only_its_columns(spark, name, columns):
 
 
 @pytest.mark.parametrize("name,pushed", [
-    ("filter_range", "GreaterThanOrEqual(o_orderkey,100)"),
+    ("filter_range", "GreaterThanOrEqual(o_totalprice,50000"),
     ("join_chain", "EqualTo(o_orderstatus,F)"),
     ("filter_expr", "GreaterThan(o_totalprice"),
 ])

@@ -17,6 +17,11 @@ from tidemill.plans.skew import agg_salted
 from tidemill.registry import query
 
 
+def as_text(array):
+    """An array as text, so that results compare the same everywhere."""
+    return F.array_join(F.col(array).cast("array<string>"), ",")
+
+
 def rows():
     return F.count(F.lit(1))
 
@@ -91,13 +96,15 @@ def word_count(t):
 
 @query(
     "agg_collect_list",
-    """select o_custkey, (rn - 1) // 100000 as chunk, list(o_orderkey order by rn) as items from
+    """select o_custkey, (rn - 1) // 100000 as chunk,
+       array_to_string(list(o_orderkey order by rn), ',') as items from
        (select o_custkey, o_orderkey, row_number() over (partition by o_custkey
         order by o_orderkey) as rn from orders) group by 1, 2""",
 )
 def agg_collect_list(t):
     orders = t.orders.select("o_custkey", "o_orderkey")
-    return collect_chunks(orders, ["o_custkey"], ["o_orderkey"], "o_orderkey")
+    chunks = collect_chunks(orders, ["o_custkey"], ["o_orderkey"], "o_orderkey")
+    return chunks.withColumn("items", as_text("items"))
 
 
 @query(
@@ -142,10 +149,12 @@ def dedup_cols(t):
 
 @query(
     "agg_baskets",
-    "select user_id, list(distinct event_type order by event_type) as items from events group by 1",
+    """select user_id, array_to_string(list(distinct event_type order by event_type), '+') as items
+       from events group by 1""",
 )
 def agg_baskets(t):
-    return item_sets(t.events, "user_id", "event_type")
+    sets = item_sets(t.events, "user_id", "event_type")
+    return sets.withColumn("items", F.array_join("items", "+"))
 
 
 @query(

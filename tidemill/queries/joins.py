@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.joins import cogroup_chunks, map_side_join, pair_with_all
 from tidemill.plans.bounds import checked_broadcast
 from tidemill.plans.skew import join_full_split, join_hot_split, join_salted
+from tidemill.queries.aggregates import as_text
 from tidemill.registry import query
 
 ORDERS_SQL = """select c.c_custkey, c.c_name, o.o_orderkey, o.o_totalprice
@@ -155,13 +156,15 @@ def hot_split(t):
          (select user_id as key, event_id as v,
           row_number() over (partition by user_id order by event_id) as rn from events)
          group by 1, 2)
-       select coalesce(a.key, b.key) as key, coalesce(a.chunk, b.chunk) as chunk, left_items,
-         right_items from a full join b on a.key = b.key and a.chunk = b.chunk""",
+       select coalesce(a.key, b.key) as key, coalesce(a.chunk, b.chunk) as chunk,
+         array_to_string(left_items, ',') as left_items,
+         array_to_string(right_items, ',') as right_items from a full join b on a.key = b.key and a.chunk = b.chunk""",
 )
 def cogroup(t):
     orders = t.orders.select(F.col("o_custkey").alias("key"), "o_orderkey")
     events = t.events.select(F.col("user_id").alias("key"), "event_id")
-    return cogroup_chunks(orders, events, "key", "o_orderkey", "event_id", chunk_rows=20)
+    both = cogroup_chunks(orders, events, "key", "o_orderkey", "event_id", chunk_rows=20)
+    return both.withColumns({c: as_text(c) for c in ("left_items", "right_items")})
 
 
 @query(

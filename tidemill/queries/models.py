@@ -199,7 +199,8 @@ def ml_fpgrowth(t):
 def ml_pca(t):
     points = vectors(t)
     placed = jobs.principal_components(points).transform(points)
-    return placed.select("vec_id", vector_to_array("components").alias("components"))
+    values = vector_to_array("components")
+    return placed.select("vec_id", *[values[i].alias(f"c{i + 1}") for i in range(3)])
 
 
 @query(

@@ -91,10 +91,10 @@ def sample_bernoulli(t):
 
 @query(
     "filter_range",
-    "select o_orderkey, o_totalprice from orders where o_orderkey between 100 and 5000",
+    "select o_orderkey, o_totalprice from orders where o_totalprice between 50000 and 200000",
 )
 def filter_range(t):
-    return t.orders.filter(F.col("o_orderkey").between(100, 5000)).select(
+    return t.orders.filter(F.col("o_totalprice").between(50000, 200000)).select(
         "o_orderkey", "o_totalprice"
     )
 
@@ -113,10 +113,10 @@ def set_union(t):
 
 @query(
     "set_intersect",
-    "select l_orderkey % 1000 as k from lineitem intersect select user_id from events",
+    "select l_suppkey as k from lineitem intersect select user_id from events",
 )
 def set_intersect(t):
-    keys = t.lineitem.select((F.col("l_orderkey") % 1000).alias("k"))
+    keys = t.lineitem.select(F.col("l_suppkey").alias("k"))
     return common_rows(keys, t.events.select(F.col("user_id").alias("k")))
 
 
