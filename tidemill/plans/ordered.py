@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -178,9 +179,13 @@ class BlockedKeys:
 
     def ranks(self, rank: str, dense_rank: str) -> DataFrame:
         per_value, values = self._per_value(F.count(F.lit(1)), "_same")
-        keyed = OrderedKeys(per_value, self.keys, self.order, self.limit)
-        summed = keyed.running("_upto", "sum", F.col("_same"))
-        numbered = OrderedKeys(summed, self.keys, self.order, self.limit).position(dense_rank)
+        large = LargeKeys.measure(per_value, self.keys, self.limit)
+        summed = OrderedKeys(per_value, self.keys, self.order, self.limit, large).running(
+            "_upto", "sum", F.col("_same")
+        )
+        numbered = OrderedKeys(summed, self.keys, self.order, self.limit, large).position(
+            dense_rank
+        )
         ranked = numbered.withColumn(rank, F.col("_upto") - F.col("_same") + 1)
         return self._back(ranked, [*self.keys, *values], [rank, dense_rank])
 
@@ -189,6 +194,26 @@ class BlockedKeys:
         return self._back(per_key, self.keys, [name])
 
 
+@dataclass(frozen=True)
+class LargeKeys:
+    """The keys of more than ``limit`` rows and how many rows they have together.
+
+    One count per key; frames with the same keys and rows may share it.
+    """
+
+    rows: int | None
+    keys: DataFrame
+
+    @classmethod
+    def measure(
+        cls, df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
+    ) -> LargeKeys:
+        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        large = sizes.filter(F.col("_n") > rows_per_task)
+        rows = large.agg(F.sum("_n")).first()[0]
+        return cls(rows, large.select(*[F.col(k).alias(f"_{k}") for k in keys]))
+
+
 class OrderedKeys:
     """``order`` names the sort columns, ``-name`` for descending. Methods that count
     rows (``position``, ``running``, ``framed``) need it to be unique within a key."""
@@ -199,18 +224,18 @@ class OrderedKeys:
         keys: list[str],
         order: list[str],
         rows_per_task: int = ROWS_PER_TASK,
+        large: LargeKeys | None = None,
     ):
         keys, order = list(keys), list(order)
-        large = F.col("_n") > rows_per_task
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        rows = sizes.agg(F.sum(F.when(large, F.col("_n")))).first()[0]
+        large = large or LargeKeys.measure(df, keys, rows_per_task)
+        rows = large.rows
         self.blocked = rows is not None
         if not self.blocked:
             self.parts = [PlainKeys(df, keys, order)]
         elif not keys:
             self.parts = [BlockedKeys(df, keys, order, rows, rows_per_task)]
         else:
-            hot = F.broadcast(sizes.filter(large).select(*[F.col(k).alias(f"_{k}") for k in keys]))
+            hot = F.broadcast(large.keys)
             condition = null_safe(df, hot, [(k, f"_{k}") for k in keys])
             self.parts = [
                 PlainKeys(df.join(hot, condition, "left_anti"), keys, order),

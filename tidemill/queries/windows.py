@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemill.plans.ordered import OrderedKeys
+from tidemill.plans.ordered import LargeKeys, OrderedKeys
 from tidemill.registry import query
 
 
@@ -76,11 +76,11 @@ def win_full(t):
        row_number() over (partition by user_id order by ts, event_id) as rn from events""",
 )
 def win_rank(t):
-    numbered = OrderedKeys(
-        daily(t).select("event_id", "user_id", "day", "ts"), ["user_id"], ["ts", "event_id"]
-    ).position("rn")
+    events = daily(t).select("event_id", "user_id", "day", "ts")
+    large = LargeKeys.measure(events, ["user_id"])
+    numbered = OrderedKeys(events, ["user_id"], ["ts", "event_id"], large=large).position("rn")
     return (
-        OrderedKeys(numbered, ["user_id"], ["day"])
+        OrderedKeys(numbered, ["user_id"], ["day"], large=large)
         .ranks("rnk", "dense")
         .select("event_id", "rnk", "dense", "rn")
     )
