@@ -296,7 +296,7 @@ def stream_dedup(t):
 @query("stream_dedup_within", "select event_id, event_type from events")
 def stream_dedup_within(t):
     once, again = timed(t), timed(t)
-    unique = once.union(again).dropDuplicatesWithinWatermark(["event_id"])
+    unique = state.unique(once.union(again), ["event_id"], within_watermark=True)
     return runner.appended(unique.select("event_id", "event_type"), "dedup-within")
 
 

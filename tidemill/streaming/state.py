@@ -69,14 +69,18 @@ def merged_totals(states: DataFrame, key: str) -> DataFrame:
     return states.groupBy(key).agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
 
 
-def unique(df: DataFrame, keys: list[str], salts: int = 8) -> DataFrame:
-    """One row per key; the watermark column must be one of the keys.
+def unique(
+    df: DataFrame, keys: list[str], salts: int = 8, within_watermark: bool = False
+) -> DataFrame:
+    """One row per key. Either the watermark column is one of the keys, or copies count as
+    such only within the watermark's delay.
 
     A stream does not drop copies before its shuffle. Copies are dropped per salt first,
     so that of a key with any number of copies at most ``salts`` meet in one task.
     """
-    per_salt = df.withColumn(SALT, task_salt(salts)).dropDuplicates([*keys, SALT])
-    return per_salt.drop(SALT).dropDuplicates(keys)
+    drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
+    per_salt = drop(df.withColumn(SALT, task_salt(salts)), [*keys, SALT])
+    return drop(per_salt.drop(SALT), keys)
 
 
 def interval_join(
