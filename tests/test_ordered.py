@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.plans.ordered import OrderedKeys, collect_chunks
+from tidemill.plans.ordered import BlockedKeys, OrderedKeys, collect_chunks
 
 
 @pytest.fixture(scope="module")
@@ -80,6 +80,15 @@ def test_collect_chunks_keeps_every_value(rows):
     assert got == want
 
 
+def test_copies_are_spread_over_blocks(spark):
+    copies = spark.range(4000, numPartitions=40).select(F.lit(1).alias("k"), F.lit(7).alias("v"))
+    blocked = BlockedKeys(copies, ["k"], ["v"], 4000, 400)
+    sizes = [r["count"] for r in blocked.ranged().groupBy("_block").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 1000
+    chunks = collect_chunks(copies, ["k"], ["v"], "v", chunk_rows=300, rows_per_task=400)
+    assert sorted(len(r["items"]) for r in chunks.collect()) == [100] + [300] * 13
+
+
 def test_no_keys(rows):
     numbered = OrderedKeys(rows, [], ["id"], rows_per_task=100).position("p")
     assert [(r["id"], r["p"]) for r in numbered.orderBy("id").collect()] == [

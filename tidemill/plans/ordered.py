@@ -23,6 +23,7 @@ from tidemill.session import materialize
 BLOCK = "_block"
 POSITION = "_position"
 CARRY = "_carry"
+TASK = "_task"
 ROWS_PER_TASK = 5_000_000
 
 # fixed values: running aggregate -> (aggregate, how two parts are combined)
@@ -90,10 +91,15 @@ class BlockedKeys:
         self._ranged: DataFrame | None = None
 
     def ranged(self) -> DataFrame:
-        """The rows in order over the blocks. Written, so that a block keeps its rows."""
+        """The rows in order over the blocks. Written, so that a block keeps its rows.
+
+        Rows with equal keys and order go by the task that read them, so that any number of
+        copies is spread over blocks too.
+        """
         if self._ranged is None:
-            by = [F.col(k).asc() for k in self.keys] + self.sort
-            ranged = self.df.repartitionByRange(self.blocks, *by)
+            by = [F.col(k).asc() for k in self.keys] + [*self.sort, F.col(TASK).asc()]
+            tasks = self.df.withColumn(TASK, F.spark_partition_id())
+            ranged = tasks.repartitionByRange(self.blocks, *by).drop(TASK)
             numbered = ranged.withColumn(BLOCK, F.spark_partition_id())
             self._ranged = materialize(numbered, "blocks")
         return self._ranged
