@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.session import size_shuffles
+from tidemill.session import ship_package, size_shuffles
 from tidemill.tables import Tables
 
 MODULES = (
@@ -36,6 +36,7 @@ class Query:
 
     def __call__(self, spark: SparkSession, root: str) -> DataFrame:
         size_shuffles(spark)
+        ship_package(spark)
         return self.build(Tables(spark, root))
 
 
