@@ -202,14 +202,20 @@ def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
     lists = recipes(docs, bits)
     # nulls sort last: (is null, doc_id, row)
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row_no")
-    groups = lists.groupBy("n_bytes", "recipe").agg(
-        F.count("*").alias("group_size"), F.min(first).alias("first")
+    # a lone row needs no group; the others' groups are written, so that the join below has a
+    # plain shuffle on both sides and Spark can split the partition of a very large group
+    groups = materialize(
+        lists.groupBy("n_bytes", "recipe")
+        .agg(F.count("*").alias("n"), F.min(first).alias("first"))
+        .where("n > 1"),
+        "groups",
     )
-    return lists.join(groups, ["n_bytes", "recipe"]).select(
+    own = F.col("first").isNull()
+    return lists.join(groups, ["n_bytes", "recipe"], "left").select(
         "doc_id",
-        F.col("first.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("row_no") == F.col("first.row_no")).alias("kept"),
+        F.when(own, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
+        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        (own | (F.col("row_no") == F.col("first.row_no"))).alias("kept"),
         "text_sha256",
     )
 
