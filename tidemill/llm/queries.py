@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup, simhash
+from tidemill.llm import exact_dedup, packing, sharding, simhash, token_files
 from tidemill.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,9 +21,24 @@ def op5_simhash(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id", "component_size")
 
 
+def op3_packing(spark: SparkSession, root: str) -> DataFrame:
+    return packing.packed(Tables(spark, root).documents)
+
+
+def op8_sharding(spark: SparkSession, root: str) -> DataFrame:
+    return sharding.sharded(Tables(spark, root).documents)
+
+
+def op9_token_files(spark: SparkSession, root: str) -> DataFrame:
+    return token_files.tokenized(Tables(spark, root).documents)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_packing": op3_packing,
     "op5_simhash": op5_simhash,
+    "op8_sharding": op8_sharding,
+    "op9_token_files": op9_token_files,
 }
 
 ORACLES: dict[str, str] = {

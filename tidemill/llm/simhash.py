@@ -148,7 +148,10 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
         "fp", "first", "n", F.coalesce("root", "fp").alias("root")
     )
     totals = placed.groupBy("root").agg(F.min("first").alias("chosen"), F.sum("n").alias("size"))
-    labels = placed.select("fp", "root").join(totals, "root").select("fp", "chosen", "size")
+    # written, so that Spark can split a fingerprint that very many rows share
+    labels = materialize(
+        placed.select("fp", "root").join(totals, "root").select("fp", "chosen", "size"), "labels"
+    )
     return rows.join(labels, "fp").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
