@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup, packing, sharding, simhash, token_files
+from tidemill.llm import exact_dedup, packing, quality, sharding, simhash, token_files
 from tidemill.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op5_simhash(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id", "component_size")
 
 
+def op2_quality(spark: SparkSession, root: str) -> DataFrame:
+    tables = Tables(spark, root)
+    return quality.scored(tables.documents, tables.labels)
+
+
 def op3_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.packed(Tables(spark, root).documents)
 
@@ -35,6 +40,7 @@ def op9_token_files(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality": op2_quality,
     "op3_packing": op3_packing,
     "op5_simhash": op5_simhash,
     "op8_sharding": op8_sharding,
