@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup, packing, quality, sharding, simhash, token_files
+from tidemill.llm import exact_dedup, packing, quality, sharding, simhash, substring_dedup, token_files
 from tidemill.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op9_token_files(spark: SparkSession, root: str) -> DataFrame:
     return token_files.tokenized(Tables(spark, root).documents)
 
 
+def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return substring_dedup.drop_repeats(Tables(spark, root).documents, texts=False)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op8_sharding": op8_sharding,
     "op9_token_files": op9_token_files,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
