@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import exact_dedup, packing, quality, sharding, simhash, substring_dedup, token_files
+from tidemill.llm import decontaminate, exact_dedup, packing, quality, sharding, simhash, substring_dedup, token_files
 from tidemill.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,11 @@ def op1_exact_dedup(spark: SparkSession, root: str) -> DataFrame:
     return exact_dedup.exact_groups(Tables(spark, root).documents)
 
 
+def op4_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    tables = Tables(spark, root)
+    return decontaminate.leaks(tables.documents, tables.benchmark)
+
+
 def op5_simhash(spark: SparkSession, root: str) -> DataFrame:
     found = simhash.near_groups(Tables(spark, root).documents)
     return found.select("doc_id", "fingerprint", "component_id", "component_size")
@@ -46,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
     "op3_packing": op3_packing,
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
     "op8_sharding": op8_sharding,
     "op9_token_files": op9_token_files,

@@ -15,43 +15,16 @@ Equal windows therefore have equal anchors, and an anchor is shared by many wind
 from __future__ import annotations
 
 import numpy as np
-import xxhash
+
+from tidemill.llm.words import BASE, Hashes, mix
 
 MOST = 6  # words of a symbol
 ROUNDS = 2  # of pairs, after one of runs
 REACH = 8  # words that a symbol may depend on to count
 FAR = np.int64(1) << 40  # a place that no window holds
-BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2 ** 64
-TURN = np.uint64(pow(int(BASE), -1, 1 << 64))
 NOTHING = np.uint64(2**64 - 1)
 
 
-def mix(values: np.ndarray, salt: int) -> np.ndarray:
-    """A bijective scrambling of 64-bit values (splitmix)."""
-    x = values + np.uint64((salt * 0xD1342543DE82EF95 + 0x2545F4914F6CDD1D) % (1 << 64))
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    x ^= x >> np.uint64(31)
-    return x
-
-
-class Words(dict):
-    """The 64-bit names (XXH64) of the words a task has met, bounded in number."""
-
-    MOST = 1_000_000
-
-    def __missing__(self, word: bytes) -> int:
-        name = self[word] = xxhash.xxh64_intdigest(word)
-        return name
-
-    def name(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.MOST:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 class Symbols:
     """The symbols of a batch of documents in a row; ``doc`` is the number of the document."""
 
@@ -127,37 +100,6 @@ def recompress(names: np.ndarray, doc: np.ndarray, rounds: int) -> Symbols:
     return symbols
 
 
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(size: int) -> list[np.ndarray]:
-    """The powers of BASE and of its inverse, kept from batch to batch."""
-    if not _POWERS or len(_POWERS[0]) < size:
-        _POWERS.clear()
-        for base in (BASE, TURN):
-            power = np.full(size, base, dtype=np.uint64)
-            power[0] = 1
-            _POWERS.append(np.cumprod(power))
-    return _POWERS
-
-
-class Hashes:
-    """Hashes of any stretch of the words by differences of running sums."""
-
-    def __init__(self, names: np.ndarray):
-        power, self.back = _powers(len(names) + 1)
-        self.sums = np.zeros(len(names) + 1, dtype=np.uint64)
-        np.cumsum(names * power[: len(names)], out=self.sums[1:])
-
-    def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        return (self.sums[high] - self.sums[low]) * self.back[low]
-
-    def all(self, width: int) -> np.ndarray:
-        """Of every stretch of that many words."""
-        count = len(self.sums) - width
-        return (self.sums[width:] - self.sums[:count]) * self.back[:count]
-
-
 def anchors(
     names: np.ndarray, doc: np.ndarray, window: int, rounds: int = ROUNDS, reach: int = REACH
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -1,15 +1,16 @@
 """Simple-8b: integers in 64-bit words, a selector of four bits and as many ids as fit.
 
 Selectors 2 to 15 stand for (count, bits) in FORMATS. Selector 1 stands for 120 zeros. Selector
-0 is the escape: the whole next word is one id that needs more than 60 bits. A block is
+0 is the escape: the whole next word is one id that needs more than 60 bits. Every CHUNK ids
+start a new word. A block is
 
     4 bytes  magic "s8b1"
     4 bytes  number of ids, 4 bytes number of words (little-endian)
-    4 bytes  each: how many ids come before word 0, STRIDE, 2 * STRIDE ...
+    4 bytes  each: the number of words before every chunk
     8 bytes  each: the words (little-endian)
 
-so a reader can start at any of the stated words; ``decode`` treats all words at once, those of
-one selector together.
+so a reader can start at any chunk; ``decode`` treats all words at once, those of one selector
+together, and ``pack`` goes through all chunks side by side.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import struct
 import numpy as np
 
 MAGIC = b"s8b1"
-STRIDE = 1024
+CHUNK = 1024
 ESCAPE, ZEROS, ZERO_RUN = 0, 1, 120
 # (ids in a word, bits of an id) of selectors 2 to 15: fixed values of the format
 FORMATS = [
@@ -37,31 +38,31 @@ def _classes(ids: np.ndarray) -> np.ndarray:
     return np.searchsorted(_LIMITS, ids, side="right").astype(np.uint8)
 
 
-def pack(ids: np.ndarray) -> np.ndarray:
-    """The words; each takes the largest number of ids that fits from where it stands."""
+def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words, and how many come before every chunk. Each word takes the largest number of
+    ids that fits from where it stands to the end of its chunk."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     size = len(ids)
     need = _classes(ids)
+    left = CHUNK - np.arange(size) % CHUNK
     step = np.ones(size, dtype=np.int64)
     selector = np.where(need < len(FORMATS), len(FORMATS) + 1, ESCAPE).astype(np.uint8)
-    least = int(need.min()) if size else 0
-    for kind in reversed(range(least, len(FORMATS) - 1)):
-        count = FORMATS[kind][0]
-        if count > size:
-            break
-        ahead = np.concatenate(([0], np.cumsum(need > kind)))
-        fits = np.flatnonzero(ahead[count:] == ahead[:-count])
-        step[fits], selector[fits] = count, kind + 2
-    if size >= ZERO_RUN and least == 0:
-        ahead = np.concatenate(([0], np.cumsum(ids != 0)))
-        fits = np.flatnonzero(ahead[ZERO_RUN:] == ahead[:-ZERO_RUN])
-        step[fits], selector[fits] = ZERO_RUN, ZEROS
-    jumps, heads, at = step.tolist(), [], 0
-    while at < size:
-        heads.append(at)
-        at += jumps[at]
-    starts = np.array(heads, dtype=np.int64)
-    kinds = selector[starts] if size else selector
+    least, most = (int(need.min()), int(need.max())) if size else (0, 0)
+    for kind in reversed(range(least, min(most + 1, len(FORMATS) - 1))):
+        _fit(need > kind, FORMATS[kind][0], left, step, selector, kind + 2)
+    if least == 0:
+        _fit(ids != 0, ZERO_RUN, left, step, selector, ZEROS)
+    follows = np.arange(size) + step
+    is_head = np.zeros(size, dtype=bool)
+    at = np.arange(0, size, CHUNK)
+    ends = np.minimum(at + CHUNK, size)
+    while len(at):
+        is_head[at] = True
+        at = follows[at]
+        more = at < ends
+        at, ends = at[more], ends[more]
+    starts = np.flatnonzero(is_head)
+    kinds = selector[starts]
     # an escape takes a word more
     place = np.arange(len(starts)) + np.cumsum(kinds == ESCAPE) - (kinds == ESCAPE)
     words = np.zeros(len(starts) + int((kinds == ESCAPE).sum()), dtype=np.uint64)
@@ -74,7 +75,17 @@ def pack(ids: np.ndarray) -> np.ndarray:
         words[place[mine]] = word
     escaped = np.flatnonzero(kinds == ESCAPE)
     words[place[escaped] + 1] = ids[starts[escaped]]
-    return words
+    return words, place[starts % CHUNK == 0]
+
+
+def _fit(bad, count, left, step, selector, kind) -> None:
+    """Note ``kind`` wherever the next ``count`` ids are in the chunk and none is bad."""
+    if count > len(bad):
+        return
+    ahead = np.zeros(len(bad) + 1, dtype=np.int32)
+    np.cumsum(bad, out=ahead[1:])
+    fits = np.flatnonzero((ahead[count:] == ahead[:-count]) & (left[: len(left) - count + 1] >= count))
+    step[fits], selector[fits] = count, kind
 
 
 def _heads(words: np.ndarray) -> np.ndarray:
@@ -110,18 +121,16 @@ def unpack(words: np.ndarray) -> np.ndarray:
 
 
 def encode(ids: np.ndarray) -> bytes:
-    words = pack(ids)
-    counts = _counts(words)
-    before = (np.cumsum(counts) - counts)[::STRIDE].astype("<u4")
+    words, before = pack(ids)
     head = MAGIC + struct.pack("<II", len(ids), len(words))
-    return head + before.tobytes() + words.astype("<u8").tobytes()
+    return head + before.astype("<u4").tobytes() + words.astype("<u8").tobytes()
 
 
 def decode(block: bytes) -> np.ndarray:
     if block[:4] != MAGIC:
         raise ValueError("not a block of this format")
     size, count = struct.unpack_from("<II", block, 4)
-    at = 12 + 4 * -(-count // STRIDE)
+    at = 12 + 4 * -(-size // CHUNK)
     ids = unpack(np.frombuffer(block, dtype="<u8", count=count, offset=at))
     if len(ids) != size:
         raise ValueError(f"{len(ids)} ids where the header says {size}")

@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.common import raw_text, row_key
-from tidemill.llm.recompress import Words, anchors
+from tidemill.llm.recompress import anchors
 from tidemill.llm.token_files import in_groups
+from tidemill.llm.words import named
 from tidemill.session import materialize
 
 WINDOW = 20
@@ -35,17 +36,6 @@ COUNT_BITS = 24  # a stretch of windows is one long: first place, then the numbe
 NEVER = np.iinfo(np.int64).max
 
 
-def _layout(texts: list[bytes], names: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The words' names, the number of each word's text, and each text's first word."""
-    words, sizes = [], []
-    for text in texts:
-        parts = text.split()
-        words.extend(parts)
-        sizes.append(len(parts))
-    sizes = np.array(sizes, dtype=np.int64)
-    return names.name(words), np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
-
-
 def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(values), dtype=bool)
@@ -65,13 +55,12 @@ def _find_anchors(window: int):
     )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Words()
         once = many = np.zeros(0, dtype=np.uint64)
         for batch in batches:
             rows = list(zip(batch["doc_id"].to_pylist(), batch["tag"].to_pylist()))
             for group, texts in in_groups(rows, batch["raw"].to_pylist()):
-                named, doc, _ = _layout(texts, names)
-                _, anchor, place, whole = anchors(named, doc, window)
+                names, doc = named(texts)
+                _, anchor, place, whole = anchors(names, doc, window)
                 new = np.ones(len(place), dtype=bool)
                 new[1:] = (place[1:] != place[:-1]) | ~whole[:-1]
                 at = np.flatnonzero(new & whole)
@@ -159,7 +148,6 @@ def _find_windows(window: int):
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = Words()
         for batch in batches:
             rows = zip(
                 batch["doc_id"].to_pylist(), batch["tag"].to_pylist(), batch["anchors"].to_pylist()
@@ -171,8 +159,9 @@ def _find_windows(window: int):
                 )
                 group = [group[i] for _, i in order]
                 texts = [texts[i] for _, i in order]
-                named, doc, start = _layout(texts, names)
-                hashed, anchor, _, whole = anchors(named, doc, window)
+                names, doc = named(texts)
+                start = np.searchsorted(doc, np.arange(len(texts)))
+                hashed, anchor, _, whole = anchors(names, doc, window)
                 shared = np.unique(
                     np.concatenate([np.array(r[2], dtype=np.int64) for r in group])
                 ).view(np.uint64)
@@ -183,7 +172,7 @@ def _find_windows(window: int):
                     anchor[by[1:]] == anchor[by[:-1]]
                 )
                 go, ask = np.sort(by[again]), np.sort(by[~again])
-                ends = np.append(start[1:], len(named))
+                ends = np.append(start[1:], len(names))
                 # windows that repeat within the batch are settled; a stretch is one row
                 for number in np.unique(doc[go]).tolist():
                     low, high = np.searchsorted(go, [start[number], ends[number]])

@@ -2,8 +2,9 @@
 
 The tokenizer splits at white space before anything else, so the ids of a text are the ids of
 its words one after the other. A word is given to the tokenizers library once and its ids are
-kept; texts are then put together from them in numpy. Where the tokenizer lowers letters and
-parts them from full stops and commas, ASCII words are looked up so too.
+kept; texts are then put together from them in numpy. Where the tokenizer lowers letters, parts
+them from punctuation and spells them in bytes, a Latin word is looked up in these two parts,
+and its letters go straight to the tokenizer's model.
 """
 
 from __future__ import annotations
@@ -12,7 +13,11 @@ import os
 
 import numpy as np
 
-WORDS_KEPT = 1_000_000  # then the memory starts anew
+WORDS_KEPT = 700_000  # then the memory starts anew
+TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+LATIN = 0x180  # letters below have one composed form and, but for two, one lower-case letter
+LAST = chr(LATIN)
+ODD = frozenset("\u0130\u0149")
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -34,9 +39,9 @@ class _Index(dict):
 
     def __init__(self):
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list = []
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word) -> int:
         number = self[word] = len(self)
         self.new.append(word)
         return number
@@ -49,18 +54,17 @@ class _Pieces:
         self.ids = np.zeros(1 << 20, dtype=np.uint32)
         self.start = np.zeros(1 << 18, dtype=np.int64)
         self.count = np.zeros(1 << 18, dtype=np.int64)
-        self.used = self.known = 0
+        self.used = 0
 
-    def add(self, ids: np.ndarray, count: np.ndarray) -> None:
-        more = len(count)
+    def add(self, numbers: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        last = int(numbers[-1]) + 1 if len(numbers) else 0
         self.ids = _room(self.ids, self.used + len(ids))
-        self.start = _room(self.start, self.known + more)
-        self.count = _room(self.count, self.known + more)
+        self.start = _room(self.start, last)
+        self.count = _room(self.count, last)
         self.ids[self.used : self.used + len(ids)] = ids
-        self.count[self.known : self.known + more] = count
-        self.start[self.known : self.known + more] = self.used + np.cumsum(count) - count
+        self.count[numbers] = count
+        self.start[numbers] = self.used + np.cumsum(count) - count
         self.used += len(ids)
-        self.known += more
 
     def join(self, numbers: np.ndarray, out: np.ndarray, at: np.ndarray) -> None:
         """Write list ``numbers[i]`` into ``out`` from ``at[i]`` on."""
@@ -76,15 +80,28 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.library.model)  # the merges alone
+        self.in_parts = False
+        self._forget()
+        self.in_parts = self._may_part()
+        self._forget()
+
+    def _may_part(self) -> bool:
+        """Whether the two ways agree on words that show all that the short way relies on."""
         lower, split = self.library.normalizer, self.library.pre_tokenizer
-        # words may be looked up in parts where the tokenizer takes them in these parts too
-        self.in_parts = bool(
-            lower
-            and split
-            and lower.normalize_str("Ab.,") == "ab.,"
-            and [piece for piece, _ in split.pre_tokenize_str("ab.,")] == ["ab", ".,"]
-        )
+        if not lower or not split or lower.normalize_str("AÉ") != "aé":
+            return False
+        if [piece for piece, _ in split.pre_tokenize_str("ab.,!")] != ["ab", ".,!"]:
+            return False
+        spelt = {c: split.pre_tokenize_str(chr(c)) for c in range(LATIN) if chr(c).isalpha()}
+        if any(len(pieces) != 1 for pieces in spelt.values()):
+            return False
+        self.spelling = {c: pieces[0][0] for c, pieces in spelt.items()}
+        probe = [b"Ab.,", "École!!".encode(), "ßüß%%%".encode(), b"the", "ÇÀ".encode()]
+        whole = self.encode(probe, 0)[0].tolist()
+        self.in_parts = True
         self._forget()
+        return self.encode(probe, 0)[0].tolist() == whole
 
     def _forget(self) -> None:
         self.index, self.parts = _Index(), _Index()
@@ -98,35 +115,44 @@ class WordEncoder:
             return
         first, second = [], []
         part = self.parts.__getitem__
+        known = len(self.parts) - len(self.parts.new)
         for word in words:
-            core = word.rstrip(b".,") if self.in_parts and word.isascii() else b""
-            if core.isalpha():
-                first.append(part(core.lower()))
-                second.append(part(word[len(core) :]))
-            else:
-                first.append(part(word))
-                second.append(self.nothing)
+            if self.in_parts:
+                text = word.decode()
+                core = text.rstrip(TAIL)
+                if core.isalpha() and (core.isascii() or (max(core) < LAST and not ODD.intersection(core))):
+                    first.append(part(core.lower()))
+                    second.append(part(text[len(core) :].encode()))
+                    continue
+            first.append(part(word))
+            second.append(self.nothing)
         new, self.parts.new = self.parts.new, []
-        if new:
-            found = self.library.encode(
-                [w.decode() for w in new], is_pretokenized=True, add_special_tokens=False
-            )
-            places = np.array(found.word_ids, dtype=np.int64)
-            self.pieces.add(
-                np.array(found.ids, dtype=np.uint32), np.bincount(places, minlength=len(new))
-            )
+        letters = [(n, w) for n, w in enumerate(new, known) if type(w) is str]
+        others = [(n, w.decode()) for n, w in enumerate(new, known) if type(w) is bytes]
+        if letters:
+            spelt = [w if w.isascii() else w.translate(self.spelling) for _, w in letters]
+            self._encode_parts(self.model, [n for n, _ in letters], spelt)
+        self._encode_parts(self.library, [n for n, _ in others], [w for _, w in others])
         one, two = np.array(first, dtype=np.int64), np.array(second, dtype=np.int64)
         count = self.pieces.count[one] + self.pieces.count[two]
         at = np.cumsum(count) - count
         ids = np.zeros(int(count.sum()), dtype=np.uint32)
         self.pieces.join(one, ids, at)
         self.pieces.join(two, ids, at + self.pieces.count[one])
-        self.words.add(ids, count)
+        total = len(self.index)
+        self.words.add(np.arange(total - len(words), total), ids, count)
+
+    def _encode_parts(self, tokenizer, numbers: list[int], parts: list[str]) -> None:
+        if parts:
+            found = tokenizer.encode(parts, is_pretokenized=True, add_special_tokens=False)
+            places = np.array(found.word_ids, dtype=np.int64)
+            count = np.bincount(places, minlength=len(parts))
+            self.pieces.add(np.array(numbers), np.array(found.ids, dtype=np.uint32), count)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (UTF-8) in one array, each text's followed by ``end``, and the
         bounds of the texts in it, one more than there are texts."""
-        if self.words.known > WORDS_KEPT:
+        if len(self.index) > WORDS_KEPT:
             self._forget()
         words, sizes = [], []
         for text in texts:
