@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, exact_dedup, packing, quality, sharding, simhash, substring_dedup, token_files
+from tidemill.llm import decontaminate, exact_dedup, line_dedup, packing, quality, sharding, simhash
+from tidemill.llm import substring_dedup, token_counts, token_files
 from tidemill.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,14 @@ def op3_packing(spark: SparkSession, root: str) -> DataFrame:
     return packing.packed(Tables(spark, root).documents)
 
 
+def op6_line_dedup(spark: SparkSession, root: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(Tables(spark, root).documents, texts=False)
+
+
+def op7_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    return token_counts.corpus_totals(Tables(spark, root).documents)
+
+
 def op8_sharding(spark: SparkSession, root: str) -> DataFrame:
     return sharding.sharded(Tables(spark, root).documents)
 
@@ -53,6 +62,8 @@ QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
@@ -70,4 +81,37 @@ ORACLES: dict[str, str] = {
                doc_id = min(doc_id) over (partition by flat) as kept,
                sha256(flat) as text_sha256
         from flat""",
+    "op6_line_dedup": r"""
+        with parts as (
+            select doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as pos
+            from documents),
+        wide as (
+            select line from parts where line <> '' group by line
+            having count(distinct coalesce(source, chr(0))) >= 10)
+        select doc_id,
+               count(*) as n_lines,
+               count(*) filter (line in (select line from wide)) as n_removed,
+               sha256(coalesce(string_agg(line, chr(10) order by pos)
+                   filter (line not in (select line from wide)), '')) as kept_sha256
+        from parts group by doc_id""",
+    "op7_token_counts": r"""
+        with clean as (
+            select *, regexp_replace(coalesce(text, ''), '[#$%&*|]+', '', 'g') as whole
+            from documents),
+        kept as (
+            select * from clean
+            qualify doc_id = min(doc_id) over (partition by whole)),
+        counts as (
+            select source, lang, strlen(whole) as bytes, 'words-1' as tokenizer,
+                   len(regexp_extract_all(whole, '[^\x20\x09-\x0D]+')) as tokens
+            from kept
+            union all
+            select source, lang, strlen(whole), 'pieces-1',
+                   len(regexp_extract_all(whole,
+                       '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]'))
+            from kept)
+        select source, lang, tokenizer, count(*) as documents,
+               sum(tokens)::bigint as tokens, sum(bytes)::bigint as bytes
+        from counts group by source, lang, tokenizer""",
 }
