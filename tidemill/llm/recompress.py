@@ -111,7 +111,7 @@ def anchors(
     ``window - reach + 1``. The leftmost of several smallest is taken, therefore two equal
     windows have their anchors at the same distance and never at the same place.
     """
-    size = len(names)
+    size, reach = len(names), min(reach, window)
     count = size - window + 1
     if count <= 0:
         none = np.zeros(0, dtype=np.uint64)
