@@ -105,19 +105,58 @@ def test_restart_goes_on(spark, small, tmp_path):
 def test_custom_source_reads_new_files_after_a_restart(spark, tmp_path):
     folder, checkpoint, out = tmp_path / "in", str(tmp_path / "cp"), str(tmp_path / "out")
     folder.mkdir()
-    for name, body in (("a", 'one, "x"\ntwo\n'), ("b", "three\n")):
+    for name, body in (("m", 'one, "x"\ntwo\n'), ("a", "three\n")):
         (folder / f"{name}.txt").write_text(body)
-        runner.run_to_files(streams.line_stream(spark, str(folder)), out, checkpoint, "text")
+        read = streams.line_stream(spark, str(folder), str(tmp_path / "log"))
+        runner.run_to_files(read, out, checkpoint, "text")
     assert sorted(r.value for r in spark.read.text(out).collect()) == ['one, "x"', "three", "two"]
 
 
+def test_custom_source_takes_files_in_portions(spark, tmp_path):
+    folder, checkpoint, out = tmp_path / "in", str(tmp_path / "cp"), str(tmp_path / "out")
+    folder.mkdir()
+    for number in range(5):
+        (folder / f"{9 - number}.txt").write_text(f"line {number}\n")
+    for run in range(3):
+        read = streams.line_stream(spark, str(folder), str(tmp_path / "log"), files_per_batch=2)
+        runner.run_to_files(read, out, checkpoint, "text")
+        assert spark.read.text(out).count() == min(5, 2 * run + 2)
+
+
+def test_custom_source_repeats_a_failed_batch(spark, tmp_path):
+    """A file that comes between the failure and the repetition is not part of the batch."""
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "m.txt").write_text("one\ntwo\n")
+    seen = []
+
+    def handle(frame, batch_id):
+        seen.append(sorted(r.value for r in frame.collect()))
+        if len(seen) == 1:
+            raise RuntimeError("lost")
+        write_batch(frame, batch_id, out)
+
+    def run():
+        read = streams.line_stream(spark, str(folder), str(tmp_path / "log"))
+        runner.run_each_batch(read, handle, str(tmp_path / "cp"))
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    (folder / "a.txt").write_text("three\n")
+    run()
+    run()
+    assert seen == [["one", "two"], ["one", "two"], ["three"]]
+
+
 @pytest.mark.parametrize("split_bytes", [1, 3, 7, 1000])
 def test_custom_source_splits_files_between_lines(spark, tmp_path, split_bytes):
     lines = ["é one", "", "three", "x" * 40, "last"]
-    (tmp_path / "a.txt").write_text("\n".join(lines))
-    (tmp_path / "b.txt").write_text("only\r\n")
-    (tmp_path / "empty.txt").write_text("")
-    read = streams.line_stream(spark, str(tmp_path), split_bytes)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.txt").write_text("\n".join(lines))
+    (folder / "b.txt").write_text("only\r\n")
+    (folder / "empty.txt").write_text("")
+    read = streams.line_stream(spark, str(folder), str(tmp_path / "log"), split_bytes)
     got = runner.appended(read, "split").collect()
     assert sorted(r.value for r in got) == sorted([*lines, "only"])
 

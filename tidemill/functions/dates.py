@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 DATE_TIME = "yyyy-MM-dd HH:mm:ss"
 DAY_DASHED = "yyyy-MM-dd"
 DAY_COMPACT = "yyyyMMdd"
+ISO_TEXT = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?)(?:Z|[+-]\d{2}:?\d{2})?$"
 
 
 def millis_to_text(millis: str | Column, fmt: str = DATE_TIME) -> Column:
@@ -45,9 +46,10 @@ def now_text(fmt: str = DATE_TIME) -> Column:
 
 
 def iso_text_to_timestamp(text: str | Column) -> Column:
-    """``2018-09-13T02:15:16+08:00`` without its zone; NULL if it is no date-time."""
-    bare = F.replace(F.get(F.split(text, r"\+"), F.lit(0)), F.lit("T"), F.lit(" "))
-    return F.try_to_timestamp(bare, F.lit(DATE_TIME))
+    """``2018-09-13T02:15:16+08:00`` as written, without its zone (``Z``, ``+08:00`` or
+    ``-05:00``) and with its fraction; NULL if it is no date-time."""
+    day, time = F.regexp_extract(text, ISO_TEXT, 1), F.regexp_extract(text, ISO_TEXT, 2)
+    return F.try_to_timestamp(F.concat(day, F.lit(" "), time))
 
 
 def week_start(day: str | Column) -> Column:

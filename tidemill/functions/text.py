@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# fixed values: the access-log line and its time format
-LOG_PATTERN = r"^(\S+) \S+ \S+ \[([^\]]+)\] \"([^\"]*)\" (\d+) (\d+)"
+# fixed values: the start of an access-log line (sizes and codes may be "-") and its time format
+LOG_PATTERN = r"^(\S+) \S+ \S+ \[([^\]]+)\] ."
 LOG_TIME = "dd/MMM/yyyy:HH:mm:ss"
 LOG_TIME_ZONED = "dd/MMM/yyyy:HH:mm:ss Z"
 

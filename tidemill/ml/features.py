@@ -34,11 +34,13 @@ def split(
 
 
 def index_labels(df: DataFrame, column: str, name: str):
-    """Frequency order, equal counts in alphabetical order; model and indexed frame."""
+    """Frequency order, equal counts in alphabetical order; model and indexed frame. Rows
+    without a value stay, without an index."""
     model = StringIndexer(
-        inputCol=column, outputCol=name, stringOrderType="frequencyDesc", handleInvalid="skip"
+        inputCol=column, outputCol=name, stringOrderType="frequencyDesc", handleInvalid="keep"
     ).fit(df)
-    return model, model.transform(df)
+    known = F.when(F.col(name) < len(model.labels), F.col(name))
+    return model, model.transform(df).withColumn(name, known)
 
 
 def label_names(model, column: str, name: str) -> IndexToString:

@@ -161,7 +161,7 @@ def als(
         rank=rank,
         maxIter=iterations,
         regParam=penalty,
-        coldStartStrategy="drop",
+        coldStartStrategy="nan",
         seed=seed,
     )
     with held(ratings) as rows:

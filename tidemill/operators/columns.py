@@ -36,9 +36,10 @@ def lookup(
 
 
 def levels(column: str | Column, bounds: list[tuple[float, str]], top: str) -> Column:
-    """Half-open ranges: the label of the first bound above the value, else ``top``."""
+    """Half-open ranges: the label of the first bound above the value, else ``top``; NULL has
+    no level."""
     score = F.col(column) if isinstance(column, str) else column
-    chain = F.when(score < bounds[0][0], bounds[0][1])
-    for bound, label in bounds[1:]:
+    chain = F.when(score.isNull(), F.lit(None).cast("string"))
+    for bound, label in bounds:
         chain = chain.when(score < bound, label)
     return chain.otherwise(top)

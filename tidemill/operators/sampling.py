@@ -15,8 +15,10 @@ def hash_rank(keys: list[str], seed: int) -> Column:
 
 
 def cut_point(share: float) -> str:
-    """The 8-digit hex prefix below which a ``share`` of all digests lies."""
-    return format(min(SPACE - 1, round(share * SPACE)), "08x")
+    """The text below which a ``share`` of all digests lies: an 8-digit hex prefix, or a letter
+    after all hex digits for the whole."""
+    point = round(share * SPACE)
+    return format(point, "08x") if point < SPACE else "g"
 
 
 def hash_fraction(df: DataFrame, keys: list[str], fraction: float, seed: int = 0) -> DataFrame:

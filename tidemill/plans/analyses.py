@@ -25,7 +25,7 @@ def longest_streaks(logins: DataFrame, user: str, day: str, name: str = "cnt_day
 
 def pivot_sums(df: DataFrame, key: str, column: str, values: list[str], amount: str) -> DataFrame:
     """One column per listed value; 0 where a key has none."""
-    return df.groupBy(key).pivot(column, values).agg(F.sum(amount)).na.fill(0)
+    return df.groupBy(key).pivot(column, values).agg(F.sum(amount)).na.fill(0, subset=values)
 
 
 def pivot_when(df: DataFrame, key: str, column: str, values: list[str], amount: str) -> DataFrame:
@@ -43,15 +43,15 @@ def _conditional_sums(column: str, values: list[str], amount: str) -> list[Colum
 def pivot_with_total(
     df: DataFrame, key: str, column: str, values: list[str], amount: str, label: str = "total"
 ) -> DataFrame:
-    """The pivot with a total per row and one more line for all keys, in one pass."""
+    """The pivot with a total per row and one more line for all keys, in one pass. The total
+    counts every value, also those without a column."""
     sums = df.rollup(key).agg(
-        F.grouping(key).alias("_all"), *_conditional_sums(column, values, amount)
+        F.grouping(key).alias("_all"),
+        *_conditional_sums(column, values, amount),
+        F.coalesce(F.sum(amount), F.lit(0.0)).alias("_sum"),
     )
-    row_total = F.lit(0.0)
-    for value in values:
-        row_total = row_total + F.col(value)
     name = F.when(F.col("_all") == 1, F.lit(label)).otherwise(F.col(key).cast("string"))
-    return sums.select(name.alias(key), *values, row_total.alias("total"))
+    return sums.select(name.alias(key), *values, F.col("_sum").alias("total"))
 
 
 def page_and_visitor_counts(visits: DataFrame, visitor: str, day: str) -> DataFrame:

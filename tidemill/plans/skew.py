@@ -1,15 +1,20 @@
 """Joins and aggregates for keys that may hold a large share of all rows.
 
-The salt is the id of the task that reads the row. It spreads a hot key over the
-scan's tasks, and a task that is run again gives its rows the same salt.
+The salt is a hash of the row's own columns and of the task that reads it: a hot key is spread
+over all salts also where a table is sorted by it, copies of one row are spread over tasks, and
+a task that is run again gives its rows the same salts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemill.session import materialize
 
 SALT = "_salt"
+HOT = "_hot"
 HOT_FRACTION = 0.001
 
 # fixed values: how the partial result of each aggregate is merged
@@ -17,8 +22,11 @@ MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
 PARTIAL = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
-def task_salt(salts: int) -> Column:
-    return F.pmod(F.spark_partition_id(), F.lit(salts))
+def row_salt(df: DataFrame, salts: int) -> Column:
+    plain = [
+        F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
+    ]
+    return F.pmod(F.xxhash64(*plain, F.spark_partition_id()), F.lit(salts)).cast("int")
 
 
 def agg_salted(
@@ -40,7 +48,7 @@ def agg_salted(
             second.append(MERGE[kind](name).alias(name))
             finish.append(F.col(name))
     return (
-        df.withColumn(SALT, task_salt(salts))
+        df.withColumn(SALT, row_salt(df, salts))
         .groupBy(*keys, SALT)
         .agg(*first)
         .groupBy(*keys)
@@ -55,7 +63,7 @@ def join_salted(
     """Salt ``big``; repeat each row of ``small`` once per salt. For inner and left joins."""
     if how not in ("inner", "left"):
         raise ValueError("a repeated right side is only right for inner and left joins")
-    salted = big.withColumn(SALT, task_salt(salts))
+    salted = big.withColumn(SALT, row_salt(big, salts))
     repeated = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, SALT], how).drop(SALT)
 
@@ -63,13 +71,9 @@ def join_salted(
 def hot_keys(df: DataFrame, keys: list[str], fraction: float = HOT_FRACTION) -> DataFrame:
     """Keys holding more than ``fraction`` of the rows: at most 1/fraction of them,
     which bounds every broadcast of this frame."""
-    threshold = df.count() * fraction
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > F.lit(threshold))
-        .select(*keys)
-    )
+    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "counts")
+    threshold = (counts.agg(F.sum("_rows")).first()[0] or 0) * fraction
+    return counts.filter(F.col("_rows") > F.lit(threshold)).select(*keys)
 
 
 def join_hot_split(
@@ -80,13 +84,18 @@ def join_hot_split(
     fraction: float = HOT_FRACTION,
     salts: int = 20,
 ) -> DataFrame:
-    """Join the hot keys salted and the others as usual, then unite."""
-    hot = F.broadcast(hot_keys(big, on, fraction))
-    hot_part = join_salted(
-        big.join(hot, on, "left_semi"), small.join(hot, on, "left_semi"), on, how, salts
+    """One join: rows of hot keys are salted and meet ``salts`` copies of their row of
+    ``small``, all others have salt 0 and one copy. The list of hot keys is written once."""
+    if how not in ("inner", "left"):
+        raise ValueError("a repeated right side is only right for inner and left joins")
+    hot = materialize(hot_keys(big, on, fraction).withColumn(HOT, F.lit(True)), "hot")
+    hot = F.broadcast(hot)  # at most 1 / fraction rows
+    salted = big.join(hot, on, "left").withColumn(
+        SALT, F.when(F.col(HOT), row_salt(big, salts)).otherwise(0)
     )
-    rest = big.join(hot, on, "left_anti").join(small, on, how)
-    return hot_part.unionByName(rest)
+    copies = F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = small.join(hot, on, "left").withColumn(SALT, F.explode(copies)).drop(HOT)
+    return salted.drop(HOT).join(repeated, [*on, SALT], how).drop(SALT)
 
 
 def join_full_split(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -60,6 +60,24 @@ def total_row(t):
     return rounded(analyses.pivot_with_total(t.events, "user_id", "event_type", TYPES, "value"))
 
 
+PART_COLUMNS = ", ".join(
+    f"round(coalesce(sum(value) filter (where event_type = '{v}'), 0), 2) as {v}" for v in TYPES[:3]
+)
+
+
+@query(
+    "total_row_part",
+    f"""select cast(user_id as varchar) as user_id, {PART_COLUMNS}, round(sum(value), 2) as total
+        from events group by user_id
+        union all select 'total', {PART_COLUMNS}, round(sum(value), 2) from events""",
+)
+def total_row_part(t):
+    """Some types have no column of their own and count in the total all the same."""
+    return rounded(
+        analyses.pivot_with_total(t.events, "user_id", "event_type", TYPES[:3], "value")
+    )
+
+
 @query(
     "pv_uv",
     """with f as (select user_id, min(cast(ts as date)) as day from events group by 1),

@@ -173,7 +173,8 @@ def ml_als(t):
     )
     train, test = features.split(ratings, ["user", "item"], 0.9)
     model = jobs.als(train, "user", "item", "rating")
-    return model.transform(test).select("user", "item", "rating", "prediction")
+    known = F.when(~F.isnan("prediction"), F.col("prediction"))  # NULL: a cold user or item
+    return model.transform(test).select("user", "item", "rating", known.alias("prediction"))
 
 
 @query(

@@ -66,6 +66,12 @@ def sample_frac(t):
     return hash_fraction(t.events.select("event_id", "value"), ["event_id"], 0.2, seed=7)
 
 
+@query("sample_all", "select event_id, value from events")
+def sample_all(t):
+    """The whole as a fraction."""
+    return hash_fraction(t.events.select("event_id", "value"), ["event_id"], 1.0, seed=7)
+
+
 @query(
     "sample_n",
     "select event_id, value from events order by md5('7|' || event_id), event_id limit 100",

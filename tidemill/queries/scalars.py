@@ -124,7 +124,9 @@ def fn_datetime_utils(t):
     """select event_id, date_trunc('second', ts) as cleaned from events""",
 )
 def fn_iso_cleanup(t):
-    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0800"))
+    zones = F.array(*[F.lit(z) for z in ("+0800", ".000Z", "-05:00", "+08:00")])
+    zone = F.get(zones, (F.col("event_id") % 4).cast("int"))
+    iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), zone)
     cleaned = dates.iso_text_to_timestamp(iso).cast("timestamp_ntz")
     return t.events.select("event_id", cleaned.alias("cleaned"))
 
@@ -181,7 +183,7 @@ def fn_substring(t):
 
 
 def log_lines(t):
-    """Access-log lines written from the events."""
+    """Access-log lines written from the events; answers without a body have "-" as size."""
     ip = F.concat_ws(
         ".",
         F.lit("10"),
@@ -191,11 +193,13 @@ def log_lines(t):
     )
     return t.events.select(
         F.format_string(
-            '%s - - [%s +0000] "GET /%s HTTP/1.1" 200 %d',
+            '%s - - [%s +0000] "GET /%s HTTP/1.1" %s',
             ip,
             F.date_format("ts", text.LOG_TIME),
             F.col("event_type"),
-            F.col("event_id"),
+            F.when(F.col("event_type") == "view", "304 -").otherwise(
+                F.concat(F.lit("200 "), F.col("event_id"))
+            ),
         ).alias("line")
     )
 
@@ -205,7 +209,8 @@ def log_lines(t):
     r"""with lines as (
          select '10.' || (user_id // 65536 % 256) || '.' || (user_id // 256 % 256) || '.' ||
            (user_id % 256) || ' - - [' || strftime(ts, '%d/%b/%Y:%H:%M:%S') ||
-           ' +0000] "GET /' || event_type || ' HTTP/1.1" 200 ' || event_id as line from events)
+           ' +0000] "GET /' || event_type || ' HTTP/1.1" ' || case event_type when 'view' then
+           '304 -' else '200 ' || event_id end as line from events)
        select regexp_extract(line, '^(\S+)', 1) as ip,
          cast(strptime(regexp_extract(line, '\[(\S+)', 1), '%d/%b/%Y:%H:%M:%S') as date) as day,
          count(*) as hits from lines group by 1, 2""",
@@ -214,9 +219,9 @@ def log_parse(t):
     return (
         log_lines(t)
         .select(text.log_ip("line").alias("ip"), text.log_day("line").alias("day"))
-        .filter(F.col("day").isNotNull())
         .groupBy("ip", "day")
         .agg(F.count(F.lit(1)).alias("hits"))
+        .filter(F.col("day").isNotNull())
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import words
@@ -21,10 +22,13 @@ from tidemill.streaming import delivery, runner, state
 from tidemill.tables import SCHEMAS
 
 WHOLE_SPAN = "40 days"
+PLANNED = "lost on purpose after the results were written"
 
 
 def timed(t, name="events", column="ts", delay=WHOLE_SPAN):
-    return streams.event_time(t.stream(name), column, delay)
+    """The table as a stream of several micro-batches, a range of times in each file."""
+    rows = t.stream_of(name, t.split(name, column), files_per_trigger=1)
+    return streams.event_time(rows, column, delay)
 
 
 @query(
@@ -68,10 +72,19 @@ def stream_queue(t):
 
 @query("stream_custom_source", "select p_name as value from part")
 def stream_custom_source(t):
-    """Lines through a custom source that tasks can read again."""
-    folder = work_path(t.spark, "lines")
-    t.part.select(F.col("p_name").alias("value")).repartition(4).write.text(folder)
-    return runner.appended(streams.line_stream(t.spark, folder), "lines-out")
+    """Lines through a custom source that tasks can read again: two pushes, one checkpoint,
+    the names of the second sorting before those of the first."""
+    spark = t.spark
+    folder, log = work_path(spark, "lines"), work_path(spark, "lines-log")
+    out, checkpoint = work_path(spark, "lines-out"), work_path(spark, "lines-checkpoint")
+    lines = t.part.select(F.col("p_name").alias("value"), F.col("p_partkey") % 2 == 0)
+    for even in (True, False):
+        pushed = work_path(spark, "push")
+        lines.where(lines[1] == even).select("value").write.text(pushed)
+        streams.move_in(spark, pushed, folder, "b" if even else "a")
+        read = streams.line_stream(spark, folder, log)
+        runner.run_to_files(read, out, checkpoint)
+    return spark.read.schema("value string").parquet(out)
 
 
 @query("stream_file_sink", "select event_id, value, event_type from events")
@@ -98,7 +111,7 @@ def stream_foreach(t):
     folder = work_path(t.spark, "foreach")
     rows = t.stream("supplier").select("s_suppkey", "s_name")
     with runner.stream_conf(t.spark):
-        writer = rows.writeStream.foreach(FileWriterPerTask(folder))
+        writer = rows.writeStream.foreach(FileWriterPerTask(t.spark, folder))
         writer = writer.option("checkpointLocation", work_path(t.spark, "foreach-checkpoint"))
         runner.finish(writer.trigger(availableNow=True).start())
     return t.spark.read.schema(rows.schema).json(folder)
@@ -195,11 +208,15 @@ def stream_topn(t):
 
 @query("stream_running_count", WORD_COUNT_SQL)
 def stream_running_count(t):
-    """Word count over a folder of text lines; all words after every batch."""
+    """Word count over a folder of text files, two pushes; the words that changed after every
+    batch, and the last count of each."""
     folder = work_path(t.spark, "text-in")
-    t.documents.select(F.col("text").alias("value")).repartition(3).write.text(folder)
+    texts = t.documents.select(F.col("text").alias("value"), F.col("doc_id") % 2)
+    for rest in (0, 1):
+        texts.where(texts[1] == rest).select("value").write.mode("append").text(folder)
     lines = streams.text_stream(t.spark, folder, files_per_trigger=1)
-    return runner.completed(state.running_count(words(lines, "value"), "word"), "words")
+    counts = state.running_count(words(lines, "value"), "word")
+    return runner.updated(counts, ["word"], "words")
 
 
 @query("stream_map_with_state", WORD_COUNT_SQL)
@@ -216,7 +233,8 @@ def stream_map_with_state(t):
 )
 def stream_custom_state(t):
     """State kept by a function over batches of rows."""
-    amounts = t.stream("events").select("user_id", F.col("value").cast("bigint").alias("amount"))
+    events = t.stream_of("events", t.split("events", "ts"), files_per_trigger=1)
+    amounts = events.select("user_id", F.col("value").cast("bigint").alias("amount"))
     totals = state.running_totals(amounts, "user_id", "amount")
     return state.merged_totals(runner.updated(totals, ["user_id", SALT], "totals"), "user_id")
 
@@ -279,15 +297,16 @@ def stream_key_window(t):
 )
 def stream_watermark(t):
     """Append mode: a window comes out once the watermark has passed its end."""
+    events = streams.event_time(t.stream("events"), "ts", "1 hour")
     measures = [F.count(F.lit(1)).alias("cnt")]
-    windows = state.windowed(timed(t, delay="1 hour"), "ts", "1 day", None, measures)
+    windows = state.windowed(events, "ts", "1 day", None, measures)
     return runner.appended(windows, "watermark")
 
 
 @query("stream_dedup", "select event_id, ts, event_type from events")
 def stream_dedup(t):
     """The stream united with itself; one row is kept of each (id, event time)."""
-    once, again = timed(t), timed(t)
+    once, again = timed(t), streams.event_time(t.stream("events"), "ts", WHOLE_SPAN)
     unique = state.unique(once.union(again), ["event_id", "ts"])
     stamp = F.col("ts").cast("timestamp_ntz").alias("ts")
     return runner.appended(unique.select("event_id", stamp, "event_type"), "dedup")
@@ -295,7 +314,7 @@ def stream_dedup(t):
 
 @query("stream_dedup_within", "select event_id, event_type from events")
 def stream_dedup_within(t):
-    once, again = timed(t), timed(t)
+    once, again = timed(t), streams.event_time(t.stream("events"), "ts", WHOLE_SPAN)
     unique = state.unique(once.union(again), ["event_id"], within_watermark=True)
     return runner.appended(unique.select("event_id", "event_type"), "dedup-within")
 
@@ -325,13 +344,32 @@ def stream_restart(t):
 
 @query("exactly_once", "select event_id, value from events")
 def exactly_once(t):
-    """The same input delivered twice, the second time without the first's checkpoint."""
+    """A delivery that fails after two batches of one file, and goes on with three files a
+    batch on the same checkpoint. A new checkpoint over the same results is refused."""
     results, log = work_path(t.spark, "results"), work_path(t.spark, "offsets")
-    for _ in range(2):
-        rows = t.stream("events").select("event_id", "value", "event_type", "ts")
-        delivery.deliver_once(
-            rows, results, log, work_path(t.spark, "once-checkpoint"), event_positions
-        )
+    checkpoint = work_path(t.spark, "once-checkpoint")
+    folder = t.split("events", "ts")
+
+    def run(per_trigger, positions, where):
+        rows = t.stream_of("events", folder, files_per_trigger=per_trigger)
+        rows = rows.select("event_id", "value", "event_type", "ts")
+        delivery.deliver_once(rows, results, log, where, positions)
+
+    def fails_later(frame):
+        if t.spark.read.parquet(results).select("batch_id").distinct().count() > 2:
+            raise RuntimeError(PLANNED)
+        return event_positions(frame)
+
+    for positions, where in (
+        (fails_later, checkpoint),
+        (event_positions, checkpoint),
+        (event_positions, work_path(t.spark, "other-checkpoint")),
+    ):
+        try:
+            run(1 if positions is fails_later else 3, positions, where)
+        except (StreamingQueryException, ValueError) as error:
+            if PLANNED not in str(error) and "another checkpoint" not in str(error):
+                raise
     return t.spark.read.parquet(results).select("event_id", "value")
 
 

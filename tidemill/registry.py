@@ -35,7 +35,7 @@ class Query:
     oracle: str | None
 
     def __call__(self, spark: SparkSession, root: str) -> DataFrame:
-        size_shuffles(spark)
+        size_shuffles(spark, root)
         ship_package(spark)
         return self.build(Tables(spark, root))
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import math
 import os
 import tempfile
 import uuid
 import zipfile
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_CONF = {
@@ -82,13 +84,23 @@ def ship_package(spark: SparkSession) -> None:
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def size_shuffles(spark: SparkSession) -> None:
-    """On a cluster start shuffles with three partitions per core, unless the session says
-    more; AQE merges those that stay small. A local session is left as it is."""
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The size of everything under ``path``, from the store's own listing."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.getContentSummary(where).getLength() if store.exists(where) else 0
+
+
+def size_shuffles(spark: SparkSession, root: str | None = None) -> None:
+    """On a cluster start shuffles with as many partitions as the tables under ``root`` ask
+    for, three per core at least, unless the session says more; AQE merges those that stay
+    small. A local session is left as it is."""
     context = spark.sparkContext
     if context.master.startswith("local") or spark.conf.get(INITIAL_PARTITIONS, None):
         return
-    wanted = 3 * context.defaultParallelism
+    cores = context.defaultParallelism
+    asked = cluster_conf(folder_bytes(spark, root) if root else 0, cores)
+    wanted = max(3 * cores, int(asked["spark.sql.shuffle.partitions"]))
     if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
@@ -111,9 +123,39 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without is on the cluster's default file system, which
+    code that runs outside Spark must not take for the local disk."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(where).toString()
+
+
+_RUNS: dict[str, str] = {}
+
+
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder under the shared one. It goes when the driver ends."""
+    run = spark.sparkContext.applicationId
+    if run not in _RUNS:
+        _RUNS[run] = f"{qualified(spark, shared_root(spark))}/run-{run}-{uuid.uuid4().hex[:8]}"
+        where = spark._jvm.org.apache.hadoop.fs.Path(_RUNS[run])
+        store = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        atexit.register(_remove, store, where)
+    return _RUNS[run]
+
+
+def _remove(store, where) -> None:
+    """Delete what an application wrote with ``work_path``; the session may have stopped."""
+    try:
+        store.delete(where, True)
+    except (Py4JError, OSError):  # the JVM is gone already
+        return
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder; nothing is ever written there twice."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path in the run folder; nothing is ever written there twice."""
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -6,10 +6,12 @@ a second run of the same batch leaves the same rows.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.plans.bounds import checked_broadcast
+from tidemill.plans.bounds import checked_broadcast, null_safe
 from tidemill.session import materialize
 from tidemill.sinks.files import write_partitioned
 
@@ -27,12 +29,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], sequence: str) -> DataFrame:
     """``base`` with the changes put in; of several changes of a key the last one counts.
 
-    Only the changes are grouped. The base is not shuffled when the changed keys are
-    measured to fit a broadcast.
+    Only the changes are grouped, once. The base is not shuffled when the changed keys are
+    measured to fit a broadcast. A NULL key is a key like any other.
     """
-    latest = latest_per_key(changes, keys, [sequence]).select(*base.columns)
+    latest = materialize(latest_per_key(changes, keys, [sequence]).select(*base.columns), "latest")
     changed = checked_broadcast(latest.select(*keys))
-    return base.join(changed, keys, "left_anti").unionByName(latest)
+    same = null_safe(base, changed, [(k, k) for k in keys])
+    return base.join(changed, same, "left_anti").unionByName(latest)
 
 
 def upsert_partitions(
@@ -40,21 +43,43 @@ def upsert_partitions(
 ) -> None:
     """Upsert into a partitioned folder, rewriting only the partitions that change.
 
-    ``partition`` must be a function of the key. The new rows are written aside first,
-    because Spark cannot replace files that it is still reading.
+    A changed key may move to another partition: the partitions that now hold it are found
+    by reading the keys alone. The new rows are written aside first, because Spark cannot
+    replace files that it is still reading. A partition that loses its last row is removed.
     """
     spark = changes.sparkSession
     base = spark.read.parquet(base_path)
-    touched = checked_broadcast(changes.select(partition).distinct())
-    merged = upsert(base.join(touched, partition, "left_semi"), changes, keys, sequence)
-    staged = materialize(merged.select(*base.columns), "upsert")
+    changed = checked_broadcast(changes.select(*keys).distinct())
+    held = base.select(*keys, partition)
+    same = null_safe(held, changed, [(k, k) for k in keys])
+    old = held.join(changed, same, "left_semi").select(partition)
+    touched = materialize(old.union(changes.select(partition)).distinct(), "touched")
+    near = checked_broadcast(touched)
+    affected = base.join(near, null_safe(base, near, [(partition, partition)]), "left_semi")
+    staged = materialize(
+        upsert(affected, changes, keys, sequence).select(*base.columns), "upsert"
+    )
     write_partitioned(staged, base_path, [partition], "overwrite")
+    left = staged.select(partition).distinct()
+    emptied = touched.join(left, null_safe(touched, left, [(partition, partition)]), "left_anti")
+    clear_partitions(spark, base_path, partition, emptied)
+
+
+def clear_partitions(spark, base_path: str, partition: str, values: DataFrame) -> None:
+    """Empty the folders of these values, a folder at a time."""
+    schema = spark.read.parquet(base_path).drop(partition).schema
+    for row in values.toLocalIterator():
+        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else quote(str(row[0]), safe=" -_.")
+        nothing = spark.createDataFrame([], schema)
+        writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.parquet(f"{base_path}/{partition}={value}")
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """The rows of one batch as one partition: written again, they replace themselves."""
-    writer = df.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+    """The rows of one batch as one partition: written again, they replace themselves, also
+    when the batch has become empty."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
 
 
 def staged_append(df: DataFrame, batch_id: int, stage: str, target: str) -> None:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import io
+import json
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from tidemill.session import qualified
+from tidemill.sinks.streams import open_store
 from tidemill.sources.files import MICROS
 
 FILES_PER_TRIGGER = 1_000
 LINE_SPLIT_BYTES = 128 * 1024 * 1024
-LINES_PER_BATCH = 10_000
+READ_BYTES = 1024 * 1024
 
 
 def file_options(
@@ -74,6 +78,16 @@ def queue_stream(
     return file_stream(spark, "parquet", queue, schema, files_per_trigger=per_trigger)
 
 
+def move_in(spark: SparkSession, written: str, folder: str, prefix: str) -> None:
+    """Put the finished part files of ``written`` into ``folder`` under names with a prefix."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    target = fs.Path(folder)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target)
+    for file in store.globStatus(fs.Path(f"{written}/part-*")) or []:
+        store.rename(file.getPath(), fs.Path(target, prefix + file.getPath().getName()))
+
+
 class LineSplit(InputPartition):
     """Bytes ``start`` to ``end`` of a file: the lines whose first byte lies in there."""
 
@@ -83,53 +97,96 @@ class LineSplit(InputPartition):
 
 
 class LineReader(DataSourceStreamReader):
-    """Offset n means: the first n files in name order. Any range can be read again, so
-    a lost task or a restart gives the same lines. Large files are split over tasks."""
-
-    def __init__(self, path: str, split_bytes: int):
-        self.path = path
-        self.split_bytes = split_bytes
-
-    def _files(self) -> list[tuple[str, int]]:
-        filesystem, root = pafs.FileSystem.from_uri(self.path)
-        found = filesystem.get_file_info(pafs.FileSelector(root))
-        return sorted(
-            (f.path, f.size) for f in found if f.is_file and f.base_name[0] not in "._"
-        )
+    """Offset n means entry n of a log. An entry lists files (path, size) that no earlier entry
+    has, whatever their names and times, so a file is read once, and a batch that is repeated
+    has the lines it had. Large files are split over tasks; an entry has at most
+    ``files_per_batch`` files; files left over are in the next."""
+
+    def __init__(self, path: str, log: str, split_bytes: int, files_per_batch: int):
+        self.path, self.log = path, log
+        self.split_bytes, self.files_per_batch = split_bytes, files_per_batch
+        store, folder = open_store(log)
+        store.create_dir(folder, recursive=True)
+        found = store.get_file_info(pafs.FileSelector(folder))
+        self.entries = sum(f.base_name.isdigit() for f in found)
+        self.seen = {name for n in range(1, self.entries + 1) for name, _ in self._entry(n)}
+
+    def _entry(self, number: int) -> list[tuple[str, int]]:
+        store, folder = open_store(self.log)
+        with store.open_input_stream(f"{folder}/{number:09d}") as source:
+            return [tuple(file) for file in json.loads(source.read())]
+
+    def _add_entry(self, files: list[tuple[str, int]]) -> None:
+        """Written aside and moved, so that an entry is whole or not there."""
+        store, folder = open_store(self.log)
+        self.entries += 1
+        with store.open_output_stream(f"{folder}/.{self.entries:09d}") as out:
+            out.write(json.dumps(files).encode())
+        store.move(f"{folder}/.{self.entries:09d}", f"{folder}/{self.entries:09d}")
+        self.seen.update(name for name, _ in files)
 
     def initialOffset(self) -> dict:
-        return {"files": 0}
+        return {"entry": 0}
 
     def latestOffset(self) -> dict:
-        return {"files": len(self._files())}
+        store, root = open_store(self.path)
+        found = store.get_file_info(pafs.FileSelector(root))
+        new = sorted(
+            (f.path, f.size)
+            for f in found
+            if f.is_file and f.base_name[0] not in "._" and f.path not in self.seen
+        )
+        if new:
+            self._add_entry(new[: self.files_per_batch])
+        return {"entry": self.entries}
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         return [
             LineSplit(name, at, min(size, at + self.split_bytes))
-            for name, size in self._files()[start["files"] : end["files"]]
+            for number in range(start["entry"] + 1, end["entry"] + 1)
+            for name, size in self._entry(number)
             for at in range(0, size, self.split_bytes)
         ]
 
     def read(self, partition: LineSplit) -> Iterator[pa.RecordBatch]:
-        filesystem, _ = pafs.FileSystem.from_uri(self.path)
-        with io.BufferedReader(filesystem.open_input_file(partition.name), 1 << 20) as source:
-            if partition.start:
-                source.seek(partition.start - 1)
-                source.readline()
-            while source.tell() < partition.end:
-                lines = []
-                while len(lines) < LINES_PER_BATCH and source.tell() < partition.end:
-                    line = source.readline()
-                    lines.append(line.removesuffix(b"\n").removesuffix(b"\r"))
-                values = pa.array(lines, pa.binary()).cast(pa.string())
-                yield pa.RecordBatch.from_arrays([values], ["value"])
+        store, _ = open_store(self.path)
+        with store.open_input_file(partition.name) as source:
+            for lines in _line_blocks(source, partition.start, partition.end):
+                values = pa.array([x.removesuffix(b"\r") for x in lines], pa.binary())
+                yield pa.RecordBatch.from_arrays([values.cast(pa.string())], ["value"])
 
     def commit(self, end: dict) -> None:
         pass
 
 
+def _line_blocks(source, start: int, end: int) -> Iterator[list[bytes]]:
+    """The lines that begin at a byte from ``start`` to before ``end``, block by block."""
+    at, rest = max(0, start - 1), b""
+    source.seek(at)
+    cut = -1
+    while start and cut < 0:  # the line that holds the byte before ``start`` is another's
+        block = source.read(READ_BYTES)
+        if not block:
+            return
+        cut = block.find(b"\n")
+        at, rest = (at + cut + 1, block[cut + 1 :]) if cut >= 0 else (at + len(block), b"")
+    while at < end:  # ``at`` is the place of the first byte of ``rest``, where a line begins
+        block = source.read(READ_BYTES)
+        rest += block
+        last = rest.find(b"\n", end - at - 1)  # ends the last line that begins before ``end``
+        if last >= 0 or not block:
+            lines = rest[: last + 1] if last >= 0 else rest
+            if lines:
+                yield lines.removesuffix(b"\n").split(b"\n")
+            return
+        whole = rest.rfind(b"\n") + 1
+        if whole:
+            yield rest[: whole - 1].split(b"\n")
+            at, rest = at + whole, rest[whole:]
+
+
 class LineSource(DataSource):
-    """Custom source: lines of files whose names sort in order of arrival."""
+    """Custom source: lines of the files that appear in a folder."""
 
     @classmethod
     def name(cls) -> str:
@@ -139,12 +196,37 @@ class LineSource(DataSource):
         return "value string"
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return LineReader(self.options["path"], int(self.options["splitBytes"]))
+        return LineReader(
+            self.options["path"],
+            self.options["log"],
+            int(self.options["splitBytes"]),
+            int(self.options["filesPerBatch"]),
+        )
+
+
+def _register_by_value(spark: SparkSession, source: type[DataSource]) -> None:
+    """Plans of Python sources are made in processes that no package is shipped to, so the
+    class goes with its code."""
+    modules = [sys.modules[name] for name in (__name__, open_store.__module__)]
+    for module in modules:
+        cloudpickle.register_pickle_by_value(module)
+    try:
+        spark.dataSource.register(source)
+    finally:
+        for module in modules:
+            cloudpickle.unregister_pickle_by_value(module)
 
 
 def line_stream(
-    spark: SparkSession, path: str, split_bytes: int = LINE_SPLIT_BYTES
+    spark: SparkSession,
+    path: str,
+    log: str,
+    split_bytes: int = LINE_SPLIT_BYTES,
+    files_per_batch: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
-    spark.dataSource.register(LineSource)
-    reader = spark.readStream.format("tidemill_lines").option("path", path)
-    return reader.option("splitBytes", str(split_bytes)).load()
+    """``log`` is a folder that stays with the checkpoint: each checkpoint has its own. A run
+    until the input is used up (``availableNow``) takes one batch of such a source."""
+    _register_by_value(spark, LineSource)
+    reader = spark.readStream.format("tidemill_lines").option("path", qualified(spark, path))
+    reader = reader.option("log", qualified(spark, log)).option("splitBytes", str(split_bytes))
+    return reader.option("filesPerBatch", str(files_per_batch)).load()

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.plans.bounds import checked_broadcast
+from tidemill.session import materialize
 from tidemill.sinks.keyed import write_batch
 from tidemill.streaming.offsets import save_offsets
 from tidemill.streaming.runner import run_each_batch
@@ -23,8 +25,11 @@ def deliver_once(
     """Write each batch's rows and its offsets under the batch id.
 
     A batch that is repeated after a failure overwrites itself in both places. The
-    checkpoint decides where to go on; the offsets are there for reports.
+    checkpoint decides where to go on; the offsets are there for reports. Batch ids mean
+    nothing without the checkpoint that counts them, so results belong to one checkpoint:
+    going on with another one (a lost or new checkpoint) is refused.
     """
+    claim(df.sparkSession, results, checkpoint)
 
     def handle(frame: DataFrame, batch_id: int) -> None:
         frame.persist()
@@ -37,6 +42,26 @@ def deliver_once(
     run_each_batch(df, handle, checkpoint)
 
 
+def claim(spark: SparkSession, results: str, checkpoint: str) -> None:
+    """Note in both folders that they belong together; raise if the results are another's."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    names = [fs.Path(f"{folder}/_delivery") for folder in (results, checkpoint)]
+    tokens = []
+    for name in names:
+        store = name.getFileSystem(spark._jsc.hadoopConfiguration())
+        found = store.exists(name)
+        tokens.append(spark.read.text(name.toString()).first()[0] if found else None)
+    if tokens[0] is None and tokens[1] is None:
+        token = spark.createDataFrame([(uuid.uuid4().hex,)], "value string")
+        token = materialize(token, "token")
+        for name in reversed(names):  # the checkpoint's first: a claim without results is void
+            token.write.mode("overwrite").text(name.toString())
+    elif tokens[0] is None:
+        spark.createDataFrame([(tokens[1],)], "value string").write.text(names[0].toString())
+    elif tokens[0] != tokens[1]:
+        raise ValueError(f"{results} holds batches of another checkpoint than {checkpoint}")
+
+
 def score_with_current_rules(
     df: DataFrame, rules_path: str, on: str, value: str, results: str, checkpoint: str
 ) -> None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 import time
 from contextlib import contextmanager
 
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -127,14 +126,21 @@ def completed(df: DataFrame, label: str) -> DataFrame:
     return written.filter(F.col(BATCH) == F.lit(last)).drop(BATCH)
 
 
-def stop_on_marker(query: StreamingQuery, marker: str, poll_seconds: float = 1.0) -> bool:
-    """Stop the query after its current batch once the marker file exists.
+def stop_on_marker(
+    query: StreamingQuery,
+    marker: str,
+    poll_seconds: float = 1.0,
+    spark: SparkSession | None = None,
+) -> bool:
+    """Stop the query after its current batch once the marker file exists, on whatever store.
 
     True if it was the marker that stopped it.
     """
-    filesystem, path = pafs.FileSystem.from_uri(marker)
+    spark = spark or SparkSession.getActiveSession()
+    path = spark._jvm.org.apache.hadoop.fs.Path(marker)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
     while not query.awaitTermination(poll_seconds):
-        if filesystem.get_file_info(path).type != pafs.FileType.NotFound:
+        if store.exists(path):
             while query.status["isTriggerActive"]:
                 time.sleep(min(poll_seconds, 0.1))
             query.stop()

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemill.plans.skew import SALT, task_salt
+from tidemill.plans.skew import SALT, row_salt
 
 
 def running_count(df: DataFrame, *keys: str) -> DataFrame:
@@ -49,15 +49,17 @@ def running_totals(df: DataFrame, key: str, value: str, salts: int = 8) -> DataF
         count, total = state.get if state.exists else (0, 0)
         for frame in frames:
             count += len(frame)
-            total += int(frame[value].sum())
+            total += int(frame[value].sum())  # integers: NULLs were made 0 before
         state.update((count, total))
         yield pd.DataFrame({key: [group[0]], SALT: [group[1]], "cnt": [count], "total": [total]})
 
     columns = "cnt bigint, total bigint"
-    salted = df.select(key, value).withColumn(SALT, task_salt(salts))
+    rows = df.select(key, F.coalesce(value, F.lit(0)).cast("bigint").alias(value))
+    salted = rows.withColumn(SALT, row_salt(rows, salts))
+    kind = df.schema[key].dataType.simpleString()
     return salted.groupBy(key, SALT).applyInPandasWithState(
         update,
-        f"{key} bigint, {SALT} int, {columns}",
+        f"{key} {kind}, {SALT} int, {columns}",
         columns,
         "update",
         GroupStateTimeout.NoTimeout,
@@ -79,7 +81,7 @@ def unique(
     so that of a key with any number of copies at most ``salts`` meet in one task.
     """
     drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
-    per_salt = drop(df.withColumn(SALT, task_salt(salts)), [*keys, SALT])
+    per_salt = drop(df.withColumn(SALT, row_salt(df, salts)), [*keys, SALT])
     return drop(per_salt.drop(SALT), keys)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemill.session import work_path
 from tidemill.sources.streams import file_stream
 
 SCHEMAS = {
@@ -52,6 +53,20 @@ class Tables:
             self.spark, "parquet", stream_glob(self.path(name)), SCHEMAS[name], **options
         )
 
+    def split(self, name: str, moment: str, files: int = 4) -> str:
+        """A copy of the table in at least ``files`` files, each a range of ``moment``; a file
+        stream over it has several micro-batches."""
+        table = getattr(self, name)
+        folder = work_path(self.spark, f"{name}-split")
+        table.repartitionByRange(max(files, table.rdd.getNumPartitions()), moment).write.parquet(
+            folder
+        )
+        return folder
+
+    def stream_of(self, name: str, folder: str, **options) -> DataFrame:
+        """Files of the table's schema as a stream."""
+        return file_stream(self.spark, "parquet", folder, SCHEMAS[name], **options)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in SCHEMAS:
             raise AttributeError(name)
