@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.session import materialize, ship_package
@@ -17,19 +19,60 @@ BLANKS = b" \t\n\x0b\x0c\r"
 def raw_text(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the whole text as UTF-8 bytes; a null text is empty. Other columns,
     whatever their names, are left behind. The tasks that read it can import this package."""
-    ship_package(docs.sparkSession)
+    ready(docs.sparkSession)
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw"),
     )
 
 
+ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 512  # whole texts that are handed to Python at once, unless the session says so
+TEXTS_AT_ONCE = 4 << 20  # bytes of text that are worked on together
+
+
+def ready(spark: SparkSession) -> None:
+    """The tasks can import this package, and a batch holds few texts: Spark bounds it by rows
+    alone, and texts may be long."""
+    ship_package(spark)
+    if spark.conf.get(ROWS_PER_BATCH, None) is None:
+        spark.conf.set(ROWS_PER_BATCH, str(BATCH_ROWS))
+
+
+def text_groups(
+    batches: Iterator[pa.RecordBatch], *names: str, text: str = "raw"
+) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """The rows of all batches in groups of about TEXTS_AT_ONCE bytes of text: the values of
+    the named columns, and the texts. One long text is a group of its own."""
+    rows: list[tuple] = []
+    texts: list[bytes] = []
+    size = 0
+    for batch in batches:
+        columns = [batch[name].to_pylist() for name in names]
+        for row, value in zip(zip(*columns), batch[text].to_pylist()):
+            rows.append(row)
+            texts.append(value)
+            size += len(value)
+            if size >= TEXTS_AT_ONCE:
+                yield rows, texts
+                rows, texts, size = [], [], 0
+    if texts:
+        yield rows, texts
+
+
 def batch_of(schema: pa.Schema, columns: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema
     )
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """After a written cut, have the driver forget the plans before it: Spark deletes shuffle
+    files when their plan is garbage, which a driver with memory to spare notices late."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def own_name(label: str) -> str:
     """A column name that no input column has."""
     return f"__{label}_{uuid.uuid4().hex[:8]}"

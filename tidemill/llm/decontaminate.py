@@ -38,10 +38,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import own_name, raw_text
-from tidemill.llm.token_files import in_groups
+from tidemill.llm.common import raw_text, text_groups
 from tidemill.llm.words import named
-from tidemill.session import materialize, ship_package
+from tidemill.session import materialize
 
 PASSAGE = 64  # words
 STEP = 16  # between the windows that are looked at
@@ -70,20 +69,16 @@ def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _write_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        docs, raws = batch["doc_id"].to_pylist(), batch["raw"].to_pylist()
-        for names, texts in in_groups(docs, raws):
-            codes, doc = codes_of(texts)
-            ends = np.searchsorted(doc, np.arange(len(texts) + 1))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names, pa.int64()),
-                    pa.array(
-                        [codes[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()
-                    ),
-                ],
-                names=["doc_id", "codes"],
-            )
+    for docs, texts in text_groups(batches, "doc_id"):
+        codes, doc = codes_of(texts)
+        ends = np.searchsorted(doc, np.arange(len(texts) + 1))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([name for (name,) in docs], pa.int64()),
+                pa.array([codes[a:b].tobytes() for a, b in zip(ends, ends[1:])], pa.binary()),
+            ],
+            names=["doc_id", "codes"],
+        )
 
 
 def word_codes(docs: DataFrame) -> DataFrame:
@@ -93,12 +88,10 @@ def word_codes(docs: DataFrame) -> DataFrame:
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """The documents of a group, their codes in a row, and the number of each word's text."""
-    for batch in batches:
-        docs, held = batch["doc_id"].to_pylist(), batch["codes"].to_pylist()
-        for names, parts in in_groups(docs, held):
-            sizes = [len(part) // 4 for part in parts]
-            codes = np.frombuffer(b"".join(parts), dtype=np.uint32)
-            yield names, codes, np.repeat(np.arange(len(parts)), sizes)
+    for docs, parts in text_groups(batches, "doc_id", text="codes"):
+        sizes = [len(part) // 4 for part in parts]
+        codes = np.frombuffer(b"".join(parts), dtype=np.uint32)
+        yield [name for (name,) in docs], codes, np.repeat(np.arange(len(parts)), sizes)
 
 
 def _runs(doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -491,27 +484,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], LEAK_DDL) if found is None else found
 
 
-def _clean_rows(model: Model, raw: str):
+def _clean_rows(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(model.vocabulary, model.weight)
         for batch in batches:
-            texts, bad, start = batch[raw].to_pylist(), set(), 0
-            for _, group in in_groups(texts, texts):
-                bad |= {start + text for text, _ in find_leaks(model, lookup, *codes_of(group))}
-                start += len(group)
-            clean = [nth not in bad for nth in range(len(texts))]
-            yield batch.filter(pa.array(clean, pa.bool_())).drop_columns([raw])
+            texts = [(text or "").encode() for text in batch["text"].to_pylist()]
+            bad = {text for text, _ in find_leaks(model, lookup, *codes_of(texts))}
+            yield batch.filter(pa.array([n not in bad for n in range(len(texts))], pa.bool_()))
 
     return task
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows that hold an item, all columns as they are."""
-    ship_package(docs.sparkSession)
-    clean, raw, rows = docs, own_name("raw"), word_codes(docs)
+    clean, rows = docs, word_codes(docs)
     for nth, model in enumerate(_models(rows, benchmark)):
         if nth:
             clean = materialize(clean, "clean")
-        whole = clean.withColumn(raw, F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-        clean = whole.mapInArrow(_clean_rows(model, raw), docs.schema)
+        clean = clean.mapInArrow(_clean_rows(model), docs.schema)
     return clean

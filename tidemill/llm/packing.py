@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemill.llm.common import batch_of, raw_text
-from tidemill.llm.token_files import in_groups
+from tidemill.llm.common import batch_of, raw_text, text_groups
 from tidemill.llm.tokens import default_tokenizer, encoder
 
 LENGTH = 2048
@@ -165,14 +164,13 @@ def _pack(tokenizer: str, end: int, length: int, most_open: int):
                 number += 1
             return batch_of(PIECE, out)
 
-        for batch in batches:
-            for docs, texts in in_groups(batch["doc_id"].to_pylist(), batch["raw"].to_pylist()):
-                ids, bounds = words.encode(texts, end)
-                done: list[Window] = []
-                for nth, doc in enumerate(docs):
-                    part = ids[bounds[nth] : bounds[nth + 1]]
-                    done.extend(packer.place((doc, 0, len(part), part)))
-                yield rows(done)
+        for docs, texts in text_groups(batches, "doc_id"):
+            ids, bounds = words.encode(texts, end)
+            done: list[Window] = []
+            for nth, (doc,) in enumerate(docs):
+                part = ids[bounds[nth] : bounds[nth + 1]]
+                done.extend(packer.place((doc, 0, len(part), part)))
+            yield rows(done)
         yield rows(list(packer.close()))
 
     return task

@@ -25,8 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import own_name, raw_text
-from tidemill.session import ship_package
+from tidemill.llm.common import raw_text
 
 SAMPLE = 20_000  # labelled rows that the trees are fitted on at most
 FOLDS, HELD_OUT = 4, 2
@@ -249,11 +248,11 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     )
 
 
-def _good_rows(trees: Trees, raw: str, least: float):
+def _good_rows(trees: Trees, least: float):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = trees.score(_matrix(batch[raw].to_pylist()))
-            yield batch.filter(pa.array(scores >= least)).drop_columns([raw])
+            texts = [(text or "").encode() for text in batch["text"].to_pylist()]
+            yield batch.filter(pa.array(trees.score(_matrix(texts)) >= least))
 
     return task
 
@@ -262,7 +261,4 @@ def reject(
     docs: DataFrame, labels: DataFrame, least: float = REJECT_BELOW, sample: int = SAMPLE
 ) -> DataFrame:
     """``docs`` without the rows that score below ``least``, all columns as they are."""
-    ship_package(docs.sparkSession)
-    raw = own_name("raw")
-    whole = docs.withColumn(raw, F.coalesce(F.col("text"), F.lit("")).cast("binary"))
-    return whole.mapInArrow(_good_rows(train(docs, labels, sample), raw, least), docs.schema)
+    return docs.mapInArrow(_good_rows(train(docs, labels, sample), least), docs.schema)

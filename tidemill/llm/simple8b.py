@@ -20,13 +20,14 @@ import struct
 import numpy as np
 
 MAGIC = b"s8b1"
-CHUNK = 1024
+CHUNK = 512
 ESCAPE, ZEROS, ZERO_RUN = 0, 1, 120
 # (ids in a word, bits of an id) of selectors 2 to 15: fixed values of the format
 FORMATS = [
     (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
     (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60),
 ]
+_COUNTS = np.array([1, ZERO_RUN] + [count for count, _ in FORMATS], dtype=np.int64)
 _LIMITS = np.array([1 << bits for _, bits in FORMATS], dtype=np.uint64)
 _SMALL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 
@@ -43,15 +44,8 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     ids that fits from where it stands to the end of its chunk."""
     ids = np.ascontiguousarray(ids, dtype=np.uint64)
     size = len(ids)
-    need = _classes(ids)
-    left = CHUNK - np.arange(size) % CHUNK
-    step = np.ones(size, dtype=np.int64)
-    selector = np.where(need < len(FORMATS), len(FORMATS) + 1, ESCAPE).astype(np.uint8)
-    least, most = (int(need.min()), int(need.max())) if size else (0, 0)
-    for kind in reversed(range(least, min(most + 1, len(FORMATS) - 1))):
-        _fit(need > kind, FORMATS[kind][0], left, step, selector, kind + 2)
-    if least == 0:
-        _fit(ids != 0, ZERO_RUN, left, step, selector, ZEROS)
+    selector = _selectors(_classes(ids), ids)
+    step = _COUNTS[selector]
     follows = np.arange(size) + step
     is_head = np.zeros(size, dtype=bool)
     at = np.arange(0, size, CHUNK)
@@ -78,14 +72,30 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words, place[starts % CHUNK == 0]
 
 
-def _fit(bad, count, left, step, selector, kind) -> None:
-    """Note ``kind`` wherever the next ``count`` ids are in the chunk and none is bad."""
-    if count > len(bad):
-        return
-    ahead = np.zeros(len(bad) + 1, dtype=np.int32)
-    np.cumsum(bad, out=ahead[1:])
-    fits = np.flatnonzero((ahead[count:] == ahead[:-count]) & (left[: len(left) - count + 1] >= count))
-    step[fits], selector[fits] = count, kind
+def _selectors(need: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For every id the selector of a word that would start with it."""
+    size = len(need)
+    rows = -(-size // CHUNK)
+    # one row per chunk; past the end nothing fits
+    table = np.full((rows, CHUNK), len(FORMATS) + 1, dtype=np.uint8)
+    table.reshape(-1)[:size] = need
+    out = np.where(table < len(FORMATS), len(FORMATS) + 1, ESCAPE).astype(np.uint8)
+    # the largest need among the next ``span`` ids of the chunk; few ids first, so that many
+    # overwrite them, and each span at most twice the one before
+    widest, span = table, 1
+    for kind, (count, _) in reversed(list(enumerate(FORMATS[:-1]))):
+        end = CHUNK - count + 1
+        widest = np.maximum(widest[:, :end], widest[:, count - span : count - span + end])
+        span = count
+        np.putmask(out[:, :end], widest <= kind, kind + 2)
+    if size and not ids.min():
+        zero = np.full((rows, CHUNK), 1, dtype=np.uint8)
+        zero.reshape(-1)[:size] = ids != 0
+        seen = np.cumsum(zero, axis=1, dtype=np.int32)
+        seen = np.concatenate((np.zeros((rows, 1), np.int32), seen), axis=1)
+        fits = seen[:, ZERO_RUN:] == seen[:, :-ZERO_RUN]
+        np.putmask(out[:, : fits.shape[1]], fits, ZEROS)
+    return out.reshape(-1)[:size]
 
 
 def _heads(words: np.ndarray) -> np.ndarray:
@@ -97,9 +107,6 @@ def _heads(words: np.ndarray) -> np.ndarray:
     return head
 
 
-_COUNTS = np.array([1, ZERO_RUN] + [count for count, _ in FORMATS], dtype=np.int64)
-
-
 def _counts(words: np.ndarray) -> np.ndarray:
     """How many ids each word adds; the word after an escape adds none."""
     return np.where(_heads(words), _COUNTS[(words >> np.uint64(60)).astype(np.int64)], 0)

@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import raw_text, row_key
+from tidemill.llm.common import free_shuffles, raw_text, row_key, text_groups
 from tidemill.llm.recompress import anchors
-from tidemill.llm.token_files import in_groups
 from tidemill.llm.words import named
 from tidemill.session import materialize
 
@@ -44,74 +43,63 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _find_anchors(window: int):
-    schema = pa.schema(
-        [
-            ("anchor", pa.int64()),
-            ("doc_id", pa.int64()),
-            ("tag", pa.int32()),
-            ("asks", pa.bool_()),
-            ("shared", pa.bool_()),
-        ]
-    )
+    schema = pa.schema([("anchor", pa.int64()), ("doc_id", pa.int64()), ("mark", pa.int64())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = many = np.zeros(0, dtype=np.uint64)
-        for batch in batches:
-            rows = list(zip(batch["doc_id"].to_pylist(), batch["tag"].to_pylist()))
-            for group, texts in in_groups(rows, batch["raw"].to_pylist()):
-                names, doc = named(texts)
-                _, anchor, place, whole = anchors(names, doc, window)
-                new = np.ones(len(place), dtype=bool)
-                new[1:] = (place[1:] != place[:-1]) | ~whole[:-1]
-                at = np.flatnonzero(new & whole)
-                order = at[np.argsort(anchor[at], kind="stable")]
-                keys, owner = anchor[order], doc[order]
-                first = np.ones(len(keys), dtype=bool)
-                first[1:] = keys[1:] != keys[:-1]
-                count = np.diff(np.append(np.flatnonzero(first), len(keys)))
-                unique = keys[first]
-                known, met = _among(unique, many), _among(unique, once)
-                shared = (count > 1) | known | met
-                # the first of each asks, unless the task has already asked as one that repeats
-                asks = first.copy()
-                asks[first] = ~known
-                kind = np.repeat(np.arange(len(unique)), count)
-                keep = first.copy()  # one row of a document and anchor
-                keep[1:] |= owner[1:] != owner[:-1]
-                chosen = np.flatnonzero(keep)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys[chosen].view(np.int64), pa.int64()),
-                        pa.array([group[i][0] for i in owner[chosen].tolist()], pa.int64()),
-                        pa.array([group[i][1] for i in owner[chosen].tolist()], pa.int32()),
-                        pa.array(asks[chosen]),
-                        pa.array(shared[kind[chosen]]),
-                    ],
-                    schema=schema,
-                )
-                many = np.union1d(many, unique[shared])
-                once = np.union1d(once[~_among(once, many)], unique[~shared])
+        for group, texts in text_groups(batches, "doc_id", "tag"):
+            names, doc = named(texts)
+            _, anchor, place, whole = anchors(names, doc, window)
+            new = np.ones(len(place), dtype=bool)
+            new[1:] = (place[1:] != place[:-1]) | ~whole[:-1]
+            at = np.flatnonzero(new & whole)
+            order = at[np.argsort(anchor[at], kind="stable")]
+            keys, owner = anchor[order], doc[order]
+            first = np.ones(len(keys), dtype=bool)
+            first[1:] = keys[1:] != keys[:-1]
+            count = np.diff(np.append(np.flatnonzero(first), len(keys)))
+            unique = keys[first]
+            known, met = _among(unique, many), _among(unique, once)
+            shared = (count > 1) | known | met
+            # the first of each asks, unless the task has already asked as one that repeats
+            asks = first.copy()
+            asks[first] = ~known
+            kind = np.repeat(np.arange(len(unique)), count)
+            keep = first.copy()  # one row of a document and anchor
+            keep[1:] |= owner[1:] != owner[:-1]
+            chosen = np.flatnonzero(keep)
+            tags = np.array([tag for _, tag in group], dtype=np.int64)[owner[chosen]]
+            mark = tags * 4 + 2 * asks[chosen] + shared[kind[chosen]]
+            docs = pa.array([doc_id for doc_id, _ in group], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys[chosen].view(np.int64), pa.int64()),
+                    docs.take(pa.array(owner[chosen])),
+                    pa.array(mark, pa.int64()),
+                ],
+                schema=schema,
+            )
+            many = np.union1d(many, unique[shared])
+            once = np.union1d(once[~_among(once, many)], unique[~shared])
 
     return task
 
 
 def shared_anchors(rows: DataFrame, window: int) -> DataFrame:
-    """Per document ``doc_id, tag, anchors``: those of its anchors that occur elsewhere too."""
-    found = materialize(
-        rows.mapInArrow(
-            _find_anchors(window), "anchor long, doc_id long, tag int, asks boolean, shared boolean"
-        ),
-        "anchors",
+    """Per document ``doc_id, tag, anchors``: those of its anchors that occur elsewhere too.
+
+    ``mark`` is four times the tag, plus 2 if the row asks whether its anchor is shared, plus 1
+    if that is known already. Rows that ask meet by anchor, two of a task at most; the others
+    are spread by their document.
+    """
+    found = rows.mapInArrow(_find_anchors(window), "anchor long, doc_id long, mark long")
+    asks = F.col("mark").bitwiseAND(2) == 2
+    group = Window.partitionBy("anchor", F.when(~asks, F.col("mark")))
+    told = found.withColumn("n", F.count("*").over(group)).where(
+        (F.col("mark").bitwiseAND(1) == 1) | (asks & (F.col("n") > 1))
     )
-    same = Window.partitionBy("anchor")  # a task has two rows here at most
-    asked = (
-        found.where("asks")
-        .withColumn("n", F.count("*").over(same))
-        .where("shared or n > 1")
-        .select("doc_id", "tag", "anchor")
-    )
-    told = asked.union(found.where("shared and not asks").select("doc_id", "tag", "anchor"))
-    return told.groupBy("doc_id", "tag").agg(F.collect_list("anchor").alias("anchors"))
+    tag = F.shiftright("mark", 2).cast("int").alias("tag")
+    return told.groupBy("doc_id", tag).agg(F.collect_list("anchor").alias("anchors"))
 
 
 def _stretches(places: np.ndarray) -> np.ndarray:
@@ -140,53 +128,49 @@ def _find_windows(window: int):
             [
                 windows,
                 proofs,
-                pa.array([group[i][0] for i in owner], pa.int64()),
-                pa.array([group[i][1] for i in owner], pa.int32()),
+                pa.array([r[0] for r in group], pa.int64()).take(pa.array(owner)),
+                pa.array([r[1] for r in group], pa.int32()).take(pa.array(owner)),
                 pa.array(stretches, pa.int64()),
             ],
             schema=schema,
         )
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(
-                batch["doc_id"].to_pylist(), batch["tag"].to_pylist(), batch["anchors"].to_pylist()
+        for group, texts in text_groups(batches, "doc_id", "tag", "anchors"):
+            # in the order that decides which window is the first; a repeated row once
+            order = sorted(
+                {(r[0] is None, r[0] or 0, r[1]): i for i, r in enumerate(group)}.items()
+            )
+            group = [group[i] for _, i in order]
+            texts = [texts[i] for _, i in order]
+            names, doc = named(texts)
+            start = np.searchsorted(doc, np.arange(len(texts)))
+            hashed, anchor, _, whole = anchors(names, doc, window)
+            shared = np.unique(
+                np.concatenate([np.array(r[2], dtype=np.int64) for r in group])
+            ).view(np.uint64)
+            at = np.flatnonzero(whole & _among(anchor, np.sort(shared)))
+            by = at[np.argsort(hashed[at], kind="stable")]
+            again = np.zeros(len(by), dtype=bool)
+            again[1:] = (hashed[by[1:]] == hashed[by[:-1]]) & (
+                anchor[by[1:]] == anchor[by[:-1]]
+            )
+            go, ask = np.sort(by[again]), np.sort(by[~again])
+            ends = np.append(start[1:], len(names))
+            # windows that repeat within the batch are settled; a stretch is one row
+            for number in np.unique(doc[go]).tolist():
+                low, high = np.searchsorted(go, [start[number], ends[number]])
+                rows = _stretches(go[low:high] - start[number])
+                none = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
+                yield columns(group, np.full(len(rows), number), *none, rows)
+            owner = doc[ask]
+            yield columns(
+                group,
+                owner,
+                pa.array(hashed[ask].view(np.int64), pa.int64()),
+                pa.array(anchor[ask].astype(np.uint32).view(np.int32), pa.int32()),
+                ((ask - start[owner]) << COUNT_BITS) | 1,
             )
-            for group, texts in in_groups(list(rows), batch["raw"].to_pylist()):
-                # in the order that decides which window is the first; a repeated row once
-                order = sorted(
-                    {(r[0] is None, r[0] or 0, r[1]): i for i, r in enumerate(group)}.items()
-                )
-                group = [group[i] for _, i in order]
-                texts = [texts[i] for _, i in order]
-                names, doc = named(texts)
-                start = np.searchsorted(doc, np.arange(len(texts)))
-                hashed, anchor, _, whole = anchors(names, doc, window)
-                shared = np.unique(
-                    np.concatenate([np.array(r[2], dtype=np.int64) for r in group])
-                ).view(np.uint64)
-                at = np.flatnonzero(whole & _among(anchor, np.sort(shared)))
-                by = at[np.argsort(hashed[at], kind="stable")]
-                again = np.zeros(len(by), dtype=bool)
-                again[1:] = (hashed[by[1:]] == hashed[by[:-1]]) & (
-                    anchor[by[1:]] == anchor[by[:-1]]
-                )
-                go, ask = np.sort(by[again]), np.sort(by[~again])
-                ends = np.append(start[1:], len(names))
-                # windows that repeat within the batch are settled; a stretch is one row
-                for number in np.unique(doc[go]).tolist():
-                    low, high = np.searchsorted(go, [start[number], ends[number]])
-                    rows = _stretches(go[low:high] - start[number])
-                    none = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
-                    yield columns(group, [number] * len(rows), *none, rows)
-                owner = doc[ask]
-                yield columns(
-                    group,
-                    owner.tolist(),
-                    pa.array(hashed[ask].view(np.int64), pa.int64()),
-                    pa.array(anchor[ask].astype(np.uint32).view(np.int32), pa.int32()),
-                    ((ask - start[owner]) << COUNT_BITS) | 1,
-                )
 
     return task
 
@@ -205,6 +189,7 @@ def repeated_stretches(rows: DataFrame, window: int) -> DataFrame:
         ),
         "windows",
     )
+    free_shuffles(rows.sparkSession)
     here = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "tag", "stretch")
     same = Window.partitionBy("window", "proof")  # a batch has one row here at most
     later = (

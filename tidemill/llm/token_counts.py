@@ -24,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import raw_text
-from tidemill.llm.token_files import in_groups
+from tidemill.llm.common import raw_text, text_groups
 from tidemill.llm.tokens import default_tokenizer, encoder
 from tidemill.session import materialize, work_path
 
@@ -65,14 +64,12 @@ def counted(docs: DataFrame, text: Column, counters=COUNTERS) -> DataFrame:
 def _library(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        for batch in batches:
-            for docs, texts in in_groups(batch["doc_id"].to_pylist(), batch["raw"].to_pylist()):
-                _, bounds = words.encode(texts, 0)
-                counts = [int(b - a) - 1 for a, b in zip(bounds, bounds[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(docs, pa.int64()), pa.array(counts, pa.int64())],
-                    names=["doc_id", "tokens"],
-                )
+        for docs, texts in text_groups(batches, "doc_id"):
+            _, bounds = words.encode(texts, 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d for (d,) in docs], pa.int64()), pa.array(bounds[1:] - bounds[:-1] - 1)],
+                names=["doc_id", "tokens"],
+            )
 
     return task
 
@@ -158,7 +155,7 @@ def corpus_totals(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     clean = F.regexp_replace(text, NOISE, "")
     named = docs.select("doc_id", "source", "lang", "text")
-    before = counted(named, text)
+    before = materialize(counted(named, text), "counts")
     after = materialize(counted(named, clean), "counts")
     rollup.commit(1, inserts(before))
     for _ in range(2):

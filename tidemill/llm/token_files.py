@@ -24,12 +24,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm import simple8b
-from tidemill.llm.common import raw_text
+from tidemill.llm.common import raw_text, text_groups
 from tidemill.llm.tokens import default_tokenizer, encoder
 from tidemill.session import work_path
 
 BLOCK_IDS = 1 << 17
-TEXTS_AT_ONCE = 4 << 20  # bytes of text that are encoded together
 
 BLOCK = pa.schema(
     [
@@ -58,18 +57,6 @@ DIGEST = pa.schema(
 )
 
 
-def in_groups(docs: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
-    """Cut a batch so that about TEXTS_AT_ONCE bytes are in work at a time."""
-    start = size = 0
-    for at, text in enumerate(texts):
-        size += len(text)
-        if size >= TEXTS_AT_ONCE:
-            yield docs[start : at + 1], texts[start : at + 1]
-            start, size = at + 1, 0
-    if start < len(texts):
-        yield docs[start:], texts[start:]
-
-
 def _write(tokenizer: str, end: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
@@ -86,19 +73,17 @@ def _write(tokenizer: str, end: int):
                 [pa.array([v], type=f.type) for v, f in zip(values, BLOCK)], schema=BLOCK
             )
 
-        for batch in batches:
-            groups = in_groups(batch["doc_id"].to_pylist(), batch["raw"].to_pylist())
-            for names, texts in groups:
-                ids, bounds = words.encode(texts, end)
-                for nth, name in enumerate(names):
-                    part = ids[bounds[nth] : bounds[nth + 1]]
-                    docs.append(name)
-                    held.append(part)
-                    size += len(part)
-                    if size >= BLOCK_IDS:
-                        yield row()
-                        block, first = block + 1, first + size
-                        docs, held, size = [], [], 0
+        for names, texts in text_groups(batches, "doc_id"):
+            ids, bounds = words.encode(texts, end)
+            for nth, (name,) in enumerate(names):
+                part = ids[bounds[nth] : bounds[nth + 1]]
+                docs.append(name)
+                held.append(part)
+                size += len(part)
+                if size >= BLOCK_IDS:
+                    yield row()
+                    block, first = block + 1, first + size
+                    docs, held, size = [], [], 0
         if docs:
             yield row()
 

@@ -14,7 +14,7 @@ import os
 import numpy as np
 
 WORDS_KEPT = 700_000  # then the memory starts anew
-TAIL = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
+TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 LATIN = 0x180  # letters below have one composed form and, but for two, one lower-case letter
 LAST = chr(LATIN)
 ODD = frozenset("\u0130\u0149")
@@ -107,6 +107,8 @@ class WordEncoder:
         self.index, self.parts = _Index(), _Index()
         self.words, self.pieces = _Pieces(), _Pieces()
         self.nothing = self.parts[b""]
+        self.parts.new = []
+        self.pieces.add(np.array([self.nothing]), np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
     def _learn(self) -> None:
         """Have the library encode the parts of the words that are new."""
@@ -114,25 +116,28 @@ class WordEncoder:
         if not words:
             return
         first, second = [], []
-        part = self.parts.__getitem__
-        known = len(self.parts) - len(self.parts.new)
+        part, nothing = self.parts.__getitem__, self.nothing
+        known = len(self.parts)
         for word in words:
-            if self.in_parts:
-                text = word.decode()
-                core = text.rstrip(TAIL)
-                if core.isalpha() and (core.isascii() or (max(core) < LAST and not ODD.intersection(core))):
-                    first.append(part(core.lower()))
-                    second.append(part(text[len(core) :].encode()))
+            core = word.rstrip(TAIL) if self.in_parts else b""
+            if not core.isalpha():  # ASCII letters alone
+                core = core.decode()
+                if not (core.isalpha() and max(core) < LAST and not ODD.intersection(core)):
+                    first.append(part(word))
+                    second.append(nothing)
                     continue
-            first.append(part(word))
-            second.append(self.nothing)
+                size = len(core.encode())
+                core = core.lower().translate(self.spelling)
+            else:
+                size = len(core)
+                core = core.lower().decode()
+            first.append(part(core))
+            second.append(part(word[size:]) if size < len(word) else nothing)
         new, self.parts.new = self.parts.new, []
-        letters = [(n, w) for n, w in enumerate(new, known) if type(w) is str]
-        others = [(n, w.decode()) for n, w in enumerate(new, known) if type(w) is bytes]
-        if letters:
-            spelt = [w if w.isascii() else w.translate(self.spelling) for _, w in letters]
-            self._encode_parts(self.model, [n for n, _ in letters], spelt)
-        self._encode_parts(self.library, [n for n, _ in others], [w for _, w in others])
+        short = [n for n, w in enumerate(new) if type(w) is str]
+        long = [n for n, w in enumerate(new) if type(w) is bytes]
+        self._encode_parts(self.model, short, known, [new[n] for n in short])
+        self._encode_parts(self.library, long, known, [new[n].decode() for n in long])
         one, two = np.array(first, dtype=np.int64), np.array(second, dtype=np.int64)
         count = self.pieces.count[one] + self.pieces.count[two]
         at = np.cumsum(count) - count
@@ -142,12 +147,13 @@ class WordEncoder:
         total = len(self.index)
         self.words.add(np.arange(total - len(words), total), ids, count)
 
-    def _encode_parts(self, tokenizer, numbers: list[int], parts: list[str]) -> None:
+    def _encode_parts(self, tokenizer, places: list[int], known: int, parts: list[str]) -> None:
         if parts:
             found = tokenizer.encode(parts, is_pretokenized=True, add_special_tokens=False)
-            places = np.array(found.word_ids, dtype=np.int64)
-            count = np.bincount(places, minlength=len(parts))
-            self.pieces.add(np.array(numbers), np.array(found.ids, dtype=np.uint32), count)
+            of = np.array(found.word_ids, dtype=np.int64)
+            count = np.bincount(of, minlength=len(parts))
+            ids = np.array(found.ids, dtype=np.uint32)
+            self.pieces.add(known + np.array(places), ids, count)
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (UTF-8) in one array, each text's followed by ``end``, and the
