@@ -101,9 +101,9 @@ def regression_tree(train: DataFrame, label: str, depth: int = 5, bins: int = 32
         return tree.fit(rows)
 
 
-def random_forest(train: DataFrame, label: str, trees: int = 10, depth: int = 5, seed: int = 1):
+def random_forest(train: DataFrame, label: str, trees: int = 10, depth: int = 5, bins: int = 32, seed: int = 1):
     forest = RandomForestClassifier(
-        featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, maxBins=bins, seed=seed
     )
     with held(train) as rows:
         return stored(forest.fit(rows), train.sparkSession)
@@ -194,6 +194,49 @@ def class_metric(df: DataFrame, label: str, metric: str, prediction: str = "pred
     ).evaluate(df)
 
 
+def class_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+    """Per class ``label, precision, recall, f``; NULL where a class is never given or held.
+    Pairs are counted first, the rest is arithmetic on one row per pair of classes."""
+    pairs = df.groupBy(F.col(label).alias("held"), F.col(prediction).alias("given")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    sides = F.array(
+        F.struct(F.col("held").alias("label"), F.lit(1).alias("is_held"), F.lit(0).alias("is_given")),
+        F.struct(F.col("given").alias("label"), F.lit(0).alias("is_held"), F.lit(1).alias("is_given")),
+    )
+    hit = F.col("n") * F.col("s.is_held") * (F.col("held") == F.col("given")).cast("int")
+    sums = (
+        pairs.withColumn("s", F.explode(sides))
+        .groupBy("s.label")
+        .agg(
+            F.sum(hit).alias("hit"),
+            F.sum(F.col("n") * F.col("s.is_held")).alias("held"),
+            F.sum(F.col("n") * F.col("s.is_given")).alias("given"),
+        )
+    )
+    return sums.select(
+        "label",
+        F.try_divide("hit", "given").alias("precision"),
+        F.try_divide("hit", "held").alias("recall"),
+        F.try_divide(2 * F.col("hit"), F.col("held") + F.col("given")).alias("f"),
+    )
+
+
+def top_items(model, users: DataFrame, n: int) -> DataFrame:
+    """``user, place, item, rating``: the ``n`` best items for chosen users. Items are many,
+    users are a chosen list, so this is not a product of two large sides."""
+    best = model.recommendForUserSubset(users, n)
+    user = model.getUserCol()
+    return best.select(
+        F.col(user).alias("user"), F.posexplode("recommendations").alias("place", "r")
+    ).select(
+        "user",
+        (F.col("place") + 1).alias("place"),
+        F.col("r")[model.getItemCol()].alias("item"),
+        F.col("r.rating").alias("rating"),
+    )
+
+
 def mean_absolute_error(df: DataFrame, label: str, prediction: str = "prediction") -> float:
     return RegressionEvaluator(
         labelCol=label, predictionCol=prediction, metricName="mae"

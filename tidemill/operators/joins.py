@@ -52,6 +52,13 @@ def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(distinct, condition, "left_anti")
 
 
+def cogroup_apply(left: DataFrame, right: DataFrame, key: str, function, schema: str) -> DataFrame:
+    """``function(key, left rows, right rows)`` with pandas frames, once per key that either
+    side has. Both groups of a key must fit one task; use ``cogroup_chunks`` or aggregates
+    where a key may be large."""
+    return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(function, schema)
+
+
 def cogroup_chunks(
     left: DataFrame,
     right: DataFrame,

@@ -8,18 +8,19 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_WIDTH = 8
+# a row of a broadcast: null bits, its place in the hash table, the object around it
+ROW_WIDTH = 64
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Payload size from one aggregate: fixed-width columns count 8 bytes."""
-    width = F.lit(0)
+    """Size as rows of a broadcast's hash table, from one aggregate: every column has 8 bytes,
+    texts and nested values their length beside, every row ROW_WIDTH."""
+    width = F.lit(ROW_WIDTH + FIXED_WIDTH * len(df.schema.fields))
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
             width = width + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
-        else:
-            width = width + F.lit(FIXED_WIDTH)
     return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
 
 

@@ -96,11 +96,17 @@ def ml_linreg_error(t):
     return scored.agg(F.count(F.lit(1)).alias("cnt"), F.round(error, 4).alias("mean_error"))
 
 
-@query("ml_linreg_predict")
+@query(
+    "ml_linreg_predict",
+    least_squares_sql(" where " + SPLIT_SQL.format("<"))
+    + f""" select l_orderkey, l_linenumber, l_extendedprice as label, round(k0 + k1 * l_quantity
+       + k2 * l_discount + k3 * l_tax, 2) as prediction from lineitem, k
+       where {SPLIT_SQL.format(">=")}""",
+)
 def ml_linreg_predict(t):
     train, test = features.split(priced(t), KEYS)
-    model = jobs.linear_regression(train, "label")
-    return model.transform(test).select(*KEYS, "label", "prediction")
+    scored = jobs.linear_regression(train, "label").transform(test)
+    return scored.select(*KEYS, "label", F.round("prediction", 2).alias("prediction"))
 
 
 @query("ml_elastic_net")

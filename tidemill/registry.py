@@ -25,6 +25,7 @@ MODULES = (
     "analyses",
     "streams",
     "models",
+    "checks",
 )
 
 

@@ -26,11 +26,12 @@ def write_csv(
 
 
 def write_text(df: DataFrame, column: str, path: str, mode: str = "errorifexists") -> int:
-    """Text lines in as few files as their size allows: one file only if it all fits one."""
+    """Text lines in as few files as their size allows: one file only if it all fits one. The
+    lines are dealt out, so that the work before is not drawn into as few tasks."""
     lines = df.select(F.col(column).cast("string").alias("value"))
     size = lines.agg(F.sum(F.octet_length("value").cast("bigint"))).first()[0] or 0
     files = max(1, math.ceil(size / FILE_BYTES))
-    lines.coalesce(files).write.mode(mode).text(path)
+    lines.repartition(files).write.mode(mode).text(path)
     return files
 
 

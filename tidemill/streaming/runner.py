@@ -25,10 +25,14 @@ STATE_CONF = {
 def stream_conf(spark: SparkSession, partitions: int | None = None):
     """State on disk (RocksDB) and a state-partition count that fits the cluster.
 
-    The count is fixed by a query's first start, so it follows the cores, not one batch.
+    The count is fixed by a query's first start for the life of its checkpoint, so it is the
+    given one or the session's number of shuffle partitions; only a local session, which has
+    its cores for good, takes those.
     """
-    cores = spark.sparkContext.defaultParallelism
-    wanted = {**STATE_CONF, PARTITIONS: str(partitions or cores)}
+    context = spark.sparkContext
+    if partitions is None and context.master.startswith("local["):
+        partitions = context.defaultParallelism
+    wanted = {**STATE_CONF, PARTITIONS: str(partitions or spark.conf.get(PARTITIONS))}
     before = {k: spark.conf.get(k, None) for k in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
