@@ -88,7 +88,7 @@ def test_map_side_join_default(spark):
 def test_pair_with_all_refuses_a_large_side(spark, skewed):
     assert pair_with_all(spark.range(4), spark.range(3).withColumnRenamed("id", "x")).count() == 12
     with pytest.raises(ValueError):
-        pair_with_all(spark.range(4), spark.range(50).withColumnRenamed("id", "x"), max_rows=10)
+        pair_with_all(spark.range(4), spark.range(50).withColumnRenamed("id", "x"), max_bytes=10)
 
 
 def test_cogroup_chunks(spark):

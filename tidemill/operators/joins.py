@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.plans.bounds import checked_broadcast, null_safe
+from tidemill.plans.bounds import (
+    BROADCAST_BYTES,
+    checked_broadcast,
+    measured_bytes,
+    null_safe,
+)
 from tidemill.plans.ordered import ROWS_PER_TASK, collect_chunks
 
-PAIR_ROWS = 1_000
-
 
 def map_side_join(
     df: DataFrame, small: DataFrame, on: str, value: str, default: str = ""
@@ -20,24 +23,19 @@ def map_side_join(
     return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)))
 
 
-def pair_with_all(df: DataFrame, small: DataFrame, max_rows: int = PAIR_ROWS) -> DataFrame:
+def pair_with_all(
+    df: DataFrame, small: DataFrame, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Each row of ``df`` with each row of a small frame, as a row-local explode.
 
-    The product of two large frames is refused: its size is no longer linear in ``df``.
+    The small frame becomes one array value, which Spark hands to the tasks; it is measured
+    first. The product of two large frames is refused: its size is no longer linear in ``df``.
     """
-    rows = small.limit(max_rows + 1).collect() if small.count() <= max_rows else None
-    if rows is None:
-        raise ValueError(f"the repeated side has more than {max_rows} rows")
-    schema = small.schema
-    items = F.array(
-        *[
-            F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
-            for row in rows
-        ]
-    )
-    return df.withColumn("_item", F.explode(items)).select(
-        *df.columns, *[F.col("_item")[f.name].alias(f.name) for f in schema.fields]
-    )
+    if measured_bytes(small) > max_bytes:
+        raise ValueError(f"the repeated side has more than {max_bytes} bytes")
+    items = small.agg(F.collect_list(F.struct(*small.columns))).scalar()
+    paired = df.withColumn("_item", F.explode(items))
+    return paired.select(*df.columns, "_item.*")
 
 
 def common_rows(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -129,6 +129,11 @@ def dashboard_slots(
     slots = amounts.groupBy(F.window(moment, slide)["start"].alias("slot")).agg(
         F.sum(amount).alias("s"), F.count(F.lit(1)).alias("n")
     )
+    return slot_metrics(slots, slide, panes)
+
+
+def slot_metrics(slots: DataFrame, slide: str = "5 seconds", panes: int = 2) -> DataFrame:
+    """The metrics of ``dashboard_slots`` from sums ``s`` and counts ``n`` per ``slot``."""
     names = ["sumMoney5", "avgMoney5"]  # fixed values: metric names
     values = [F.col("s"), F.expr("s div n")]
     short = slots.select(

@@ -8,14 +8,15 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import words
+from tidemill.plans import analyses
 from tidemill.plans.bounds import checked_broadcast
 from tidemill.plans.skew import SALT
 from tidemill.queries.aggregates import WORD_COUNT_SQL
 from tidemill.queries.projections import points_table
 from tidemill.registry import query
-from tidemill.session import work_path
+from tidemill.session import materialize, work_path
 from tidemill.sinks.files import write_json
-from tidemill.sinks.keyed import metric_rows, write_batch
+from tidemill.sinks.keyed import write_batch
 from tidemill.sinks.streams import FileWriterPerTask
 from tidemill.sources import streams
 from tidemill.streaming import delivery, runner, state
@@ -431,22 +432,11 @@ def stream_dynamic_rules(t):
           select slot - interval '5 seconds', s from s) group by start""",
 )
 def stream_dashboard(t):
-    """Sum and mean per 5 seconds, sum per 10 seconds every 5, all in one metric table."""
-    amount = F.col("value").cast("bigint")
-    short = state.windowed(
-        timed(t),
-        "ts",
-        "5 seconds",
-        None,
-        [F.sum(amount).alias("sumMoney5"), F.expr("sum(bigint(value)) div count(1)").alias("avgMoney5")],
+    """Sum and mean per 5 seconds, sum per 10 seconds every 5, all in one metric table. The
+    stream is read once: it keeps the 5-second slots, and the longer windows come from them."""
+    measures = [F.sum(F.col("value").cast("bigint")).alias("s"), F.count(F.lit(1)).alias("n")]
+    slots = runner.updated(
+        state.windowed(timed(t), "ts", "5 seconds", None, measures), ["start"], "slots"
     )
-    wide = state.windowed(
-        timed(t), "ts", "10 seconds", "5 seconds", [F.sum(amount).alias("sumMoneyWin10")]
-    )
-    metrics = []
-    for frame, label in ((short, "short"), (wide, "wide")):
-        latest = runner.updated(frame, ["start"], label)
-        for event in latest.columns[1:]:
-            metrics.append(metric_rows(latest, event, "start", F.col(event)))
-    united = metrics[0].unionByName(metrics[1]).unionByName(metrics[2])
-    return united.select("event", F.col("ts").cast("timestamp_ntz").alias("slot"), "value")
+    metrics = analyses.slot_metrics(materialize(slots.withColumnRenamed("start", "slot"), "slots"))
+    return metrics.select("event", "slot", "value")
