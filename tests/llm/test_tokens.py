@@ -36,7 +36,8 @@ def test_words_encode_as_texts(library, parts, spaced):
         raw = text.encode()
     except UnicodeEncodeError:
         return
-    ids, bounds = tokens.encoder(tokens.default_tokenizer()).encode([raw, raw], 2)
+    with tokens.encoder(tokens.default_tokenizer()) as encoder:
+        ids, bounds = encoder.encode([raw, raw], 2)
     want = whole(library, text, 2)
     assert ids.tolist() == want * 2 and bounds.tolist() == [0, len(want), 2 * len(want)]
 

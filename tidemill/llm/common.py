@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ def raw_text(docs: DataFrame) -> DataFrame:
 
 ROWS_PER_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 512  # whole texts that are handed to Python at once, unless the session says so
-TEXTS_AT_ONCE = 4 << 20  # bytes of text that are worked on together
+TEXTS_AT_ONCE = 3 << 20  # bytes of text that are worked on together
 
 
 def ready(spark: SparkSession) -> None:
@@ -68,9 +69,12 @@ def batch_of(schema: pa.Schema, columns: dict[str, list]) -> pa.RecordBatch:
 
 def free_shuffles(spark: SparkSession) -> None:
     """After a written cut, have the driver forget the plans before it: Spark deletes shuffle
-    files when their plan is garbage, which a driver with memory to spare notices late."""
-    gc.collect()
-    spark._jvm.System.gc()
+    files when their plan is garbage, which a driver with memory to spare notices late. What
+    Python held is garbage in the first round, what that held in the second."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def own_name(label: str) -> str:

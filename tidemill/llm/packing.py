@@ -144,7 +144,7 @@ class Packer:
 
 def _pack(tokenizer: str, end: int, length: int, most_open: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = encoder(tokenizer), Packer(length, most_open)
+        packer = Packer(length, most_open)
         number = TaskContext.get().partitionId() << TASK_BITS
 
         def rows(windows: list[Window]) -> pa.RecordBatch:
@@ -164,13 +164,14 @@ def _pack(tokenizer: str, end: int, length: int, most_open: int):
                 number += 1
             return batch_of(PIECE, out)
 
-        for docs, texts in text_groups(batches, "doc_id"):
-            ids, bounds = words.encode(texts, end)
-            done: list[Window] = []
-            for nth, (doc,) in enumerate(docs):
-                part = ids[bounds[nth] : bounds[nth + 1]]
-                done.extend(packer.place((doc, 0, len(part), part)))
-            yield rows(done)
+        with encoder(tokenizer) as words:
+            for docs, texts in text_groups(batches, "doc_id"):
+                ids, bounds = words.encode(texts, end)
+                done: list[Window] = []
+                for nth, (doc,) in enumerate(docs):
+                    part = ids[bounds[nth] : bounds[nth + 1]]
+                    done.extend(packer.place((doc, 0, len(part), part)))
+                yield rows(done)
         yield rows(list(packer.close()))
 
     return task

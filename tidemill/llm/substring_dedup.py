@@ -200,11 +200,14 @@ def repeated_stretches(rows: DataFrame, window: int) -> DataFrame:
         .select("doc_id", "tag", "stretch")
     )
     settled = windows.where("window is null").select("doc_id", "tag", "stretch")
-    return (
+    gone = materialize(
         later.union(settled)
         .groupBy("doc_id", "tag")
-        .agg(F.collect_list("stretch").alias("stretches"))
+        .agg(F.collect_list("stretch").alias("stretches")),
+        "stretches",
     )
+    free_shuffles(rows.sparkSession)
+    return gone
 
 
 def kept_words(words: list[bytes], stretches: list[int] | None, window: int) -> list[bytes]:

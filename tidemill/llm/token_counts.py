@@ -63,13 +63,14 @@ def counted(docs: DataFrame, text: Column, counters=COUNTERS) -> DataFrame:
 
 def _library(path: str):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
-        for docs, texts in text_groups(batches, "doc_id"):
-            _, bounds = words.encode(texts, 0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for (d,) in docs], pa.int64()), pa.array(bounds[1:] - bounds[:-1] - 1)],
-                names=["doc_id", "tokens"],
-            )
+        with encoder(path) as words:
+            for docs, texts in text_groups(batches, "doc_id"):
+                _, bounds = words.encode(texts, 0)
+                counts = bounds[1:] - bounds[:-1] - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([d for (d,) in docs], pa.int64()), pa.array(counts, pa.int64())],
+                    names=["doc_id", "tokens"],
+                )
 
     return task
 

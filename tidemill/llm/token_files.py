@@ -59,7 +59,6 @@ DIGEST = pa.schema(
 
 def _write(tokenizer: str, end: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
         stretch, block, first = TaskContext.get().partitionId(), 0, 0
         docs: list = []
         held: list[np.ndarray] = []
@@ -73,17 +72,18 @@ def _write(tokenizer: str, end: int):
                 [pa.array([v], type=f.type) for v, f in zip(values, BLOCK)], schema=BLOCK
             )
 
-        for names, texts in text_groups(batches, "doc_id"):
-            ids, bounds = words.encode(texts, end)
-            for nth, (name,) in enumerate(names):
-                part = ids[bounds[nth] : bounds[nth + 1]]
-                docs.append(name)
-                held.append(part)
-                size += len(part)
-                if size >= BLOCK_IDS:
-                    yield row()
-                    block, first = block + 1, first + size
-                    docs, held, size = [], [], 0
+        with encoder(tokenizer) as words:
+            for names, texts in text_groups(batches, "doc_id"):
+                ids, bounds = words.encode(texts, end)
+                for nth, (name,) in enumerate(names):
+                    part = ids[bounds[nth] : bounds[nth + 1]]
+                    docs.append(name)
+                    held.append(part)
+                    size += len(part)
+                    if size >= BLOCK_IDS:
+                        yield row()
+                        block, first = block + 1, first + size
+                        docs, held, size = [], [], 0
         if docs:
             yield row()
 

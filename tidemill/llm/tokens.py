@@ -10,10 +10,13 @@ and its letters go straight to the tokenizer's model.
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
 WORDS_KEPT = 700_000  # then the memory starts anew
+WORDS_LEFT = 100_000  # that an idle worker may keep from one task to the next
 TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 LATIN = 0x180  # letters below have one composed form and, but for two, one lower-case letter
 LAST = chr(LATIN)
@@ -27,11 +30,17 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process and file."""
+@contextmanager
+def encoder(path: str) -> Iterator[WordEncoder]:
+    """One encoder per worker process and file. A worker lives longer than a task and may do
+    other work next, so a task does not leave a large memory of words behind."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    try:
+        yield _ENCODERS[path]
+    finally:
+        if len(_ENCODERS[path].index) > WORDS_LEFT:
+            _ENCODERS[path]._forget()
 
 
 class _Index(dict):
