@@ -215,7 +215,7 @@ class LargeKeys:
         cls, df: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK
     ) -> LargeKeys:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        large = sizes.filter(F.col("_n") > rows_per_task)
+        large = materialize(sizes.filter(F.col("_n") > rows_per_task), "large")
         rows = large.agg(F.sum("_n")).first()[0]
         return cls(rows, large.select(*[F.col(k).alias(f"_{k}") for k in keys]))
 

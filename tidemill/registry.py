@@ -26,6 +26,7 @@ MODULES = (
     "streams",
     "models",
     "checks",
+    "blocked",
 )
 
 
