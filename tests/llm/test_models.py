@@ -248,3 +248,19 @@ def test_pipeline_with_odd_tables(spark, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{empty}/labels.parquet")
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+@pytest.mark.parametrize("items", [1, 60])
+def test_an_item_in_a_third_of_all_documents(spark, items):
+    """Its words are then common in the corpus; it is found in every one all the same."""
+    rng = random.Random(items)
+    bench = [" ".join(f"q{rng.randrange(5000)}" for _ in range(rng.choice([9, 14, 40]))) for _ in range(items)]
+    rows = []
+    for doc in range(300):
+        own = [f"v{rng.randrange(3000)}" if rng.random() < 0.6 else "the" for _ in range(200)]
+        at = rng.randrange(200)
+        rows.append((doc, " ".join(own[:at] + (bench[0].split() if doc % 3 == 0 else []) + own[at:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    table = spark.createDataFrame(list(enumerate(bench)), "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, table).collect()}
+    assert got == {(doc, 0) for doc in range(0, 300, 3)}

@@ -1,7 +1,9 @@
 """Benchmark items in documents, by latent semantic retrieval.
 
 1. Every text is cut into passages; how many passages hold a word (hashed to 2 ** 16 counters)
-   gives the words' weights. All documents count.
+   gives the words' weights. All documents count. A word of the benchmark has the larger of its
+   weights in the corpus and among the items, or an item that stands in very many documents
+   would make its own words common and hide itself.
 2. The passages' TF-IDF rows, reduced to the words of the benchmark, and the benchmark's own
    rows, which together weigh as much, are a tall matrix A. One pass over all documents sums
    (A'A) times a random matrix, task by task and then in a tree; from this sketch the leading
@@ -43,11 +45,10 @@ from tidemill.llm.words import named
 from tidemill.session import materialize
 
 PASSAGE = 64  # words
-STEP = 16  # between the windows that are looked at
+WINDOW, STEP = 48, 16  # words that are looked at together, and between their first words
 COUNTERS = 1 << 16
-COMMON = 0.1  # words in more of the passages than this have no weight
 RANK, EXTRA = 256, 16
-NEAR = 0.3
+NEAR = 0.25
 SURE, LIKELY = 0.8, 0.6
 FEW = 8
 LOOSE = 1.3  # a leak may be longer than the item by this
@@ -141,7 +142,6 @@ def word_weights(rows: DataFrame) -> tuple[np.ndarray, int]:
     held = np.zeros(COUNTERS)
     held[list(total)] = list(total.values())
     weight = np.log((passages + 1) / (held + 1))
-    weight[held > COMMON * passages] = 0
     return weight.astype(np.float32), passages
 
 
@@ -185,29 +185,36 @@ class Model:
 
     items: list[Item]
     parts: list[tuple[int, int]]  # of every query row: its item and its first word there
-    vocabulary: np.ndarray  # ascending names
-    weight: np.ndarray  # by counter
+    vocabulary: np.ndarray  # ascending codes
+    own: np.ndarray  # weights of the vocabulary
+    weight: np.ndarray  # of all other words, by counter
     basis: np.ndarray  # words of the vocabulary x rank
     queries: np.ndarray  # query rows in the latent space, divided by their lengths
+    table: np.ndarray | None  # basis times queries, if the queries are few: one step for two
     most: np.ndarray  # of every word the largest share it has in a projected query
+    holds: np.ndarray  # words of the vocabulary x queries: 1 where the query has the word
+    needs: np.ndarray  # different words of a query that a window near a leak has at least
 
 
 class Lookup:
     """The weight of words and their place in the vocabulary, or -1."""
 
-    def __init__(self, vocabulary: np.ndarray, weight: np.ndarray):
-        self.vocabulary, self.weight = vocabulary, weight
+    def __init__(self, vocabulary: np.ndarray, own: np.ndarray, weight: np.ndarray):
+        self.vocabulary, self.own, self.weight = vocabulary, own, weight
         self.maybe = np.zeros(COUNTERS, dtype=bool)
         self.maybe[vocabulary % COUNTERS] = True
-        self.maybe &= weight > 0
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counter = codes % COUNTERS
         column = np.full(len(codes), -1, dtype=np.int64)
         ask = np.flatnonzero(self.maybe[counter])
         at = np.searchsorted(self.vocabulary, codes[ask]).clip(max=len(self.vocabulary) - 1)
-        column[ask] = np.where(self.vocabulary[at] == codes[ask], at, -1)
-        return self.weight[counter], column
+        known = self.vocabulary[at] == codes[ask]
+        ask, at = ask[known], at[known]
+        column[ask] = at
+        weight = self.weight[counter]
+        weight[ask] = self.own[at]
+        return weight, column
 
 
 def _sparse(row: np.ndarray, column: np.ndarray, weight: np.ndarray, width: int):
@@ -234,18 +241,22 @@ def _times(row, column, value, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarr
     for at in range(0, len(columns), 1024):
         cut = slice(at, at + 1024)
         np.matmul(values[cut, None, :], matrix[columns[cut]], out=sums[cut, None, :])
-    if len(sums) > len(heads):
-        sums = np.add.reduceat(sums, first, axis=0)
-    return row[heads], sums
+    total = sums[first]
+    for nth in range(1, min(int(parts.max()), SEGMENT)):
+        more = np.flatnonzero(parts > nth)
+        total[more] += sums[first[more] + nth]
+    for long in np.flatnonzero(parts > SEGMENT).tolist():
+        total[long] += sums[first[long] + SEGMENT : first[long] + parts[long]].sum(axis=0)
+    return row[heads], total
 
 
 def random_matrix(words: int, columns: int) -> np.ndarray:
     return np.random.default_rng(5).standard_normal((words, columns)).astype(np.float32)
 
 
-def _sketch(vocabulary: np.ndarray, weight: np.ndarray, columns: int):
+def _sketch(vocabulary: np.ndarray, own: np.ndarray, weight: np.ndarray, columns: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(vocabulary, weight)
+        lookup = Lookup(vocabulary, own, weight)
         width = len(vocabulary)
         omega = random_matrix(width, columns)
         total = np.zeros((width, columns), dtype=np.float32)
@@ -256,7 +267,7 @@ def _sketch(vocabulary: np.ndarray, weight: np.ndarray, columns: int):
             mine = np.flatnonzero(column >= 0)
             row, column, value = _sparse(passage[mine], column[mine], value[mine], width)
             other += np.bincount(row, value**2, number)
-            value = value / np.sqrt(other[row]).astype(np.float32)
+            value = value / np.sqrt(np.maximum(other[row], 1e-9)).astype(np.float32)
             rows, image = _times(row, column, value, omega)
             turned = np.argsort(column, kind="stable")
             at = np.searchsorted(rows, row[turned])
@@ -285,11 +296,13 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def corpus_sketch(rows: DataFrame, vocabulary: np.ndarray, weight: np.ndarray, columns: int):
+def corpus_sketch(
+    rows: DataFrame, vocabulary: np.ndarray, own: np.ndarray, weight: np.ndarray, columns: int
+) -> np.ndarray:
     """(A'A) times the random matrix, summed over all passages of ``rows``. No group adds up
     more than FAN pieces; the result is vocabulary x columns numbers."""
     sums = rows.mapInArrow(
-        _sketch(vocabulary, weight, columns), "part long, piece int, data binary"
+        _sketch(vocabulary, own, weight, columns), "part long, piece int, data binary"
     )
     parts = rows.rdd.getNumPartitions()
     while parts > 1:
@@ -335,19 +348,23 @@ def fit(rows: DataFrame, items: list[Item], weight: np.ndarray, passages: int) -
     flat = np.array([n for part in names for n in part], dtype=np.uint32)
     row = np.repeat(np.arange(len(parts)), [len(part) for part in names])
     column = np.searchsorted(vocabulary, flat)
-    weights = weight[flat % COUNTERS]
-    row, column, value = _sparse(row, column, weights, width)
+    count = np.bincount(np.searchsorted(vocabulary, np.concatenate(
+        [np.unique(np.array(item.codes, dtype=np.uint32)) for item in items]
+    )), minlength=width)
+    scarce = np.log((len(items) + 1) / (count + 1)).astype(np.float32)
+    own = np.maximum(np.maximum(weight[vocabulary % COUNTERS], scarce), np.float32(1e-3))
+    row, column, value = _sparse(row, column, own[column], width)
     length = np.sqrt(np.bincount(row, value**2, len(parts)))
     value = value / np.maximum(length[row], 1e-9).astype(np.float32)
     columns = RANK + EXTRA
     omega = random_matrix(width, columns)
-    sketch = corpus_sketch(rows, vocabulary, weight, columns).astype(np.float64)
-    own = np.zeros_like(sketch)
+    sketch = corpus_sketch(rows, vocabulary, own, weight, columns).astype(np.float64)
+    extra = np.zeros_like(sketch)
     image = np.zeros((len(parts), columns))
     at, images = _times(row, column, value, omega)
     image[at] = images
-    np.add.at(own, column, value[:, None] * image[row])
-    sketch += own * (max(1, passages) / len(parts))
+    np.add.at(extra, column, value[:, None] * image[row])
+    sketch += extra * (max(1, passages) / len(parts))
     basis = _leading(sketch, omega.astype(np.float64), RANK)
     queries = np.zeros((len(parts), basis.shape[1]), dtype=np.float32)
     at, images = _times(row, column, value, basis)
@@ -356,7 +373,14 @@ def fit(rows: DataFrame, items: list[Item], weight: np.ndarray, passages: int) -
     for at in range(0, len(parts), 1024):
         share = np.abs(basis @ queries[at : at + 1024].T)
         most = np.maximum(most, share.max(axis=1))
-    return Model(items, parts, vocabulary, weight, basis, queries, most)
+    table = basis @ queries.T if len(parts) <= basis.shape[1] else None
+    holds = np.zeros((width, len(parts)), dtype=np.float32)
+    holds[column, row] = 1
+    size = np.array([len(part) for part in names])
+    # LIKELY of the words, but for repeated ones, as far as the window that begins at most STEP
+    # words before the leak sees it
+    needs = (LIKELY * size - (size - holds.sum(axis=0))) * np.minimum(1, (WINDOW - STEP) / size)
+    return Model(items, parts, vocabulary, own, weight, basis, queries, table, most, holds, needs)
 
 
 def common_words(item: list[int], text: list[int]) -> int:
@@ -386,8 +410,8 @@ def judge(item: Item, text: list[int]) -> tuple[int, bool]:
     return found, found >= LIKELY * size and common_words(answer, text) >= LIKELY * len(answer)
 
 
-# a window holds a word PASSAGE times at most, so (1 + log n)^2 is at least this part of n
-REPEATS = (1 + math.log(PASSAGE)) ** 2 / PASSAGE
+# a window holds a word WINDOW times at most, so (1 + log n)^2 is at least this part of n
+REPEATS = (1 + math.log(WINDOW)) ** 2 / WINDOW
 
 
 def find_leaks(model: Model, lookup: Lookup, codes: np.ndarray, doc: np.ndarray) -> dict:
@@ -396,7 +420,7 @@ def find_leaks(model: Model, lookup: Lookup, codes: np.ndarray, doc: np.ndarray)
     weight, column = lookup.of(codes)
     heads, owner = _runs(doc, STEP)
     ends = np.searchsorted(doc, np.arange(int(doc[-1]) + 1 if len(doc) else 0), side="right")
-    stop = np.minimum(heads + PASSAGE, ends[owner])
+    stop = np.minimum(heads + WINDOW, ends[owner])
     mine = column >= 0
     square = weight.astype(np.float64) ** 2
     best_of = np.where(mine, weight * model.most[column], 0).astype(np.float64)
@@ -406,7 +430,8 @@ def find_leaks(model: Model, lookup: Lookup, codes: np.ndarray, doc: np.ndarray)
     )
     rest = other.clip(min=0)
     # no word adds more to a cosine than its weight times its largest share of any query
-    use = np.flatnonzero((most > 1e-6) & (most >= NEAR * np.sqrt(rest + REPEATS * own.clip(min=0))))
+    length = np.sqrt(rest + REPEATS * own.clip(min=0))
+    use = np.flatnonzero((most > 1e-6) & (most >= NEAR * length))
     for at in range(0, len(use), 4096):
         part = use[at : at + 4096]
         near, query, cosine = _near(model, weight, column, heads[part], stop[part], rest[part])
@@ -437,9 +462,20 @@ def _near(model, weight, column, head, stop, rest) -> tuple[np.ndarray, np.ndarr
     row, place = row[mine], place[mine]
     row, found, value = _sparse(row, column[place], weight[place], len(model.vocabulary))
     length = np.sqrt(rest + np.bincount(row, value**2, len(head)))
-    rows, image = _times(row, found, value, model.basis)
-    cosine = image @ model.queries.T / length[rows, None]
+    if model.table is not None:
+        rows, cosine = _times(row, found, value, model.table)
+    else:
+        rows, image = _times(row, found, value, model.basis)
+        cosine = image @ model.queries.T
+    cosine /= length[rows, None].astype(np.float32)
     near, query = np.nonzero(cosine >= NEAR)
+    # a subsequence has no more different words than both sides have in common
+    some = np.unique(near)
+    entries = np.isin(row, rows[some])
+    ones = np.ones(int(entries.sum()), dtype=np.float32)
+    _, common = _times(row[entries], found[entries], ones, model.holds)
+    keep = common[np.searchsorted(some, near), query] >= model.needs[query]
+    near, query = near[keep], query[keep]
     return rows[near], query, cosine[near, query]
 
 
@@ -448,7 +484,7 @@ LEAK_DDL = "doc_id long, item_id long, common_words int, item_words int, first_w
 
 def _leak_rows(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(model.vocabulary, model.weight)
+        lookup = Lookup(model.vocabulary, model.own, model.weight)
         for docs, codes, doc in _groups(batches):
             found = sorted(find_leaks(model, lookup, codes, doc).items())
             items = [model.items[nth] for (_, nth), _ in found]
@@ -486,7 +522,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _clean_rows(model: Model):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(model.vocabulary, model.weight)
+        lookup = Lookup(model.vocabulary, model.own, model.weight)
         for batch in batches:
             texts = [(text or "").encode() for text in batch["text"].to_pylist()]
             bad = {text for text, _ in find_leaks(model, lookup, *codes_of(texts))}
