@@ -16,6 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tidemill.registry import all_queries  # noqa: E402
 from tidemill.session import build_session  # noqa: E402
 
@@ -37,6 +39,31 @@ ONCE = [
 JOIN_ROWS = {"join_sort_merge": "lineitem", "join_shuffle_hash": "lineitem"}
 
 
+# the sizes of the one published join, text parsing included
+LEFT_LINES, RIGHT_LINES = 3_000_000, 200_001
+
+
+def text_sides(spark, folder: str) -> tuple[str, str]:
+    """Two folders of lines ``key<TAB>value``, written once."""
+    left, right = f"{folder}/left", f"{folder}/right"
+    key = f"concat(id % {RIGHT_LINES}, '\t', id)"
+    spark.range(LEFT_LINES).selectExpr(f"{key} as value").write.text(left)
+    spark.range(RIGHT_LINES).selectExpr("concat(id, '\t', uuid()) as value").write.text(right)
+    return left, right
+
+
+def join_texts(spark, left: str, right: str) -> float:
+    """Read both, cut the lines and shuffle-join on the key."""
+    start = time.perf_counter()
+    sides = []
+    for path, name in ((left, "a"), (right, "b")):
+        cells = F.split("value", "\t")
+        sides.append(spark.read.text(path).select(cells[0].alias("key"), cells[1].alias(name)))
+    joined = sides[0].join(sides[1].hint("merge"), "key")
+    joined.write.format("noop").mode("overwrite").save()
+    return time.perf_counter() - start
+
+
 def timed(spark, query, root: str) -> float:
     start = time.perf_counter()
     query(spark, root).write.format("noop").mode("overwrite").save()
@@ -69,7 +96,10 @@ def main() -> None:
             seconds[name] = round(statistics.median(times), 3)
         except Exception as error:  # one broken query must not hide the others
             failed[name] = f"{type(error).__name__}: {str(error)[:200]}"
-    rate = {}
+    left, right = text_sides(spark, f"{warehouse}/texts")
+    join_texts(spark, left, right)
+    seconds["join_text_3m"] = round(statistics.median(join_texts(spark, left, right) for _ in range(runs)), 3)
+    rate = {"join_text_3m": round(LEFT_LINES / seconds["join_text_3m"])}
     for name, table in JOIN_ROWS.items():
         if name in seconds:
             rows = spark.read.parquet(f"{root}/{table}.parquet").count()

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemill.ml import features, jobs
-from tidemill.queries.models import KEYS, NUMBERS, PRICE, SPLIT_SQL, vectors
+from tidemill.queries.models import KEYS, PRICE, SPLIT_SQL, vectors
 from tidemill.registry import all_queries, query
 
 BAND_SQL = "cast(least(floor(l_quantity / 7.5), 6) as double)"

@@ -53,8 +53,9 @@ def stream_project(t):
 def stream_files(t):
     """JSON files with a declared schema, several micro-batches."""
     folder = work_path(t.spark, "json-in")
-    write_json(t.events.repartition(6), folder)
-    read = streams.file_stream(t.spark, "json", folder, SCHEMAS["events"], files_per_trigger=2)
+    for half in (F.col("value") < 50, F.col("value") >= 50):
+        write_json(t.events.filter(half), folder, "append")
+    read = streams.file_stream(t.spark, "json", folder, SCHEMAS["events"], files_per_trigger=1)
     return runner.appended(read, "files")
 
 
@@ -186,11 +187,7 @@ def stream_batch_count(t):
     def handle(frame, batch_id):
         write_batch(state.running_count(frame, "event_type"), batch_id, per_batch)
 
-    folder = work_path(t.spark, "events-in")
-    t.events.repartition(4).write.parquet(folder)
-    read = streams.file_stream(
-        t.spark, "parquet", folder, SCHEMAS["events"], files_per_trigger=1
-    )
+    read = t.stream_of("events", t.split("events", "ts"), files_per_trigger=1)
     runner.run_each_batch(read, handle, work_path(t.spark, "per-batch-checkpoint"))
     counts = t.spark.read.schema("event_type string, cnt bigint, batch_id bigint")
     return counts.parquet(per_batch).groupBy("event_type").agg(F.sum("cnt").alias("cnt"))
