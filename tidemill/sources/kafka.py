@@ -25,7 +25,7 @@ def starting_offsets(stored: DataFrame) -> str:
     are none. One row per topic partition, so the row count is checked and small."""
     rows = stored.select("topic", "part", "offset").limit(MAX_TOPIC_PARTITIONS + 1).collect()
     if len(rows) > MAX_TOPIC_PARTITIONS:
-        raise ValueError("more than one row per topic partition")
+        raise ValueError(f"more than {MAX_TOPIC_PARTITIONS} topic partitions for one stream")
     return offsets_json({(r.topic, r.part): r.offset for r in rows}) if rows else "earliest"
 
 
