@@ -41,10 +41,10 @@ def ready(spark: SparkSession) -> None:
 
 
 def text_groups(
-    batches: Iterator[pa.RecordBatch], *names: str, text: str = "raw"
+    batches: Iterator[pa.RecordBatch], *names: str, text: str = "raw", most: int = TEXTS_AT_ONCE
 ) -> Iterator[tuple[list[tuple], list[bytes]]]:
-    """The rows of all batches in groups of about TEXTS_AT_ONCE bytes of text: the values of
-    the named columns, and the texts. One long text is a group of its own."""
+    """The rows of all batches in groups of about ``most`` bytes of text: the values of the
+    named columns, and the texts. One long text is a group of its own."""
     rows: list[tuple] = []
     texts: list[bytes] = []
     size = 0
@@ -54,7 +54,7 @@ def text_groups(
             rows.append(row)
             texts.append(value)
             size += len(value)
-            if size >= TEXTS_AT_ONCE:
+            if size >= most:
                 yield rows, texts
                 rows, texts, size = [], [], 0
     if texts:

@@ -55,6 +55,7 @@ LOOSE = 1.3  # a leak may be longer than the item by this
 TERMS_PER_BLOCK = 1 << 14  # words of the items that go through together
 FAN = 64  # sketches that one group adds up
 ROWS = 64  # rows of a sketch that travel together
+CODES_AT_ONCE = 2 << 20  # bytes of codes, four of a word, that are worked on together
 SEGMENT = 16  # entries of a sparse row that are multiplied together
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -89,7 +90,7 @@ def word_codes(docs: DataFrame) -> DataFrame:
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """The documents of a group, their codes in a row, and the number of each word's text."""
-    for docs, parts in text_groups(batches, "doc_id", text="codes"):
+    for docs, parts in text_groups(batches, "doc_id", text="codes", most=CODES_AT_ONCE):
         sizes = [len(part) // 4 for part in parts]
         codes = np.frombuffer(b"".join(parts), dtype=np.uint32)
         yield [name for (name,) in docs], codes, np.repeat(np.arange(len(parts)), sizes)
