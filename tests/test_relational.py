@@ -71,8 +71,8 @@ def test_join_strategies_agree(skewed):
 
 def test_broadcast_only_below_the_bound(spark, skewed):
     left, right = skewed
-    assert measured_bytes(right) == sum(
-        8 + len(r.b) for r in right.collect())
+    # a row of a hash table: its own width, eight bytes for each column, and the text
+    assert measured_bytes(right) == sum(64 + 2 * 8 + len(r.b) for r in right.collect())
     plan = left.join(checked_broadcast(right, max_bytes=10), "k")
     assert "ResolvedHint" not in plan._jdf.queryExecution().analyzed().toString()
     hinted = left.join(checked_broadcast(right), "k")
