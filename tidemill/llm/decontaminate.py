@@ -55,7 +55,7 @@ LOOSE = 1.3  # a leak may be longer than the item by this
 TERMS_PER_BLOCK = 1 << 14  # words of the items that go through together
 FAN = 64  # sketches that one group adds up
 ROWS = 64  # rows of a sketch that travel together
-CODES_AT_ONCE = 2 << 20  # bytes of codes, four of a word, that are worked on together
+CODES_AT_ONCE = 1 << 20  # bytes of codes, four of a word, that are worked on together
 SEGMENT = 16  # entries of a sparse row that are multiplied together
 PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 
@@ -239,8 +239,8 @@ def _times(row, column, value, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarr
     values = np.zeros(columns.shape, dtype=matrix.dtype)
     columns.reshape(-1)[spot], values.reshape(-1)[spot] = column, value
     sums = np.empty((len(columns), matrix.shape[1]), dtype=matrix.dtype)
-    for at in range(0, len(columns), 1024):
-        cut = slice(at, at + 1024)
+    for at in range(0, len(columns), 256):
+        cut = slice(at, at + 256)
         np.matmul(values[cut, None, :], matrix[columns[cut]], out=sums[cut, None, :])
     total = sums[first]
     for nth in range(1, min(int(parts.max()), SEGMENT)):
@@ -433,8 +433,8 @@ def find_leaks(model: Model, lookup: Lookup, codes: np.ndarray, doc: np.ndarray)
     # no word adds more to a cosine than its weight times its largest share of any query
     length = np.sqrt(rest + REPEATS * own.clip(min=0))
     use = np.flatnonzero((most > 1e-6) & (most >= NEAR * length))
-    for at in range(0, len(use), 4096):
-        part = use[at : at + 4096]
+    for at in range(0, len(use), 2048):
+        part = use[at : at + 2048]
         near, query, cosine = _near(model, weight, column, heads[part], stop[part], rest[part])
         for window, which, value in zip(part[near].tolist(), query.tolist(), cosine.tolist()):
             nth, start = model.parts[which]
