@@ -264,3 +264,44 @@ def test_an_item_in_a_third_of_all_documents(spark, items):
     table = spark.createDataFrame(list(enumerate(bench)), "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, table).collect()}
     assert got == {(doc, 0) for doc in range(0, 300, 3)}
+
+
+def zipf(rng, size):
+    return [f"z{min(int(rng.paretovariate(0.6)), 12000)}" for _ in range(size)]
+
+
+def test_many_items_of_few_words(spark):
+    """1,500 items within one block's vocabulary: verbatim and paraphrased copies are found."""
+    rng = random.Random(15)
+    items = [zipf(rng, rng.randrange(15, 60)) for _ in range(1500)]
+    assert len({w for item in items for w in item}) < decontaminate.TERMS_PER_BLOCK
+    texts, held = [], []
+    for doc in range(150):
+        own, nth = zipf(rng, 300), rng.randrange(len(items))
+        part = list(items[nth])
+        if doc % 2:  # a tenth of the words replaced
+            for i in rng.sample(range(len(part)), len(part) // 10):
+                part[i] = f"n{rng.randrange(999)}"
+        at = rng.randrange(len(own))
+        texts.append(" ".join(own[:at] + part + own[at:]))
+        held.append((doc, nth))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    bench = spark.createDataFrame([(n, " ".join(i)) for n, i in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()}
+    assert set(held[::2]) <= got
+    assert len(set(held[1::2]) & got) >= 0.9 * len(held[1::2])
+
+
+def test_the_basis_keeps_every_query():
+    """Rows that the leading vectors do not have are added to them."""
+    rng = np.random.default_rng(4)
+    dense = np.where(rng.random((90, 400)) < 0.05, rng.random((90, 400)), 0).astype(np.float32)
+    dense[:, 0] += 0.1
+    dense[7] = dense[8]
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    row, column = np.nonzero(dense)
+    start = np.linalg.svd(dense)[2][:20].T.astype(np.float32)
+    basis, queries = decontaminate._completed(start, row, column, dense[row, column], 90)
+    assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-3)
+    assert (queries**2).sum(axis=1).min() >= decontaminate.KEPT
+    assert np.allclose(queries, dense @ basis, atol=1e-4)

@@ -17,7 +17,9 @@
 
 Words are compared in lower case and without ASCII punctuation, by 32 bits of a hash; they are
 written once in this form and all passes read that. The benchmark is a stated query set: its
-items go through in blocks, each with a bounded vocabulary.
+items go through in blocks, each with a bounded vocabulary and fewer rows than the basis has
+vectors; one item that is longer than that is a block of its own. Where the leading vectors
+have less than ``KEPT`` of a row, the basis gets what they lack, so no row is lost from it.
 
 Defined results: null text is empty; an item without words is never found, one with fewer than
 ``FEW`` words only as a whole; a document and item give one row, the best place (then the first);
@@ -48,6 +50,8 @@ PASSAGE = 64  # words
 WINDOW, STEP = 48, 16  # words that are looked at together, and between their first words
 COUNTERS = 1 << 16
 RANK, EXTRA = 256, 16
+ROWS_PER_BLOCK = 240  # rows of items that go through together, fewer than the rank
+KEPT = 0.98  # of every row's squared length, that the basis has at least
 NEAR = 0.25
 SURE, LIKELY = 0.8, 0.6
 FEW = 8
@@ -162,20 +166,30 @@ def read_item(item_id: int | None, text: str) -> Item:
     return Item(item_id, codes, before)
 
 
+def _starts(item: Item) -> range:
+    """The first words of the item's passages, each a query row."""
+    return range(0, max(1, len(item.codes) - PASSAGE // 2), PASSAGE)
+
+
 def item_blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
-    """The items in the order of their ids, as many at a time as the vocabulary allows."""
+    """The items in the order of their ids, as many at a time as their vocabulary and the
+    number of their rows allow."""
     block: list[Item] = []
     seen: set[int] = set()
+    parts = 0
     ordered = benchmark.select("item_id", "text").orderBy("item_id", "text")
     for row in ordered.toLocalIterator():
         item = read_item(row["item_id"], row["text"] or "")
         if not item.codes:
             continue
-        if block and len(seen.union(item.codes)) > TERMS_PER_BLOCK:
+        rows = len(_starts(item))
+        terms = len(seen.union(item.codes))
+        if block and (terms > TERMS_PER_BLOCK or parts + rows > ROWS_PER_BLOCK):
             yield block
-            block, seen = [], set()
+            block, seen, parts = [], set(), 0
         block.append(item)
         seen.update(item.codes)
+        parts += rows
     if block:
         yield block
 
@@ -332,14 +346,33 @@ def _leading(sketch: np.ndarray, omega: np.ndarray, rank: int) -> np.ndarray:
     return left[:, :rank].astype(np.float32)
 
 
+def _completed(basis, row, column, value, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """The basis, with more vectors if it has less than KEPT of a query row's squared length,
+    and the projected rows. The rows' lengths are 1."""
+
+    def projected(basis: np.ndarray) -> np.ndarray:
+        queries = np.zeros((number, basis.shape[1]), dtype=np.float32)
+        at, images = _times(row, column, value, basis)
+        queries[at] = images
+        return queries
+
+    queries = projected(basis)
+    weak = np.flatnonzero((queries**2).sum(axis=1) < KEPT)
+    if len(weak):
+        lost = np.zeros((len(basis), number))
+        lost[column, row] = value
+        lost = lost[:, weak] - basis @ queries[weak].T
+        left, size, _ = np.linalg.svd(lost, full_matrices=False)
+        more = left[:, size > 1e-3].astype(np.float32)
+        basis = np.ascontiguousarray(np.hstack((basis, more)))
+        queries = projected(basis)
+    return basis, queries
+
+
 def fit(rows: DataFrame, items: list[Item], weight: np.ndarray, passages: int) -> Model:
     vocabulary = np.unique(np.array([n for item in items for n in item.codes], dtype=np.uint32))
     width = len(vocabulary)
-    parts = [
-        (nth, at)
-        for nth, item in enumerate(items)
-        for at in range(0, max(1, len(item.codes) - PASSAGE // 2), PASSAGE)
-    ]
+    parts = [(nth, at) for nth, item in enumerate(items) for at in _starts(item)]
     names = [
         items[nth].codes[at : at + PASSAGE + PASSAGE // 2]
         if at + PASSAGE + PASSAGE // 2 >= len(items[nth].codes)
@@ -367,9 +400,7 @@ def fit(rows: DataFrame, items: list[Item], weight: np.ndarray, passages: int) -
     np.add.at(extra, column, value[:, None] * image[row])
     sketch += extra * (max(1, passages) / len(parts))
     basis = _leading(sketch, omega.astype(np.float64), RANK)
-    queries = np.zeros((len(parts), basis.shape[1]), dtype=np.float32)
-    at, images = _times(row, column, value, basis)
-    queries[at] = images
+    basis, queries = _completed(basis, row, column, value, len(parts))
     most = np.zeros(width, dtype=np.float32)
     for at in range(0, len(parts), 1024):
         share = np.abs(basis @ queries[at : at + 1024].T)
