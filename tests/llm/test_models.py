@@ -305,3 +305,25 @@ def test_the_basis_keeps_every_query():
     assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-3)
     assert (queries**2).sum(axis=1).min() >= decontaminate.KEPT
     assert np.allclose(queries, dense @ basis, atol=1e-4)
+
+
+def test_short_items_in_long_documents(spark):
+    """Items of 1 to 11 words, rare and common ones, against a search at every place."""
+    rng = random.Random(12)
+    items = [[w + "s" * (n % 2) for w in zipf(rng, size)] for size in range(1, 12) for n in range(8)]
+    texts = []
+    for doc in range(240):
+        own, at = zipf(rng, 400), rng.randrange(401)
+        part = items[doc % len(items)] if doc % 3 else items[doc % len(items)][:-1]
+        texts.append(own[:at] + part + own[at:])
+    docs = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(i)) for n, i in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs.repartition(4), bench).collect()}
+    whole = {
+        (doc, nth)
+        for doc, text in enumerate(texts)
+        for nth, item in enumerate(items)
+        if any(text[i : i + len(item)] == item for i in range(len(text)))
+    }
+    assert len(whole) > 160 and whole <= got
+    assert all(len(items[nth]) >= decontaminate.FEW for _, nth in got - whole)

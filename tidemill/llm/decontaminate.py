@@ -11,6 +11,8 @@
 3. In one more pass every window of every text is projected, and windows whose cosine with an
    item's passage is ``NEAR`` or more are candidates. A window is not projected if the largest
    shares that its words have in any query do not add up to such a cosine; this bound is exact.
+   An item of fewer than ``BRIEF`` words is too small a part of a window for a cosine to tell:
+   its candidates are all windows that hold as many different words of it as a leak has.
 4. A candidate is a leak if the longest common subsequence has ``SURE`` of the item's words, or
    ``LIKELY`` of them and as many of the words of its answer. The answer is what follows the
    last question mark or "answer:", else the last third.
@@ -55,6 +57,7 @@ KEPT = 0.98  # of every row's squared length, that the basis has at least
 NEAR = 0.25
 SURE, LIKELY = 0.8, 0.6
 FEW = 8
+BRIEF = 12  # below this many words no cosine is asked; a leak fits a window
 LOOSE = 1.3  # a leak may be longer than the item by this
 TERMS_PER_BLOCK = 1 << 14  # words of the items that go through together
 FAN = 64  # sketches that one group adds up
@@ -209,6 +212,8 @@ class Model:
     most: np.ndarray  # of every word the largest share it has in a projected query
     holds: np.ndarray  # words of the vocabulary x queries: 1 where the query has the word
     needs: np.ndarray  # different words of a query that a window near a leak has at least
+    brief: np.ndarray  # whether the query is an item of fewer than BRIEF words
+    short: np.ndarray  # whether the word of the vocabulary is in such an item
 
 
 class Lookup:
@@ -412,7 +417,14 @@ def fit(rows: DataFrame, items: list[Item], weight: np.ndarray, passages: int) -
     # LIKELY of the words, but for repeated ones, as far as the window that begins at most STEP
     # words before the leak sees it
     needs = (LIKELY * size - (size - holds.sum(axis=0))) * np.minimum(1, (WINDOW - STEP) / size)
-    return Model(items, parts, vocabulary, own, weight, basis, queries, table, most, holds, needs)
+    lengths = np.array([len(items[nth].codes) for nth, _ in parts])
+    brief, different = lengths < BRIEF, holds.sum(axis=0)
+    least = np.where(lengths < FEW, different, np.maximum(1, LIKELY * size - (size - different)))
+    needs = np.where(brief, least - 1e-6, needs)
+    short = holds[:, brief].any(axis=1)
+    return Model(
+        items, parts, vocabulary, own, weight, basis, queries, table, most, holds, needs, brief, short
+    )
 
 
 def common_words(item: list[int], text: list[int]) -> int:
@@ -456,14 +468,18 @@ def find_leaks(model: Model, lookup: Lookup, codes: np.ndarray, doc: np.ndarray)
     mine = column >= 0
     square = weight.astype(np.float64) ** 2
     best_of = np.where(mine, weight * model.most[column], 0).astype(np.float64)
-    most, own, other = (
+    of_brief = np.where(mine, model.short[column], 0).astype(np.float64)
+    most, own, other, few = (
         np.diff(np.concatenate(([0.0], np.cumsum(values)))[np.stack((heads, stop))], axis=0)[0]
-        for values in (best_of, np.where(mine, square, 0), np.where(mine, 0, square))
+        for values in (best_of, np.where(mine, square, 0), np.where(mine, 0, square), of_brief)
     )
     rest = other.clip(min=0)
     # no word adds more to a cosine than its weight times its largest share of any query
     length = np.sqrt(rest + REPEATS * own.clip(min=0))
-    use = np.flatnonzero((most > 1e-6) & (most >= NEAR * length))
+    use = (most > 1e-6) & (most >= NEAR * length)
+    if model.brief.any():
+        use |= few >= model.needs[model.brief].min()
+    use = np.flatnonzero(use)
     for at in range(0, len(use), 2048):
         part = use[at : at + 2048]
         near, query, cosine = _near(model, weight, column, heads[part], stop[part], rest[part])
@@ -486,7 +502,7 @@ def find_leaks(model: Model, lookup: Lookup, codes: np.ndarray, doc: np.ndarray)
 
 
 def _near(model, weight, column, head, stop, rest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows, queries and cosines of all pairs that are near."""
+    """Windows, queries and cosines of all pairs that are near, or hold enough of a brief item."""
     size = stop - head
     row = np.repeat(np.arange(len(head)), size)
     place = np.arange(int(size.sum())) + np.repeat(head - (np.cumsum(size) - size), size)
@@ -500,7 +516,7 @@ def _near(model, weight, column, head, stop, rest) -> tuple[np.ndarray, np.ndarr
         rows, image = _times(row, found, value, model.basis)
         cosine = image @ model.queries.T
     cosine /= length[rows, None].astype(np.float32)
-    near, query = np.nonzero(cosine >= NEAR)
+    near, query = np.nonzero((cosine >= NEAR) | model.brief)
     # a subsequence has no more different words than both sides have in common
     some = np.unique(near)
     entries = np.isin(row, rows[some])
