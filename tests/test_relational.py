@@ -100,6 +100,32 @@ def test_cogroup_chunks(spark):
                    (3, 0): (None, [8])}
 
 
+def test_cogroup_function_gets_a_row_of_a_key(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tidemill.operators import joins
+    from tidemill.registry import all_queries
+
+    sides = []
+
+    def watched(left, right, *rest, apply=joins.cogroup_apply):
+        sides.extend((left, right))
+        return apply(left, right, *rest)
+
+    monkeypatch.setattr(joins, "cogroup_apply", watched)
+    hot = F.when(F.col("id") < 400, 1).otherwise(F.col("id"))
+    price = F.when(F.col("id") != 7, F.lit(2.5))
+    tables = SimpleNamespace(
+        orders=spark.range(500).select(hot.alias("o_custkey"), price.alias("o_totalprice")),
+        events=spark.range(450).select((hot + 10).alias("user_id"), F.col("id").alias("event_id")),
+    )
+    got = {r.key: tuple(r)[1:] for r in all_queries()["cogroup_function"].build(tables).collect()}
+    assert got[1] == (400, 0, 997.5) and got[11] == (0, 400, 0.0)
+    assert got[410] == (1, 1, 2.5) and got[405] == (1, 0, 2.5) and len(got) == 102
+    for side in sides:
+        assert side.groupBy("key").count().where("count > 1").count() == 0
+
+
 def test_salted_aggregate_equals_plain(skewed):
     left = skewed[0]
     spec = {"n": ("count", F.col("a")), "s": ("sum", F.col("a")), "m": ("avg", F.col("a")),

@@ -52,8 +52,8 @@ def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def cogroup_apply(left: DataFrame, right: DataFrame, key: str, function, schema: str) -> DataFrame:
     """``function(key, left rows, right rows)`` with pandas frames, once per key that either
-    side has. Both groups of a key must fit one task; use ``cogroup_chunks`` or aggregates
-    where a key may be large."""
+    side has. Both groups of a key go to one task: where a key may be large, pass totals per
+    key (they combine before the shuffle) or use ``cogroup_chunks``."""
     return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(function, schema)
 
 

@@ -218,11 +218,14 @@ def agg_summary(t):
        from a full join b on a.key = b.key""",
 )
 def cogroup_function(t):
-    """Both groups of a key in one call of a function."""
+    """Both groups of a key in one call of a function. Each side is added up by key before, so
+    a call gets one row of a side at most, however many rows the key has."""
     from tidemill.operators.joins import cogroup_apply
 
-    orders = t.orders.select(F.col("o_custkey").alias("key"), "o_totalprice")
-    events = t.events.select(F.col("user_id").alias("key"), "event_id")
+    orders = t.orders.groupBy(F.col("o_custkey").alias("key")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").cast("double").alias("spent")
+    )
+    events = t.events.groupBy(F.col("user_id").alias("key")).agg(F.count(F.lit(1)).alias("events"))
     both = cogroup_apply(
         orders, events, "key", orders_and_events, "key long, orders long, events long, spent double"
     )
@@ -235,8 +238,8 @@ def orders_and_events(key, orders, events):
     return pd.DataFrame(
         {
             "key": [key[0]],
-            "orders": [len(orders)],
-            "events": [len(events)],
-            "spent": [float(orders["o_totalprice"].sum())],
+            "orders": [int(orders["orders"].sum())],
+            "events": [int(events["events"].sum())],
+            "spent": [float(orders["spent"].sum())],
         }
     )
