@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, with their SQL twins."""
+"""The registered queries of the thirteen operators, with their SQL twins."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemill.llm import decontaminate, exact_dedup, line_dedup, packing, quality, sharding, simhash
+from tidemill.llm import decontaminate, exact_dedup, hard_negatives, language_id, line_dedup
+from tidemill.llm import packing, quality, resampling, sharding, simhash
 from tidemill.llm import substring_dedup, token_counts, token_files
 from tidemill.tables import Tables
 
@@ -56,6 +57,19 @@ def op10_substring_dedup(spark: SparkSession, root: str) -> DataFrame:
     return substring_dedup.drop_repeats(Tables(spark, root).documents, texts=False)
 
 
+def op11_language_id(spark: SparkSession, root: str) -> DataFrame:
+    return language_id.identified(Tables(spark, root).documents)
+
+
+def op12_resampling(spark: SparkSession, root: str) -> DataFrame:
+    tables = Tables(spark, root)
+    return resampling.resampled(tables.documents, tables.benchmark)
+
+
+def op13_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    return hard_negatives.mined(Tables(spark, root).embeddings)
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality": op2_quality,
@@ -67,6 +81,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_language_id": op11_language_id,
+    "op12_resampling": op12_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -114,4 +131,80 @@ ORACLES: dict[str, str] = {
         select source, lang, tokenizer, count(*) as documents,
                sum(tokens)::bigint as tokens, sum(bytes)::bigint as bytes
         from counts group by source, lang, tokenizer""",
+    "op12_resampling": r"""
+        with bits as (
+            select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                lambda c, b: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+                order by i) as t
+            from (select unnest(range(0, 256))::bigint as i)),
+        texts as (
+            select 'd' as kind, row_number() over () as id, doc_id, text from documents
+            union all
+            select 'b', row_number() over (), null, text from benchmark),
+        parts as (
+            select kind, id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+            from texts),
+        words as (select kind, id, word, count(*) as n from parts group by all),
+        kinds as (
+            select word, xor(list_reduce(list_prepend(4294967295::bigint,
+                list_transform(range(1, strlen(word) + 1),
+                    lambda k: ('0x' || substr(hex(word), 2 * k - 1, 2))::bigint)),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+            from (select distinct word from words), bits),
+        totals as (
+            select bucket, coalesce(sum(n) filter (kind = 'd'), 0) as s,
+                   coalesce(sum(n) filter (kind = 'b'), 0) as t
+            from words join kinds using (word) group by bucket),
+        whole as (select sum(s)::double as all_s, sum(t)::double as all_t from totals),
+        gains as (
+            select bucket, floor(1000 * ln((t + 1.0)::double * (all_s + 10000.0)
+                / ((s + 1.0)::double * (all_t + 10000.0))))::bigint as gain
+            from totals, whole),
+        per_doc as (
+            select id, sum(n)::bigint as n_features,
+                   floor(sum(n * gain)::double / sum(n)::double)::bigint as weight
+            from words join kinds using (word) join gains using (bucket)
+            where kind = 'd' group by id),
+        scored as (
+            select doc_id, coalesce(n_features, 0)::bigint as n_features,
+                   coalesce(weight, 0)::bigint as weight,
+                   (coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (('0x' || substr(sha256('2024:' || doc_id), 1, 8))::bigint + 0.5)::double
+                       / 4294967296::double))))::bigint as score
+            from texts left join per_doc using (id) where kind = 'd'),
+        placed as (
+            select *, row_number() over (partition by n_features >= 20
+                order by score desc, doc_id) as place
+            from scored)
+        select doc_id, n_features, weight, score,
+               case when n_features >= 20 and place <= (select count(*) * 10 // 100
+                   from scored where n_features >= 20) then place end as rank
+        from placed""",
+    "op13_hard_negatives": """
+        with rows as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v,
+                   (case when vec_id % 7 = 0 then (label + 1) % 10 else label end) as label
+            from embeddings
+            where label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+        pairs as (
+            select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+                   list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))::bigint as score
+            from rows a join rows b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+        positives as (
+            select anchor_id, other_id as positive_id, score as positive_score from pairs
+            where same
+            qualify row_number() over (partition by anchor_id
+                order by score desc, other_id) <= 5)
+        select anchor_id, positive_id,
+               (row_number() over (partition by anchor_id, positive_id
+                   order by score desc, other_id))::int as rank,
+               other_id as negative_id, positive_score, score as negative_score
+        from pairs join positives using (anchor_id)
+        where not same and 30 * positive_score <= 100 * score
+          and 100 * score <= 90 * positive_score
+        qualify rank <= 10""",
 }
