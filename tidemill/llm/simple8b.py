@@ -87,6 +87,8 @@ def _selectors(need: np.ndarray, ids: np.ndarray) -> np.ndarray:
         end = CHUNK - count + 1
         widest = np.maximum(widest[:, :end], widest[:, count - span : count - span + end])
         span = count
+        if widest.size and widest.min() > kind:  # nor will more ids with fewer bits each fit anywhere
+            break
         np.putmask(out[:, :end], widest <= kind, kind + 2)
     if size and not ids.min():
         zero = np.full((rows, CHUNK), 1, dtype=np.uint8)

@@ -8,7 +8,7 @@ after a lost executor replaces its output, any store that Spark writes to will d
 finds a document's block by the files' statistics. Reading needs nothing but a block's row.
 
 Defined results: null text is empty and has the end id alone; a null doc_id comes first; rows
-with one doc_id follow each other by the hash of their text; a text longer than a block is a
+with one doc_id follow each other by the hash of their text, over several files if they are many; a text longer than a block is a
 block of its own; an empty table writes no row; other columns are ignored.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import simple8b
 from tidemill.llm.common import raw_text, text_groups
-from tidemill.llm.tokens import default_tokenizer, encoder
+from tidemill.llm.tokens import WORDS_KEPT, default_tokenizer, encoder
 from tidemill.session import work_path
 
 BLOCK_IDS = 1 << 17
@@ -72,7 +72,7 @@ def _write(tokenizer: str, end: int):
                 [pa.array([v], type=f.type) for v, f in zip(values, BLOCK)], schema=BLOCK
             )
 
-        with encoder(tokenizer) as words:
+        with encoder(tokenizer, WORDS_KEPT) as words:
             for names, texts in text_groups(batches, "doc_id"):
                 ids, bounds = words.encode(texts, end)
                 for nth, (name,) in enumerate(names):
@@ -111,10 +111,13 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end: int = 2) -> None:
     """Encode every text and write the blocks under ``path``."""
+    order = ["doc_id", "hash"]  # the hash parts rows that share a doc_id, or have none
     ordered = (
         raw_text(docs)
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.xxhash64("raw"))
+        .withColumn("hash", F.xxhash64("raw"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .drop("hash")
     )
     blocks = ordered.mapInArrow(_write(tokenizer or default_tokenizer(), end), BLOCK_DDL)
     blocks.write.option("compression", "zstd").parquet(path)

@@ -1,8 +1,9 @@
 """Whole texts to token ids, word by word, with one bounded memory of words per worker.
 
 The tokenizer splits at white space before anything else, so the ids of a text are the ids of
-its words one after the other. A word is given to the tokenizers library once and its ids are
-kept; texts are then put together from them in numpy. Where the tokenizer lowers letters, parts
+its words one after the other. Words are told apart by their names (``words``, 64 bits); a new
+one is given to the tokenizers library once and its ids are kept, so that texts are put together
+in numpy and no word but a new one becomes an object. Where the tokenizer lowers letters, parts
 them from punctuation and spells them in bytes, a Latin word is looked up in these two parts,
 and its letters go straight to the tokenizer's model.
 """
@@ -15,7 +16,9 @@ from contextlib import contextmanager
 
 import numpy as np
 
-WORDS_KEPT = 700_000  # then the memory starts anew
+from tidemill.llm.words import spelled
+
+WORDS_KEPT = 1_000_000  # then the memory starts anew; a word takes about 200 bytes
 WORDS_LEFT = 100_000  # that an idle worker may keep from one task to the next
 TAIL = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 LATIN = 0x180  # letters below have one composed form and, but for two, one lower-case letter
@@ -31,29 +34,27 @@ def default_tokenizer() -> str:
 
 
 @contextmanager
-def encoder(path: str) -> Iterator[WordEncoder]:
+def encoder(path: str, left: int = WORDS_LEFT) -> Iterator[WordEncoder]:
     """One encoder per worker process and file. A worker lives longer than a task and may do
-    other work next, so a task does not leave a large memory of words behind."""
+    other work next, so a task does not leave a memory of more than ``left`` words behind."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     try:
         yield _ENCODERS[path]
     finally:
-        if len(_ENCODERS[path].index) > WORDS_LEFT:
+        if len(_ENCODERS[path].names) > left:
             _ENCODERS[path]._forget()
 
 
-class _Index(dict):
-    """Gives every new word the next number and notes it as new."""
+def _number(index: dict, words) -> list:
+    """Give every word that is not in ``index`` the next number; the new ones in order."""
+    new = list(set(words).difference(index))
+    index.update(zip(new, range(len(index), len(index) + len(new))))
+    return new
 
-    def __init__(self):
-        super().__init__()
-        self.new: list = []
 
-    def __missing__(self, word) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
+def _numbers(index: dict, words: list) -> np.ndarray:
+    return np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
 
 
 class _Pieces:
@@ -113,72 +114,89 @@ class WordEncoder:
         return self.encode(probe, 0)[0].tolist() == whole
 
     def _forget(self) -> None:
-        self.index, self.parts = _Index(), _Index()
-        self.words, self.pieces = _Pieces(), _Pieces()
-        self.nothing = self.parts[b""]
-        self.parts.new = []
-        self.pieces.add(np.array([self.nothing]), np.zeros(0, np.uint32), np.zeros(1, np.int64))
-
-    def _learn(self) -> None:
-        """Have the library encode the parts of the words that are new."""
-        words, self.index.new = self.index.new, []
-        if not words:
-            return
-        first, second = [], []
-        part, nothing = self.parts.__getitem__, self.nothing
-        known = len(self.parts)
-        for word in words:
-            core = word.rstrip(TAIL) if self.in_parts else b""
-            if not core.isalpha():  # ASCII letters alone
-                core = core.decode()
-                if not (core.isalpha() and max(core) < LAST and not ODD.intersection(core)):
-                    first.append(part(word))
-                    second.append(nothing)
-                    continue
-                size = len(core.encode())
-                core = core.lower().translate(self.spelling)
-            else:
-                size = len(core)
-                core = core.lower().decode()
-            first.append(part(core))
-            second.append(part(word[size:]) if size < len(word) else nothing)
-        new, self.parts.new = self.parts.new, []
-        short = [n for n, w in enumerate(new) if type(w) is str]
-        long = [n for n, w in enumerate(new) if type(w) is bytes]
-        self._encode_parts(self.model, short, known, [new[n] for n in short])
-        self._encode_parts(self.library, long, known, [new[n].decode() for n in long])
-        one, two = np.array(first, dtype=np.int64), np.array(second, dtype=np.int64)
-        count = self.pieces.count[one] + self.pieces.count[two]
+        self.names = np.zeros(0, dtype=np.uint64)  # of all words that are kept, ascending
+        self.numbers = np.zeros(0, dtype=np.int64)
+        self.letters: dict[str, int] = {}  # parts that go to the model alone
+        self.others: dict[bytes, int] = {b"": 0}  # parts that go to the whole tokenizer
+        self.words, self.letter_ids, self.other_ids = _Pieces(), _Pieces(), _Pieces()
+        none = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.other_ids.add(np.zeros(1, np.int64), *none)
+
+    def _parted(self, word: bytes) -> tuple[str, bytes]:
+        """A word's letters as the model spells them, and the rest, which may be all."""
+        core = word.rstrip(TAIL)
+        letters = core.decode()
+        if letters.isalpha() and max(letters) < LAST and not ODD.intersection(letters):
+            return letters.lower().translate(self.spelling), word[len(core) :]
+        return "", word
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Have the library encode the parts of the words, which are new."""
+        if self.in_parts:
+            cores = [word.rstrip(TAIL) for word in words]
+            first = [core.decode() if core.isalpha() else None for core in cores]  # ASCII alone
+            second = [word[len(core) :] for word, core in zip(words, cores)]
+            for n in [n for n, core in enumerate(first) if core is None]:
+                first[n], second[n] = self._parted(words[n])
+            self._encode_parts(self.model, self.letters, self.letter_ids, first)
+            one = _numbers(self.letters, first)
+        else:
+            second, one = words, None
+        self._encode_parts(self.library, self.others, self.other_ids, second)
+        two = _numbers(self.others, second)
+        count = self.other_ids.count[two]
+        if one is not None:
+            count = count + self.letter_ids.count[one]
         at = np.cumsum(count) - count
         ids = np.zeros(int(count.sum()), dtype=np.uint32)
-        self.pieces.join(one, ids, at)
-        self.pieces.join(two, ids, at + self.pieces.count[one])
-        total = len(self.index)
-        self.words.add(np.arange(total - len(words), total), ids, count)
-
-    def _encode_parts(self, tokenizer, places: list[int], known: int, parts: list[str]) -> None:
-        if parts:
-            found = tokenizer.encode(parts, is_pretokenized=True, add_special_tokens=False)
+        if one is not None:
+            self.letter_ids.join(one, ids, at)
+            at = at + self.letter_ids.count[one]
+        self.other_ids.join(two, ids, at)
+        total = len(self.names)
+        self.words.add(np.arange(total, total + len(words)), ids, count)
+
+    def _encode_parts(self, tokenizer, index: dict, pieces: _Pieces, parts: list) -> None:
+        known = len(index)
+        new = _number(index, parts)
+        if new:
+            texts = [part if type(part) is str else part.decode() for part in new]
+            found = tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
             of = np.array(found.word_ids, dtype=np.int64)
-            count = np.bincount(of, minlength=len(parts))
-            ids = np.array(found.ids, dtype=np.uint32)
-            self.pieces.add(known + np.array(places), ids, count)
+            count = np.bincount(of, minlength=len(new))
+            pieces.add(np.arange(known, len(index)), np.array(found.ids, dtype=np.uint32), count)
+
+    def _known(self, joined: bytes, names, low, high) -> np.ndarray:
+        """The numbers of all words; those that are new are learned."""
+        kinds, where, again = np.unique(names, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.names, kinds)
+        new = np.ones(len(kinds), dtype=bool)
+        inside = at < len(self.names)
+        new[inside] = self.names[at[inside]] != kinds[inside]
+        numbers = np.empty(len(kinds), dtype=np.int64)
+        numbers[~new] = self.numbers[at[~new]]
+        if new.any():
+            bounds = zip(low[where[new]].tolist(), high[where[new]].tolist())
+            self._learn([joined[a:b] for a, b in bounds])
+            numbers[new] = len(self.names) + np.arange(int(new.sum()))
+            self.numbers = np.insert(self.numbers, at[new], numbers[new])
+            self.names = np.insert(self.names, at[new], kinds[new])
+        return numbers[again]
 
     def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (UTF-8) in one array, each text's followed by ``end``, and the
         bounds of the texts in it, one more than there are texts."""
-        if len(self.index) > WORDS_KEPT:
+        if len(self.names) > WORDS_KEPT:
             self._forget()
-        words, sizes = [], []
-        for text in texts:
-            parts = text.split()  # the six ASCII blanks only
-            words.extend(parts)
-            sizes.append(len(parts))
-        numbers = np.fromiter(map(self.index.__getitem__, words), dtype=np.int64, count=len(words))
-        del words
-        self._learn()
+        joined = b"\n".join([*texts, b""])
+        if self.in_parts:  # a tokenizer that lowers letters may as well get them so
+            joined = joined.lower()
+        names, low, high = spelled(joined)
+        until = np.cumsum([len(text) + 1 for text in texts])
+        sizes = np.diff(np.searchsorted(low, until), prepend=0)  # words of each text
+        numbers = self._known(joined, names, low, high)
         ends = np.concatenate(([0], np.cumsum(self.words.count[numbers])))
-        text_ends = ends[np.cumsum(np.array(sizes, dtype=np.int64))]
+        text_ends = ends[np.cumsum(sizes)]
         bounds = np.concatenate(([0], text_ends + np.arange(1, len(sizes) + 1)))
         out = np.full(int(bounds[-1]), end, dtype=np.uint32)
         shift = np.repeat(np.arange(len(sizes)), sizes)  # end ids before the word

@@ -79,11 +79,32 @@ def named(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _named(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     buffer = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
+    names, low, _ = _spelled(buffer)
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    return names, np.searchsorted(ends, low, side="right")
+
+
+def _spelled(buffer: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names and bounds of the words of a buffer that ends with a blank."""
     blank = _IS_BLANK[buffer]
     first = ~blank
     first[1:] &= blank[:-1]
-    last = ~blank[:-1] & blank[1:]  # the buffer ends with a blank
+    last = ~blank[:-1] & blank[1:]
     low, high = np.flatnonzero(first), np.flatnonzero(last) + 1
-    names = mix(Hashes(_BYTES[buffer]).of(low, high) + (high - low).astype(np.uint64), 12)
-    ends = np.cumsum([len(text) + 1 for text in texts])
-    return names, np.searchsorted(ends, low, side="right")
+    return mix(Hashes(_BYTES[buffer]).of(low, high) + (high - low).astype(np.uint64), 12), low, high
+
+
+def spelled(joined: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names and bounds of all words of a text that ends with a blank, about NAMED_AT_ONCE bytes
+    at a time, cut at blanks."""
+    buffer = np.frombuffer(joined, dtype=np.uint8)
+    start, parts = 0, []
+    while start < len(buffer):
+        end = start + NAMED_AT_ONCE
+        while end < len(buffer) and not _IS_BLANK[buffer[end - 1]]:
+            end += 1
+        names, low, high = _spelled(buffer[start:end])
+        parts.append((names, low + start, high + start))
+        start = end
+    names, low, high = zip(*parts)
+    return np.concatenate(names), np.concatenate(low), np.concatenate(high)
