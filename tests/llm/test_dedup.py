@@ -115,13 +115,30 @@ def test_drop_near_copies(spark):
 def test_repeated_passages(spark, window):
     for docs in (brute.odd(spark), brute.documents(spark)):
         rows = brute.pairs_of(docs)
-        tag = dict(docs.selectExpr("text", "hash(cast(coalesce(text, '') as binary))").collect())
+        tag = dict(docs.selectExpr("text", "shiftright(xxhash64(cast(coalesce(text, '') as binary)), 2)").collect())
         order = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, tag[r[1]]))
         want = brute.without_repeats(order, window)
         got = substring_dedup.drop_repeats(docs, window, texts=False).collect()
         assert Counter(tuple(r) for r in got) == Counter((doc, *want[(doc, t)]) for doc, t in rows)
 
 
+def test_texts_whose_short_hashes_agree_stay_apart(spark):
+    """Of 300,000 texts without doc_id, those that share a hash of 32 bits, beside long texts."""
+    parts = " ".join(f"c{n}" for n in range(30))
+    texts = spark.range(300_000).selectExpr(
+        f"case when id % 2 = 0 then concat(id, ' {parts}') else concat(id, ' short') end as text"
+    )
+    hashed = texts.selectExpr("text", "hash(cast(text as binary)) as h")
+    twice = hashed.groupBy("h").count().where("count > 1")
+    chosen = [r["text"] for r in hashed.join(twice, "h").select("text").collect()]
+    assert len(chosen) > 6
+    docs = spark.createDataFrame([(None, t) for t in chosen], "doc_id long, text string").repartition(3)
+    got = substring_dedup.drop_repeats(docs, 20).collect()
+    long = [t for t in chosen if "short" not in t]
+    assert Counter(r.n_words for r in got) == Counter(len(t.split()) for t in chosen)
+    assert Counter(r.n_removed for r in got if r.n_words > 2) == Counter({0: 1, 30: len(long) - 1})
+
+
 def test_common_passage_in_many_documents(spark):
     rng = random.Random(2)
     shared = [f"w{rng.randrange(9)}" for _ in range(60)]
