@@ -259,11 +259,58 @@ def test_rollup(spark, tmp_path):
     assert (None, None, "t", 1, 2, 9) in state()
 
 
-def test_corpus_totals_with_odd_rows(spark):
-    docs = brute.odd(spark)
-    got = token_counts.corpus_totals(docs).collect()
-    assert sum(r.documents for r in got if r.tokenizer == "words-1") > 0
-    assert len({(r.source, r.lang, r.tokenizer) for r in got}) == len(got)
+def test_a_batch_that_comes_after_a_base_of_later_ones_counts(spark, tmp_path):
+    rollup = token_counts.Rollup(spark, str(tmp_path / "totals"))
+
+    def row(tokens):
+        return spark.createDataFrame(
+            [("a", "en", "t", tokens, 9)], "source string, lang string, tokenizer string, tokens long, bytes long"
+        )
+
+    rollup.commit(1, token_counts.inserts(row(1)))
+    rollup.commit(3, token_counts.inserts(row(100)))
+    rollup.compact()
+    rollup.commit(2, token_counts.inserts(row(10)))
+    rollup.commit(3, token_counts.inserts(row(900)))  # held already
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "t", 3, 111, 27)]
+    rollup.compact()
+    rollup.compact()
+    assert rollup._base()[1] == [(1, 3)]
+    assert [tuple(r) for r in rollup.totals().collect()] == [("a", "en", "t", 3, 111, 27)]
+
+
+def plain_totals(docs, library):
+    """One row of each text without noise stays; every version counts what stays."""
+    import re
+
+    kept = {}
+    for doc, source, lang, text in docs:
+        clean = re.sub(r"[#$%&*|]+", "", text or "")
+        place = tuple(x for v in (doc, source, lang) for x in (v is None, v or 0 if v is doc else v or ""))
+        if clean not in kept or place < kept[clean][0]:
+            kept[clean] = (place, source, lang)
+    out = {}
+    for clean, (_, source, lang) in kept.items():
+        words = clean.encode().split()
+        pieces = re.findall(r"[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]", clean)
+        counts = {"words-1": len(words), "pieces-1": len(pieces), "library": len(whole(library, clean, 0)) - 1}
+        for name, n in counts.items():
+            was = out.get((source, lang, name), (0, 0, 0))
+            out[source, lang, name] = (was[0] + 1, was[1] + n, was[2] + len(clean.encode()))
+    return {(*k, *v) for k, v in out.items()}
+
+
+def test_corpus_totals_equal_the_plain_version(spark, library):
+    from tidemill.llm.tokens import default_tokenizer
+
+    more = [(1, "one two"), (7, "one two"), (7, "quite another"), (None, "same #"), (None, "same "), (5, "same |")]
+    for docs in (brute.odd(spark), brute.documents(spark), spark.createDataFrame(
+        [(d, t, "en" if d else None, None if d == 7 else "s") for d, t in more],
+        "doc_id long, text string, lang string, source string",
+    )):
+        got = token_counts.corpus_totals(docs, default_tokenizer(), "library").collect()
+        rows = [tuple(r) for r in docs.select("doc_id", "source", "lang", "text").collect()]
+        assert {tuple(r) for r in got} == plain_totals(rows, library)
 
 
 def test_empty_tables(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import decontaminate, exact_dedup, hard_negatives, language_id, line_dedup
 from tidemill.llm import packing, quality, resampling, sharding, simhash
-from tidemill.llm import substring_dedup, token_counts, token_files
+from tidemill.llm import substring_dedup, token_counts, token_files, tokens
 from tidemill.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,12 @@ def op6_line_dedup(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    """By two patterns and a tokenizer file, which SQL cannot follow."""
+    return token_counts.corpus_totals(Tables(spark, root).documents, tokens.default_tokenizer())
+
+
+def token_counts_patterns(spark: SparkSession, root: str) -> DataFrame:
+    """The same batches by the patterns alone."""
     return token_counts.corpus_totals(Tables(spark, root).documents)
 
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Query] = {
     "op5_simhash": op5_simhash,
     "op6_line_dedup": op6_line_dedup,
     "op7_token_counts": op7_token_counts,
+    "token_counts_patterns": token_counts_patterns,
     "op8_sharding": op8_sharding,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
@@ -112,7 +119,7 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) order by pos)
                    filter (line not in (select line from wide)), '')) as kept_sha256
         from parts group by doc_id""",
-    "op7_token_counts": r"""
+    "token_counts_patterns": r"""
         with clean as (
             select *, regexp_replace(coalesce(text, ''), '[#$%&*|]+', '', 'g') as whole
             from documents),
