@@ -35,6 +35,7 @@ from tidemill.llm.common import ready, text_groups
 FOLDS, HELD_OUT = 3, 1
 LANGUAGES = 256  # languages that are learned at most
 SAMPLE = 400  # documents of a language that its dictionary is made from at most
+SPARE = 8
 DICTIONARY = 1 << 14  # bytes of a dictionary at most
 WORD = 40  # bytes of a word in a dictionary at most
 PIECE = 1 << 12
@@ -123,23 +124,28 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Languages:
     ).where("doc_id is not null and lang is not null and text is not null")
     rows = rows.where(~held_out(F.col("doc_id")))
     common = [
-        (r["lang"], r["n"])
+        (r["lang"], r["docs"])
         for r in rows.groupBy("lang")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), F.approx_count_distinct("doc_id").alias("docs"))
         .orderBy(F.desc("n"), "lang")
         .limit(LANGUAGES)
         .collect()
     ]
     if not common:
         return Languages([], [])
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # the smallest hashes of a language are below this share of all hashes, SPARE times as many
+    # as needed on average, so that few rows of a large language meet in its window
+    most = [F.lit(x) for lang, docs in common for x in (lang, min(1.0, SPARE * sample / docs))]
+    share = F.element_at(F.create_map(*most), F.col("lang"))
+    by_hash = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = (
         rows.where(F.col("lang").isin([lang for lang, _ in common]))
-        .select("lang", "doc_id")
+        .select("lang", "doc_id", F.xxhash64("doc_id").alias("hash"))
+        .where(F.shiftrightunsigned("hash", 11) < share * 2.0**53)
         .distinct()
         .withColumn("nth", F.row_number().over(by_hash))
         .where(F.col("nth") <= sample)
-        .drop("nth")
+        .select("lang", "doc_id")
     )
     # a doc_id may have many rows: of those, too, the smallest hashes
     by_text = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"), "text")
