@@ -42,7 +42,7 @@ LEAST_WORDS = 20
 PERCENT = 10
 SEED = 2024
 HEAD = 8192  # frequent words, and as many pairs, that every task is given
-SUMMARY = 4 * HEAD  # features that a task's summary holds at most
+SUMMARY = 2  # a task's summary holds so many times HEAD features
 
 # fixed values: A-Z are lowered; other letters, digits and bytes beyond ASCII stay as they are
 _KEPT = set(range(48, 58)) | set(range(97, 123)) | set(range(128, 256))
@@ -96,16 +96,19 @@ Head = tuple[dict[bytes, int], dict[bytes, int]]
 def frequent(texts: DataFrame, run: int = RUN, head: int = HEAD) -> Head:
     """The CRC states of the ``head`` most frequent words, and pairs if runs are longer."""
     seen = (
-        texts.mapInArrow(_summarise(run, 4 * head), "length int, feature binary, n long")
+        texts.mapInArrow(_summarise(run, SUMMARY * head), "length int, feature binary, n long")
         .groupBy("length", "feature")
         .agg(F.sum("n").alias("n"))
     )
-    top = Window.partitionBy("length").orderBy(F.desc("n"), "feature")
-    rows = seen.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= head)
     found: Head = ({}, {})
-    for row in rows.select("length", "feature").collect():  # 2 * head rows at most
-        feature = bytes(row["feature"])
-        found[row["length"] - 1][feature] = zlib.crc32(feature)
+    if run > 1:
+        seen = materialize(seen, "frequent")
+    for length in range(1, min(run, 2) + 1):
+        # a heap of ``head`` rows per partition, merged
+        top = seen.where(F.col("length") == length).orderBy(F.desc("n"), "feature").limit(head)
+        for row in top.collect():
+            feature = bytes(row["feature"])
+            found[length - 1][feature] = zlib.crc32(feature)
     return found
 
 
