@@ -19,7 +19,7 @@ from tidemill.sinks.files import write_json
 from tidemill.sinks.keyed import write_batch
 from tidemill.sinks.streams import FileWriterPerTask
 from tidemill.sources import streams
-from tidemill.streaming import delivery, runner, state
+from tidemill.streaming import delivery, runner, state, timed as timers
 from tidemill.tables import SCHEMAS
 
 WHOLE_SPAN = "40 days"
@@ -437,3 +437,91 @@ def stream_dashboard(t):
     )
     metrics = analyses.slot_metrics(materialize(slots.withColumnRenamed("start", "slot"), "slots"))
     return metrics.select("event", "slot", "value")
+
+
+ALL_FILES = 1_000_000  # every file of an arrival in one batch
+
+
+def settled(t, build, label, after_each=None):
+    """``build(events)`` over four arrivals of the events, a run of one checkpoint after each."""
+    folder, out, checkpoint = (work_path(t.spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
+    for run in t.arrivals("events", "ts", folder):
+        done = build(t.stream_of("events", folder, files_per_trigger=ALL_FILES))
+        runner.run_to_files(done, out, checkpoint)
+        if after_each:
+            after_each(run, checkpoint)
+    return t.spark.read.schema(done.schema).parquet(out)
+
+
+# the time in microseconds, and the number of the arrival
+ARRIVED_SQL = """(select epoch_us(ts) as us, cast(trunc(value) as bigint) as amount,
+    (epoch_us(ts) - min(epoch_us(ts)) over ())
+      // ((max(epoch_us(ts)) over () - min(epoch_us(ts)) over ()) // 4 + 1) as arrival,
+    user_id, event_type from events)"""
+
+
+@query(
+    "stream_sessions",
+    f"""with runs as (select r, e.* from {ARRIVED_SQL} e, range(0, 4) runs(r) where arrival <= r),
+        marks as (select r, max(us) // 1000 - 7200000 as mark from runs group by r),
+        cuts as (select *, us - lag(us) over (partition by r, user_id order by us) > 21600000000
+          as gap from runs),
+        parts as (select *, sum(coalesce(gap, true)::int) over (partition by r, user_id
+          order by us rows unbounded preceding) as part from cuts),
+        sessions as (select r, user_id, min(us) as a, max(us) as b, count(*) as cnt,
+          cast(sum(amount) as bigint) as total from parts group by r, user_id, part),
+        told as (select *, (b + 21600000000 + 999) // 1000 > mark as open
+          from sessions join marks using (r))
+        select cast(case when open then r else -1 end as integer) as run, user_id as key,
+          make_timestamp(a) as start, make_timestamp(b) as stop, cnt, total
+        from told where open or r = 3""",
+)
+def stream_sessions(t):
+    """Sessions that end after six hours without an event, by timers over four arrivals; run -1
+    has the closed ones, run n the open ones as the state store holds them after arrival n."""
+    kept = []
+
+    def look(run, checkpoint):
+        found = timers.snapshot(t.spark, checkpoint, "open")
+        kept.append(materialize(found.withColumn("run", F.lit(run)), "open"))
+
+    gap, delay = 6 * 3600, "2 hours"
+    closed = settled(
+        t,
+        lambda e: timers.sessions(e, "user_id", "ts", F.col("value"), gap, delay),
+        "sessions",
+        look,
+    ).withColumn("run", F.lit(-1))
+    columns = ["run", "key", "start", "stop", "cnt", "total"]
+    rows = closed.select(*columns)
+    for found in kept:
+        times = {c: timers.zoneless(c) for c in ("start", "stop")}
+        rows = rows.union(found.withColumns(times).select(*columns))
+    return rows
+
+
+def panes_sql(key: str, width: int, slide: int) -> str:
+    return f"""with panes as (select {key} as key, us // {slide}000000 as slot, count(*) as cnt,
+          sum(amount) as total, max(amount) as highest from {ARRIVED_SQL} group by all),
+        mark as (select max(slot) * {slide} - 7200 as mark from panes),
+        spread as (select *, slot - unnest(range(0, {width // slide})) as first from panes)
+        select key, make_timestamp(first * {slide}000000) as start, cast(sum(cnt) as bigint) as cnt,
+          cast(sum(total) as bigint) as total, max(highest) as highest
+        from spread group by key, first
+        having first * {slide} + {width} <= (select mark from mark)"""
+
+
+@query("stream_pane_windows", panes_sql("''", 3600, 5))
+def stream_pane_windows(t):
+    """An hour every five seconds: each row is counted in one pane, not in 720 windows."""
+    build = lambda e: timers.paned_windows(e, "ts", F.col("value"), 3600, 5, "2 hours")
+    return settled(t, build, "panes")
+
+
+@query("stream_pane_key_windows", panes_sql("event_type", 3600, 600))
+def stream_pane_key_windows(t):
+    """An hour every ten minutes per kind of event."""
+    build = lambda e: timers.paned_windows(
+        e, "ts", F.col("value"), 3600, 600, "2 hours", "event_type"
+    )
+    return settled(t, build, "key-panes")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemill.session import work_path
 from tidemill.sources.streams import file_stream
@@ -63,6 +66,19 @@ class Tables:
         )
         return folder
 
+    def arrivals(self, name: str, moment: str, folder: str, spans: int = 4) -> Iterator[int]:
+        """The table's rows come into ``folder`` a span of ``moment`` after the other; the number
+        of a span is yielded when its files are there, for a run of a stream that settles by
+        the watermark."""
+        table = getattr(self, name)
+        at = F.unix_micros(F.col(moment).cast("timestamp"))
+        low, high = table.agg(F.min(at), F.max(at)).first()
+        step = ((high or 0) - (low or 0)) // spans + 1
+        for n in range(spans):
+            first = (low or 0) + n * step
+            table.where((at >= first) & (at < first + step)).write.mode("append").parquet(folder)
+            yield n
+
     def stream_of(self, name: str, folder: str, **options) -> DataFrame:
         """Files of the table's schema as a stream."""
         return file_stream(self.spark, "parquet", folder, SCHEMAS[name], **options)
