@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.sinks import files as file_sinks
 from tidemill.sinks import keyed
+from tidemill.sinks.versions import Store, expire_metrics
 from tidemill.sources import files, jdbc, kafka
 from tidemill.session import work_path
 from tidemill.registry import query
@@ -278,3 +279,50 @@ def offset_clamp(t):
         )
     )
     return offsets.clamp(stored, bounds)
+
+
+MOVED = "'é@b,+&/x'"
+
+
+@query(
+    "upsert_versions",
+    f"""{ORDERS_SQL} where o_orderpriority <> '1-URGENT' union all
+        select * replace (case when o_orderkey % 2 = 0 then {MOVED} else o_orderpriority end
+          as o_orderpriority) from ({CHANGED_SQL})""",
+)
+def upsert_versions(t):
+    """Upserts into a store by priority, one version each: first half of the urgent orders move to
+    a priority of odd letters, then all are changed again and move on as the last change says."""
+    store = Store(t.spark, work_path(t.spark, "store"))
+    change = store.change()
+    change.put("orders", t.orders, by="o_orderpriority")
+    change.commit()
+    rows = order_changes(t)
+    moved = F.when(F.col("o_orderkey") % 2 == 0, F.expr(MOVED)).otherwise(F.col("o_orderpriority"))
+    for part in (rows.where("seq = 1"), rows.withColumn("o_orderpriority", moved)):
+        change = store.change()
+        change.upsert("orders", part, ["o_orderkey"], "seq", by="o_orderpriority")
+        change.commit()
+    return store.read("orders")
+
+
+@query(
+    "metric_expiry",
+    """select event_type || '-' || cast(epoch(date_trunc('second', ts)) * 1000 as bigint)
+       as rowkey, value from events where ts >= (select max(ts) from events) - interval 36 hours
+       qualify row_number() over (partition by event_type, date_trunc('second', ts)
+         order by ts desc, value desc) <= 1""",
+)
+def metric_expiry(t):
+    """Everything the store still holds after a compaction: 36 hours, one version a key."""
+    events = t.events.select("event_type", "value", F.col("ts").cast("timestamp").alias("ts"))
+    rows = keyed.metric_rows(events, F.col("event_type"), "ts", F.col("value"))
+    rows = rows.withColumn("rowkey", F.concat_ws("-", "event", F.unix_seconds("ts") * 1000))
+    store = Store(t.spark, work_path(t.spark, "metrics"))
+    change = store.change()
+    change.put("metrics", rows, by="day")
+    change.commit()
+    now = F.lit(store.read("metrics").agg(F.max("ts")).first()[0])
+    expire_metrics(store, "metrics", now, ttl_hours=36, versions=1)
+    store.forget(1)
+    return store.read("metrics").select("rowkey", "value")

@@ -19,7 +19,8 @@ from tidemill.sinks.files import write_json
 from tidemill.sinks.keyed import write_batch
 from tidemill.sinks.streams import FileWriterPerTask
 from tidemill.sources import streams
-from tidemill.streaming import delivery, runner, state, timed as timers
+from tidemill.sinks.versions import Store
+from tidemill.streaming import delivery, offsets, runner, state, timed as timers
 from tidemill.tables import SCHEMAS
 
 WHOLE_SPAN = "40 days"
@@ -75,17 +76,20 @@ def stream_queue(t):
 @query("stream_custom_source", "select p_name as value from part")
 def stream_custom_source(t):
     """Lines through a custom source that tasks can read again: two pushes, one checkpoint,
-    the names of the second sorting before those of the first."""
+    the names of the second sorting before those of the first, more files than a batch takes."""
     spark = t.spark
     folder, log = work_path(spark, "lines"), work_path(spark, "lines-log")
     out, checkpoint = work_path(spark, "lines-out"), work_path(spark, "lines-checkpoint")
     lines = t.part.select(F.col("p_name").alias("value"), F.col("p_partkey") % 2 == 0)
     for even in (True, False):
         pushed = work_path(spark, "push")
-        lines.where(lines[1] == even).select("value").write.text(pushed)
+        few = lines.where(lines[1] == even).select("value").repartition(3)
+        few.write.text(pushed)
         streams.move_in(spark, pushed, folder, "b" if even else "a")
-        read = streams.line_stream(spark, folder, log)
-        runner.run_to_files(read, out, checkpoint)
+        read = streams.line_stream(spark, folder, log, files_per_batch=2)
+        streams.run_until_read(
+            spark, folder, log, lambda: runner.run_to_files(read, out, checkpoint)
+        )
     return spark.read.schema("value string").parquet(out)
 
 
@@ -525,3 +529,34 @@ def stream_pane_key_windows(t):
         e, "ts", F.col("value"), 3600, 600, "2 hours", "event_type"
     )
     return settled(t, build, "key-panes")
+
+
+@query("stream_from_offsets", "select p_name as value, 'lines' as topic from part")
+def stream_from_offsets(t):
+    """A second checkpoint goes on where the offsets table says: what the first one delivered is
+    not read again, what came since is. Lines and offsets are published together."""
+    spark = t.spark
+    folder, log = work_path(spark, "lines"), work_path(spark, "lines-log")
+    store = Store(spark, work_path(spark, "delivered"))
+    lines = t.part.select(F.col("p_name").alias("value"), F.col("p_partkey") % 3)
+    for third in range(3):
+        pushed = work_path(spark, "push")
+        lines.where(lines[1] == third).select("value").write.text(pushed)
+        streams.move_in(spark, pushed, folder, f"{9 - third}")
+        tables = store.version().tables
+        start = None
+        if "offsets" in tables:
+            start = offsets.latest_offsets(store.read("offsets")).first()["offset"]
+        read = streams.line_stream(spark, folder, log, start=start, with_entry=True)
+        # the last checkpoint is used twice, the one before was lost
+        owner = f"run-{min(third, 1)}"
+        checkpoint = f"{log}-{owner}"
+        delivery.deliver_versions(read, store, owner, checkpoint, reached)
+    return store.read("results").select("value", F.lit("lines").alias("topic"))
+
+
+def reached(frame):
+    now = F.current_timestamp().cast("timestamp_ntz").alias("ts")
+    named = [F.lit("g").alias("grp"), F.lit("lines").alias("topic"), F.lit(0).alias("part")]
+    last = frame.agg(F.max("entry").alias("offset")).where("offset is not null")
+    return last.select(*named, "offset", now)

@@ -6,8 +6,6 @@ a second run of the same batch leaves the same rows.
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +44,7 @@ def upsert_partitions(
     A changed key may move to another partition: the partitions that now hold it are found
     by reading the keys alone. The new rows are written aside first, because Spark cannot
     replace files that it is still reading. A partition that loses its last row is removed.
+    A reader may meet the folder between two of these steps; ``versions`` shows a change whole.
     """
     spark = changes.sparkSession
     base = spark.read.parquet(base_path)
@@ -66,10 +65,11 @@ def upsert_partitions(
 
 
 def clear_partitions(spark, base_path: str, partition: str, values: DataFrame) -> None:
-    """Empty the folders of these values, a folder at a time."""
+    """Empty the folders of these values, a folder at a time, under the names that Spark gives."""
     schema = spark.read.parquet(base_path).drop(partition).schema
-    for row in values.toLocalIterator():
-        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else quote(str(row[0]), safe=" -_.")
+    spelled = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for row in values.select(F.col(partition).cast("string")).toLocalIterator():
+        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else spelled.escapePathName(row[0])
         nothing = spark.createDataFrame([], schema)
         writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.parquet(f"{base_path}/{partition}={value}")

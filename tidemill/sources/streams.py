@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -20,6 +20,7 @@ from tidemill.sources.files import MICROS
 FILES_PER_TRIGGER = 1_000
 LINE_SPLIT_BYTES = 128 * 1024 * 1024
 READ_BYTES = 1024 * 1024
+KEEP_ENTRIES = 1_000
 
 
 def file_options(
@@ -91,58 +92,94 @@ def move_in(spark: SparkSession, written: str, folder: str, prefix: str) -> None
 class LineSplit(InputPartition):
     """Bytes ``start`` to ``end`` of a file: the lines whose first byte lies in there."""
 
-    def __init__(self, name: str, start: int, end: int):
-        super().__init__((name, start, end))
-        self.name, self.start, self.end = name, start, end
+    def __init__(self, name: str, start: int, end: int, entry: int):
+        super().__init__((name, start, end, entry))
+        self.name, self.start, self.end, self.entry = name, start, end, entry
 
 
 class LineReader(DataSourceStreamReader):
     """Offset n means entry n of a log. An entry lists files (path, size) that no earlier entry
     has, whatever their names and times, so a file is read once, and a batch that is repeated
-    has the lines it had. Large files are split over tasks; an entry has at most
-    ``files_per_batch`` files; files left over are in the next."""
-
-    def __init__(self, path: str, log: str, split_bytes: int, files_per_batch: int):
-        self.path, self.log = path, log
-        self.split_bytes, self.files_per_batch = split_bytes, files_per_batch
-        store, folder = open_store(log)
+    has the lines it had. Large files are split over tasks. An entry has at most
+    ``files_per_batch`` files; files left over are in the next, which is the next batch of a query
+    that goes on, or the next run of one that ends (``run_until_read``).
+
+    Entries that were read long ago are folded: a list of the files that are still in the folder
+    takes the place of the entries up to a number, so what a start reads and the driver holds
+    follows the folder, not the stream's life. ``start`` is where a new checkpoint begins, not
+    before what is folded and not after the last entry.
+    """
+
+    def __init__(self, options: dict):
+        self.path, self.log = options["path"], options["log"]
+        self.split_bytes = int(options["splitbytes"])
+        self.files_per_batch = int(options["filesperbatch"])
+        self.keep = int(options["keepentries"])
+        self.start = int(options.get("start", 0))
+        self.with_entry = options.get("withentry") == "true"
+        store, folder = open_store(self.log)
         store.create_dir(folder, recursive=True)
-        found = store.get_file_info(pafs.FileSelector(folder))
-        self.entries = sum(f.base_name.isdigit() for f in found)
-        self.seen = {name for n in range(1, self.entries + 1) for name, _ in self._entry(n)}
-
-    def _entry(self, number: int) -> list[tuple[str, int]]:
+        names = [f.base_name for f in store.get_file_info(pafs.FileSelector(folder))]
+        self.folded = max((int(n[5:]) for n in names if n.startswith("seen-")), default=0)
+        self.entries = max([self.folded, *(int(n) for n in names if n.isdigit())])
+        self.seen = set(self._load(f"seen-{self.folded:09d}") if self.folded else [])
+        for number in range(self.folded + 1, self.entries + 1):
+            self.seen.update(name for name, _ in self._entry(number))
+
+    def _load(self, name: str) -> list:
         store, folder = open_store(self.log)
-        with store.open_input_stream(f"{folder}/{number:09d}") as source:
-            return [tuple(file) for file in json.loads(source.read())]
+        with store.open_input_stream(f"{folder}/{name}") as source:
+            return json.loads(source.read())
 
-    def _add_entry(self, files: list[tuple[str, int]]) -> None:
-        """Written aside and moved, so that an entry is whole or not there."""
+    def _save(self, name: str, what: list) -> None:
+        """Written aside and moved, so that a file is whole or not there."""
         store, folder = open_store(self.log)
-        self.entries += 1
-        with store.open_output_stream(f"{folder}/.{self.entries:09d}") as out:
-            out.write(json.dumps(files).encode())
-        store.move(f"{folder}/.{self.entries:09d}", f"{folder}/{self.entries:09d}")
-        self.seen.update(name for name, _ in files)
+        with store.open_output_stream(f"{folder}/.{name}") as out:
+            out.write(json.dumps(what).encode())
+        store.move(f"{folder}/.{name}", f"{folder}/{name}")
+
+    def _entry(self, number: int) -> list[tuple[str, int]]:
+        return [tuple(file) for file in self._load(f"{number:09d}")]
 
     def initialOffset(self) -> dict:
-        return {"entry": 0}
+        return {"entry": min(max(self.start, self.folded), self.entries)}
 
-    def latestOffset(self) -> dict:
+    def _files(self) -> list[tuple[str, int]]:
         store, root = open_store(self.path)
         found = store.get_file_info(pafs.FileSelector(root))
-        new = sorted(
-            (f.path, f.size)
-            for f in found
-            if f.is_file and f.base_name[0] not in "._" and f.path not in self.seen
-        )
-        if new:
-            self._add_entry(new[: self.files_per_batch])
+        return sorted((f.path, f.size) for f in found if f.is_file and f.base_name[0] not in "._")
+
+    def waiting(self) -> list[tuple[str, int]]:
+        """Files that no entry has."""
+        return [file for file in self._files() if file[0] not in self.seen]
+
+    def latestOffset(self) -> dict:
+        files = self.waiting()[: self.files_per_batch]
+        if files:
+            self._save(f"{self.entries + 1:09d}", files)
+            self.entries += 1
+            self.seen.update(name for name, _ in files)
         return {"entry": self.entries}
 
+    def commit(self, end: dict) -> None:
+        """Fold once there are twice as many entries before ``end`` as are to be kept."""
+        last = end["entry"] - self.keep
+        if last - self.folded < self.keep:
+            return
+        later = {name for n in range(last + 1, self.entries + 1) for name, _ in self._entry(n)}
+        there = {name for name, _ in self._files()}
+        self._save(f"seen-{last:09d}", sorted((self.seen & there) - later))
+        store, folder = open_store(self.log)
+        gone = [f"{n:09d}" for n in range(self.folded + 1, last + 1)]
+        if self.folded:
+            gone.append(f"seen-{self.folded:09d}")
+        self.folded, self.seen = last, (self.seen & there) | later
+        for name in gone:
+            store.delete_file(f"{folder}/{name}")
+
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
         return [
-            LineSplit(name, at, min(size, at + self.split_bytes))
+            LineSplit(name, at, min(size, at + self.split_bytes), number)
             for number in range(start["entry"] + 1, end["entry"] + 1)
             for name, size in self._entry(number)
             for at in range(0, size, self.split_bytes)
@@ -153,10 +190,10 @@ class LineReader(DataSourceStreamReader):
         with store.open_input_file(partition.name) as source:
             for lines in _line_blocks(source, partition.start, partition.end):
                 values = pa.array([x.removesuffix(b"\r") for x in lines], pa.binary())
-                yield pa.RecordBatch.from_arrays([values.cast(pa.string())], ["value"])
-
-    def commit(self, end: dict) -> None:
-        pass
+                columns = {"value": values.cast(pa.string())}
+                if self.with_entry:
+                    columns["entry"] = pa.array([partition.entry] * len(lines), pa.int64())
+                yield pa.RecordBatch.from_pydict(columns)
 
 
 def _line_blocks(source, start: int, end: int) -> Iterator[list[bytes]]:
@@ -193,15 +230,10 @@ class LineSource(DataSource):
         return "tidemill_lines"
 
     def schema(self) -> str:
-        return "value string"
+        return "value string" + ", entry bigint" * (self.options.get("withEntry") == "true")
 
     def streamReader(self, schema) -> DataSourceStreamReader:
-        return LineReader(
-            self.options["path"],
-            self.options["log"],
-            int(self.options["splitBytes"]),
-            int(self.options["filesPerBatch"]),
-        )
+        return LineReader({name.lower(): value for name, value in dict(self.options).items()})
 
 
 def _register_by_value(spark: SparkSession, source: type[DataSource]) -> None:
@@ -223,10 +255,43 @@ def line_stream(
     log: str,
     split_bytes: int = LINE_SPLIT_BYTES,
     files_per_batch: int = FILES_PER_TRIGGER,
+    keep_entries: int = KEEP_ENTRIES,
+    start: int | None = None,
+    with_entry: bool = False,
 ) -> DataFrame:
-    """``log`` is a folder that stays with the checkpoint: each checkpoint has its own. A run
+    """Lines of the files in ``path``. ``log`` is a folder for what was found; checkpoints that
+    follow one another may share it, and then ``start`` (a stored entry) is where a new one goes
+    on, else the earliest entry. ``with_entry`` adds a column with the entry of each line. A run
     until the input is used up (``availableNow``) takes one batch of such a source."""
     _register_by_value(spark, LineSource)
-    reader = spark.readStream.format("tidemill_lines").option("path", qualified(spark, path))
-    reader = reader.option("log", qualified(spark, log)).option("splitBytes", str(split_bytes))
-    return reader.option("filesPerBatch", str(files_per_batch)).load()
+    options = line_options(spark, path, log, split_bytes, files_per_batch, keep_entries)
+    reader = spark.readStream.format("tidemill_lines").options(**options)
+    return reader.option("start", start or 0).option("withEntry", with_entry).load()
+
+
+def line_options(
+    spark: SparkSession,
+    path: str,
+    log: str,
+    split_bytes: int = LINE_SPLIT_BYTES,
+    files_per_batch: int = FILES_PER_TRIGGER,
+    keep_entries: int = KEEP_ENTRIES,
+) -> dict[str, str]:
+    return {
+        "path": qualified(spark, path),
+        "log": qualified(spark, log),
+        "splitBytes": str(split_bytes),
+        "filesPerBatch": str(files_per_batch),
+        "keepEntries": str(keep_entries),
+    }
+
+
+def run_until_read(spark: SparkSession, path: str, log: str, run: Callable[[], None]) -> int:
+    """Start a query that ends with its batch again until every file of ``path`` is in an entry;
+    how many runs it took. Files that come meanwhile are read too."""
+    options = {k.lower(): v for k, v in line_options(spark, path, log).items()}
+    runs = 0
+    while runs == 0 or LineReader(options).waiting():
+        run()
+        runs += 1
+    return runs

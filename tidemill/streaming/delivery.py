@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemill.plans.bounds import checked_broadcast
 from tidemill.session import materialize
 from tidemill.sinks.keyed import write_batch
+from tidemill.sinks.versions import Store
 from tidemill.streaming.offsets import save_offsets
 from tidemill.streaming.runner import run_each_batch
 
@@ -42,6 +43,30 @@ def deliver_once(
     run_each_batch(df, handle, checkpoint)
 
 
+def deliver_versions(
+    df: DataFrame,
+    store: Store,
+    owner: str,
+    checkpoint: str,
+    positions: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Each batch's rows and the offsets they reach, published as one version: a reader sees both
+    or neither. ``owner`` names the checkpoint; a repeated batch replaces itself, and another
+    checkpoint over the same store adds to it."""
+
+    def handle(frame: DataFrame, batch_id: int) -> None:
+        frame.persist()
+        try:
+            change = store.change()
+            change.put("results", frame, part=f"{owner}-{batch_id}")
+            change.put("offsets", positions(frame), part=f"{owner}-{batch_id}")
+            change.commit()
+        finally:
+            frame.unpersist()
+
+    run_each_batch(df, handle, checkpoint)
+
+
 def claim(spark: SparkSession, results: str, checkpoint: str) -> None:
     """Note in both folders that they belong together; raise if the results are another's."""
     fs = spark._jvm.org.apache.hadoop.fs
