@@ -1,0 +1,168 @@
+"""What is merged from parts: user aggregates, frequent keys, large samples, sets, layouts."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidemill.functions import aggregators, userdefined
+from tidemill.ml import jobs
+from tidemill.operators.sampling import hash_draws, hash_take
+from tidemill.plans import analyses
+from tidemill.plans.skew import Frequent, hot_keys
+from tidemill.queries.storage import bucketed_orders, joined_by_layout
+from tidemill.tables import Tables
+
+
+def skewed(spark, rows=4000, parts=9):
+    """A third of all rows are of one key, and there is a NULL key."""
+    draw = random.Random(4)
+    data = [
+        (None if n % 50 == 0 else 1 if n % 3 == 0 else draw.randrange(2, 500), draw.choice([None, *range(40)]))
+        for n in range(rows)
+    ]
+    return data, spark.createDataFrame(data, "k int, v int").repartition(parts)
+
+
+@pytest.mark.parametrize("fan", [2, 3, 32])
+def test_user_aggregate_equals_a_plain_loop(spark, monkeypatch, fan):
+    data, df = skewed(spark)
+    want = {}
+    for key in {k for k, _ in data}:
+        counts = Counter(v for k, v in data if k == key and v is not None)
+        top = sorted(counts, reverse=True)[:3]
+        want[key] = (min(top, default=None), sum(counts[v] for v in top))
+    got = aggregators.aggregate(df, ["k"], aggregators.TopDistinct("v", 3), "least int, rows bigint", fan)
+    assert {r["k"]: (r["least"], r["rows"]) for r in got.collect()} == want
+    empty = aggregators.aggregate(df.limit(0), ["k"], aggregators.TopDistinct("v", 3), "least int, rows bigint")
+    assert empty.collect() == []
+
+
+def test_no_call_merges_more_than_the_fan(spark, tmp_path):
+    """Each call notes how many states it saw."""
+
+    class Noted(aggregators.TopDistinct):
+        def zero(self):
+            return {"calls": 0, "most": 0}
+
+        def reduce(self, state, rows):
+            return {"calls": 1, "most": 1}
+
+        def merge(self, one, two):
+            return {"calls": one["calls"] + two["calls"], "most": max(one["most"], one.get("now", 1) + 1), "now": one.get("now", 1) + 1}
+
+        def finish(self, state):
+            return {"calls": state["calls"], "most": state["most"]}
+
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    df = spark.range(0, 4000, 1, 40).select(F.lit(1).alias("k"), "id")
+    row = aggregators.aggregate(df, ["k"], Noted("id", 1), "calls bigint, most bigint", fan=4).first()
+    assert row["calls"] == 40 and row["most"] <= 3 * 4  # three rounds of four at most
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 50), max_size=300), st.integers(1, 9), st.integers(1, 40))
+def test_frequent_keys_are_never_left_out(keys, size, step):
+    seen = Frequent(size)
+    for at in range(0, len(keys), step):
+        counted = Counter(keys[at : at + step])
+        seen.add([(k,) for k in counted], list(counted.values()))
+    assert seen.rows == len(keys) and seen.missed <= len(keys) / size and len(seen.counts) <= size
+    for key, n in Counter(keys).items():
+        assert n - seen.missed <= seen.counts.get((key,), 0) <= n
+
+
+def test_hot_keys_without_counting_every_key(spark):
+    data, df = skewed(spark)
+    counts = Counter(k for k, _ in data)
+    for fraction in (0.3, 0.015, 0.005):
+        hot = {r["k"] for r in hot_keys(df, ["k"], fraction).collect()}
+        assert {k for k, n in counts.items() if n > fraction * len(data)} <= hot
+        assert all(counts[k] > fraction * len(data) / 2 for k in hot)
+    two = df.withColumn("l", F.col("k") % 2)
+    assert {tuple(r) for r in hot_keys(two, ["l", "k"], 0.3).collect()} == {(1, 1)}
+    assert hot_keys(df.limit(0), ["k"], 0.3).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 700, 1999, 2000, 2001])
+def test_large_samples_are_those_of_a_sort(spark, n):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    want = sorted(r["k"] for r in hash_take(df, ["k"], n, 3).collect())
+    assert len(want) == min(n, 2000)
+    for parts in (1, 7):
+        got = hash_take(df.repartition(parts), ["k"], n, 3, at_once=5)
+        assert sorted(r["k"] for r in got.collect()) == want
+
+
+def test_large_samples_of_repeated_keys(spark):
+    """A third of all rows have one key, so one digest: the cut goes through them."""
+    df = spark.range(900).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), "id")
+    for n in (1, 299, 450, 899):
+        rows = hash_take(df, ["k"], n, 3, at_once=4).collect()
+        assert len(rows) == len({r["id"] for r in rows}) == n
+        plain = hash_take(df, ["k"], n, 3).collect()
+        assert Counter(r["k"] for r in rows) == Counter(r["k"] for r in plain)
+
+
+def test_draws_with_replacement(spark):
+    df = spark.range(50).withColumnRenamed("id", "k")
+    rows = hash_draws(df, ["k"], 500, 2).collect()
+    assert sorted(r["draw"] for r in rows) == list(range(500))
+    counts = Counter(r["k"] for r in rows)
+    assert len(counts) == 50 and max(counts.values()) < 30
+    assert sorted(map(tuple, hash_draws(df.repartition(7), ["k"], 500, 2).collect())) == sorted(map(tuple, rows))
+    assert hash_draws(df.limit(0), ["k"], 5, 2).collect() == []
+
+
+def test_gradient_steps_equal_a_numpy_loop(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 3))
+    y = x @ [1.0, -2.0, 0.5] + rng.normal(size=500)
+    w = np.zeros(3)
+    for i in range(1, 31):
+        w -= 0.1 / np.sqrt(i) * (x.T @ (x @ w - y)) / 500
+    rows = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, y double")
+    rows = rows.union(spark.createDataFrame([(None, 1.0, 1.0, 1.0)], rows.schema))
+    got = jobs.gradient_descent(rows, ["a", "b", "c"], "y", 30, 0.1)
+    assert np.abs(np.array(got) - w).max() < 1e-9
+    assert jobs.gradient_descent(rows.limit(0), ["a"], "y", 3) == [0.0]
+
+
+def test_joins_on_a_stored_layout_do_not_shuffle(spark, small):
+    orders, lines = bucketed_orders(small)
+    joined = joined_by_layout(spark, orders, lines)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    again = spark.table(lines).groupBy("l_orderkey").count()
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString()
+    assert again.count() == small.lineitem.select("l_orderkey").distinct().count()
+
+
+def test_visitors_of_any_span_from_stored_sets(spark):
+    rows = [(u, d) for d in range(6) for u in range(d * 10_000, d * 10_000 + 50_000, 777)] * 2 + [(None, 1), (5, None)]
+    df = spark.createDataFrame(rows, "u bigint, d int")
+    sets = analyses.visitor_sets(df, "u", "d")
+    assert sets.count() < len(rows) / 20
+    got = {r["period"]: r["visitors"] for r in analyses.visitors_per(sets, F.floor(F.col("day") / 3)).collect()}
+    assert got == {p: len({u for u, d in rows if u is not None and d is not None and d // 3 == p}) for p in (0, 1)}
+
+
+def test_a_table_function_refuses_a_large_partition_by_name(spark):
+    userdefined.register(spark)
+    df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, "b", 3), (None, "a", 1)], "k int, v string, t int")
+    call = "SELECT * FROM runs_of(TABLE(SELECT * FROM {df}) PARTITION BY k ORDER BY (t), 'k', 'v', %d)"
+    got = {tuple(r) for r in spark.sql(call % 3, df=df).collect()}
+    assert got == {(1, 1, "a", 2), (1, 2, "b", 1), (None, 1, "a", 1)}
+    with pytest.raises(Exception, match="k 1 has more than 2 rows"):
+        spark.sql(call % 2, df=df).collect()
+    with pytest.raises(Exception, match="no column w"):
+        spark.sql(call.replace("'v'", "'w'") % 2, df=df).collect()

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf, pandas_udf, udtf
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 
 @arrow_udf(T.StringType())
@@ -66,11 +67,52 @@ class WordsOfCell:
         yield from counts.items()
 
 
+@udtf
+class RunsOf:
+    """Runs of equal values in a partition's rows: ``runs_of(TABLE(...) PARTITION BY key ORDER BY
+    ..., 'key', 'value', most)``. The result has the key's and the value's own types. State is one
+    run; a partition of more than ``most`` rows is refused by its key, since one task has it all."""
+
+    def __init__(self):
+        self.rows, self.run, self.held = 0, 0, None
+
+    @staticmethod
+    def analyze(table: AnalyzeArgument, key: AnalyzeArgument, value: AnalyzeArgument, most: AnalyzeArgument):
+        kinds = {f.name: f.dataType for f in table.dataType.fields}
+        for name in (key.value, value.value):
+            if name not in kinds:
+                raise ValueError(f"runs_of: no column {name}")
+        return AnalyzeResult(
+            T.StructType()
+            .add(key.value, kinds[key.value])
+            .add("run", T.IntegerType())
+            .add(value.value, kinds[value.value])
+            .add("cnt", T.IntegerType())
+        )
+
+    def eval(self, row, key: str, value: str, most: int):
+        self.rows += 1
+        if self.rows > most:
+            raise ValueError(f"runs_of: {key} {row[key]!r} has more than {most} rows")
+        now = row[value]
+        if self.held is None or self.held[2] != now:
+            if self.held is not None:
+                yield tuple(self.held)
+            self.run += 1
+            self.held = [row[key], self.run, now, 0]
+        self.held[3] += 1
+
+    def terminate(self):
+        if self.held is not None:
+            yield tuple(self.held)
+
+
 def register(spark: SparkSession) -> None:
     """Make the functions callable from SQL text."""
     spark.udf.register("first_two", first_two)
     spark.udf.register("level_name", level_name)
     spark.udtf.register("words_of_cell", WordsOfCell)
+    spark.udtf.register("runs_of", RunsOf)
 
 
 def batch_counts(column: str):

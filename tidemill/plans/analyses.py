@@ -149,3 +149,19 @@ def slot_metrics(slots: DataFrame, slide: str = "5 seconds", panes: int = 2) ->
         F.sum("s").alias("value")
     )
     return short.unionByName(wide.select(F.lit("sumMoneyWin10").alias("event"), "slot", "value"))
+
+
+def visitor_sets(visits: DataFrame, user: str, day: str) -> DataFrame:
+    """Who came on each day, to be stored: ``day, bucket, visitors``, a bitmap per 32,768 ids of
+    ``user`` (whole numbers). A repeated visit sets a bit that is set; sets are merged by OR, so
+    any span of days is counted from them without the visits."""
+    known = visits.where(F.col(user).isNotNull() & F.col(day).isNotNull())
+    bucket = F.bitmap_bucket_number(F.col(user)).alias("bucket")
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.col(user))).alias("visitors")
+    return known.groupBy(F.col(day).alias("day"), bucket).agg(bits)
+
+
+def visitors_per(sets: DataFrame, period: Column) -> DataFrame:
+    """Different visitors per period, from the stored sets."""
+    merged = sets.groupBy(period.alias("period"), "bucket").agg(F.bitmap_or_agg("visitors").alias("v"))
+    return merged.groupBy("period").agg(F.sum(F.bitmap_count("v")).alias("visitors"))

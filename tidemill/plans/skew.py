@@ -7,9 +7,15 @@ a task that is run again gives its rows the same salts.
 
 from __future__ import annotations
 
+import heapq
+import math
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemill.session import materialize
 
@@ -68,12 +74,55 @@ def join_salted(
     return salted.join(repeated, [*on, SALT], how).drop(SALT)
 
 
+class Frequent:
+    """Counts of frequent keys in bounded memory. A count is too low by ``missed`` at most, and
+    a key that is left out has been seen ``missed`` times at most; ``missed`` is at most
+    rows / size. Summaries are merged by adding counts and ``missed`` up."""
+
+    def __init__(self, size: int):
+        self.size, self.counts, self.missed, self.rows = size, {}, 0, 0
+
+    def add(self, keys: list[tuple], counts: list[int]) -> None:
+        for key, count in zip(keys, counts):
+            self.counts[key] = self.counts.get(key, 0) + count
+        self.rows += sum(counts)
+        if len(self.counts) > self.size:
+            least = heapq.nlargest(self.size + 1, self.counts.values())[-1]
+            self.missed += least
+            self.counts = {k: n - least for k, n in self.counts.items() if n > least}
+
+
+def _summarise(keys: list[str], size: int, schema: pa.Schema):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = Frequent(size)
+        for batch in batches:
+            counted = pa.Table.from_batches([batch]).group_by(keys).aggregate([([], "count_all")])
+            columns = [counted.column(k).to_pylist() for k in keys]
+            seen.add(list(zip(*columns)), counted.column("count_all").to_pylist())
+        # one row of no key has the task's rows and what it may have missed
+        rows = [*((*k, n, 0, 0) for k, n in seen.counts.items()), (*[None] * len(keys), 0, seen.missed, seen.rows)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
+        )
+
+    return task
+
+
 def hot_keys(df: DataFrame, keys: list[str], fraction: float = HOT_FRACTION) -> DataFrame:
-    """Keys holding more than ``fraction`` of the rows: at most 1/fraction of them,
-    which bounds every broadcast of this frame."""
-    counts = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "counts")
-    threshold = (counts.agg(F.sum("_rows")).first()[0] or 0) * fraction
-    return counts.filter(F.col("_rows") > F.lit(threshold)).select(*keys)
+    """Every key that holds more than ``fraction`` of the rows, from one scan: each task keeps a
+    summary of 2 / fraction keys, and only summaries are shuffled. A key of more than half the
+    fraction may be listed too, where tasks have met more keys than they keep; so the list has
+    at most 2 / fraction keys, which bounds every broadcast of this frame."""
+    fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    counts = [T.StructField(c, T.LongType()) for c in ("_n", "_missed", "_rows")]
+    schema = T.StructType([*fields, *counts])
+    size = math.ceil(2 / fraction)
+    rows = df.select(*keys).mapInArrow(_summarise(keys, size, to_arrow_schema(schema)), schema)
+    sums = [F.sum(c).alias(c) for c in ("_n", "_missed", "_rows")]
+    summary = materialize(rows.groupBy(*keys).agg(*sums), "summary")
+    missed, total = summary.agg(F.sum("_missed"), F.sum("_rows")).first()
+    least = (total or 0) * fraction - (missed or 0)
+    return summary.filter(F.col("_n") > F.lit(least)).where("_n > 0").select(*keys)
 
 
 def join_hot_split(
@@ -89,7 +138,7 @@ def join_hot_split(
     if how not in ("inner", "left"):
         raise ValueError("a repeated right side is only right for inner and left joins")
     hot = materialize(hot_keys(big, on, fraction).withColumn(HOT, F.lit(True)), "hot")
-    hot = F.broadcast(hot)  # at most 1 / fraction rows
+    hot = F.broadcast(hot)  # at most 2 / fraction rows
     salted = big.join(hot, on, "left").withColumn(
         SALT, F.when(F.col(HOT), row_salt(big, salts)).otherwise(0)
     )

@@ -8,6 +8,7 @@ from tidemill.plans import analyses, points
 from tidemill.queries.projections import POINTS_SQL, points_table
 from tidemill.queries.scalars import MONDAY
 from tidemill.registry import query
+from tidemill.session import materialize
 
 # fixed values: the event types, and a label for each
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -178,3 +179,23 @@ def user_level(t):
 def dashboard_batch(t):
     amounts = t.events.select("ts", F.col("value").cast("bigint").alias("amount"))
     return analyses.dashboard_slots(amounts, "ts", "amount")
+
+
+@query(
+    "visitors_by_period",
+    """select 'day' as kind, cast(ts as date) as period, count(distinct user_id) as visitors
+         from events group by 2
+       union all select 'week', cast(date_trunc('week', ts) as date), count(distinct user_id)
+         from events group by 2
+       union all select 'month', cast(date_trunc('month', ts) as date), count(distinct user_id)
+         from events group by 2""",
+)
+def visitors_by_period(t):
+    """Three periods from one stored set per day."""
+    sets = materialize(analyses.visitor_sets(visits(t), "user_id", "day"), "visitors")
+    out = None
+    for kind in ("day", "week", "month"):
+        start = F.trunc("day", kind) if kind != "day" else F.col("day")
+        counts = analyses.visitors_per(sets, start).select(F.lit(kind).alias("kind"), "period", "visitors")
+        out = counts if out is None else out.union(counts)
+    return out

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemill.ml import features, jobs
 from tidemill.queries.models import KEYS, PRICE, SPLIT_SQL, vectors
 from tidemill.registry import all_queries, query
+from tidemill.session import materialize
 
 BAND_SQL = "cast(least(floor(l_quantity / 7.5), 6) as double)"
 UNSEEN = SPLIT_SQL.format(">=")
@@ -127,11 +128,13 @@ def ml_als_rows(t):
 
 @query(
     "ml_top_items",
-    """select cast(u as integer) as "user", cast(n as integer) as place from (select distinct
-       l_suppkey as u from lineitem where l_suppkey < 5), range(1, 6) r(n)""",
+    """select cast(u as integer) as "user", cast(n as integer) as place, true as scored,
+       true as best from (select distinct l_suppkey as u from lineitem where l_suppkey % 20 = 0),
+       range(1, 6) r(n)""",
 )
 def ml_top_items(t):
-    """The five best items for chosen users, best first."""
+    """The five best items for the users divisible by 20. Each has the score that the model gives
+    the pair, and no item that the user has bought and that is not listed scores higher."""
     pairs = t.lineitem.groupBy("l_suppkey", "l_partkey").agg(F.avg("l_quantity").alias("rating"))
     pairs = pairs.select(
         F.col("l_suppkey").cast("int").alias("user"),
@@ -139,8 +142,97 @@ def ml_top_items(t):
         "rating",
     )
     model = jobs.als(pairs, "user", "item", "rating", rank=8, iterations=3)
-    best = jobs.top_items(model, pairs.where("user < 5").select("user").distinct(), 5)
-    return best.select("user", "place")
+    chosen = pairs.where("user % 20 = 0")
+    best = materialize(jobs.top_items(model, chosen.select("user").distinct(), 5), "best")
+    scored = model.transform(best.withColumnRenamed("rating", "told"))
+    told = scored.select("user", "item", "place", "told", (F.abs(F.col("told") - F.col("prediction")) < 1e-4).alias("scored"))
+    bought = model.transform(chosen.select("user", "item")).join(best, ["user", "item"], "left_anti")
+    rest = bought.groupBy("user").agg(F.max("prediction").alias("rest"))
+    holds = F.col("told") >= F.coalesce("rest", F.lit(float("-inf"))) - 1e-4
+    return told.join(rest, "user", "left").select("user", "place", "scored", holds.alias("best"))
+
+
+# points whose groups lie far apart: a group per flag, spread by discount and tax
+APART_SQL = """(select l_returnflag as flag, l_discount + case l_returnflag when 'A' then 100 else 0 end as x,
+    l_tax + case l_returnflag when 'N' then 100 else 0 end as y from lineitem)"""
+GROUPS_SQL = f"select round(avg(x), 5) as x, round(avg(y), 5) as y, count(*) as cnt from {APART_SQL} group by flag"
+
+
+def apart(t):
+    flag = lambda name: F.when(F.col("l_returnflag") == name, 100).otherwise(0)
+    points = t.lineitem.select(
+        *KEYS, (F.col("l_discount") + flag("A")).alias("x"), (F.col("l_tax") + flag("N")).alias("y")
+    )
+    return features.assemble(points, ["x", "y"], [*KEYS])
+
+
+def groups_found(t, model, centres):
+    """The centre of each group as the model has it, and the points that it puts there."""
+    rows = [(n, float(c[0]), float(c[1])) for n, c in enumerate(centres)]
+    named = t.spark.createDataFrame(rows, "prediction int, x double, y double")
+    counts = model.transform(apart(t)).groupBy("prediction").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.join(F.broadcast(named), "prediction").select(  # a row per group
+        F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), "cnt"
+    )
+
+
+@query("ml_kmeans_known", GROUPS_SQL)
+def ml_kmeans_known(t):
+    """Centres are the means of the groups, members their rows."""
+    model = jobs.kmeans(apart(t))
+    return groups_found(t, model, model.clusterCenters())
+
+
+@query("ml_gmm_known", GROUPS_SQL)
+def ml_gmm_known(t):
+    model = jobs.gaussian_mixture(apart(t))
+    return groups_found(t, model, [g.mean for g in model.gaussians])
+
+
+@query(
+    "ml_elbow_known",
+    f"""with g as (select *, avg(x) over (partition by flag) as mx, avg(y) over (partition by flag)
+         as my from {APART_SQL})
+       select 3::integer as k, round(sum((x - mx) ** 2 + (y - my) ** 2), 4) as cost,
+         true as less from g""",
+)
+def ml_elbow_known(t):
+    """The cost of three groups is the sum of squares within them, and two cost more."""
+    costs = {r["k"]: r["cost"] for r in jobs.elbow(apart(t), [2, 3]).collect()}
+    rows = [(3, round(costs[3], 4), costs[3] < costs[2] / 100)]
+    return t.spark.createDataFrame(rows, "k int, cost double, less boolean")
+
+
+@query(
+    "ml_pca_known",
+    """with p as (select l_quantity as x, l_extendedprice / 1000 as y from lineitem),
+       v as (select var_samp(x) as a, var_samp(y) as c, covar_samp(x, y) as b from p)
+       select round((a + c) / 2 + sqrt(((a - c) / 2) ** 2 + b * b), 6) as first,
+         round((a + c) / 2 - sqrt(((a - c) / 2) ** 2 + b * b), 6) as second from v""",
+)
+def ml_pca_known(t):
+    """Variances along two axes are the eigenvalues of the covariance."""
+    points = t.lineitem.select(*KEYS, "l_quantity", (F.col(PRICE) / 1000).alias("price"))
+    assembled = features.assemble(points, ["l_quantity", "price"], KEYS)
+    model = jobs.principal_components(assembled, 2)
+    placed = model.transform(assembled).select(vector_to_array(model.getOutputCol()).alias("p"))
+    spread = [F.round(F.var_samp(F.get("p", F.lit(n))), 6) for n in range(2)]
+    return placed.agg(spread[0].alias("first"), spread[1].alias("second"))
+
+
+HALF_SQL = "cast(case when l_quantity > 25 then 1 else 0 end as double)"
+
+
+@query(
+    "ml_logreg_known",
+    f"""select {HALF_SQL} as label, {HALF_SQL} as prediction, count(*) as cnt from lineitem
+       where {UNSEEN} group by 1""",
+)
+def ml_logreg_known(t):
+    """A label that a line parts is found: nothing off the diagonal."""
+    rows = t.lineitem.select(*KEYS, "l_quantity", (F.col("l_quantity") > 25).cast("double").alias("label"))
+    train, test = features.split(features.assemble(rows, ["l_quantity"], [*KEYS, "label"]), KEYS)
+    return confusion(jobs.logistic_regression(train, "label", iterations=100), test)
 
 
 @query("ml_pca_axes", "select true as uncorrelated, true as falling")

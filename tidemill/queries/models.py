@@ -109,6 +109,35 @@ def ml_linreg_predict(t):
     return scored.select(*KEYS, "label", F.round("prediction", 2).alias("prediction"))
 
 
+@query(
+    "ml_gradient",
+    """with recursive r as (select l_quantity / 50 as q, l_discount as d, l_tax as t,
+         l_extendedprice / 100000 as y from lineitem),
+       m as (select avg(q*q) as qq, avg(q*d) as qd, avg(q*t) as qt, avg(d*d) as dd,
+         avg(d*t) as dt, avg(t*t) as tt, avg(q*y) as qy, avg(d*y) as dy, avg(t*y) as ty from r),
+       w as (select 0 as i, 0::double as a, 0::double as b, 0::double as c
+         union all
+         select i + 1, a - 0.5 / sqrt(i + 1) * (a*qq + b*qd + c*qt - qy),
+           b - 0.5 / sqrt(i + 1) * (a*qd + b*dd + c*dt - dy),
+           c - 0.5 / sqrt(i + 1) * (a*qt + b*dt + c*tt - ty) from w, m where i < 20)
+       select 'quantity' as term, round(a, 9) as weight from w where i = 20
+       union all select 'discount', round(b, 9) from w where i = 20
+       union all select 'tax', round(c, 9) from w where i = 20""",
+)
+def ml_gradient(t):
+    """Twenty gradient steps of a falling length over all lines, on scaled columns."""
+    rows = t.lineitem.select(
+        (F.col("l_quantity") / 50).alias("quantity"),
+        F.col("l_discount").alias("discount"),
+        F.col("l_tax").alias("tax"),
+        (F.col(PRICE) / 100000).alias("price"),
+    )
+    terms = ["quantity", "discount", "tax"]
+    weights = jobs.gradient_descent(rows, terms, "price", iterations=20, step=0.5)
+    table = t.spark.createDataFrame(list(zip(terms, weights)), "term string, weight double")
+    return table.withColumn("weight", F.round("weight", 9))
+
+
 @query("ml_elastic_net")
 def ml_elastic_net(t):
     """Category index, vector and elastic net as one fitted chain, scored on unseen lines."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.joins import common_rows, except_rows
 from tidemill.operators.ordering import listed_order, zip_with_index
-from tidemill.operators.sampling import cut_point, hash_fraction, hash_split, hash_take
+from tidemill.operators.sampling import cut_point, hash_draws, hash_fraction, hash_split, hash_take
 from tidemill.registry import query
 
 # fixed values: the order of the priorities
@@ -80,6 +80,32 @@ def sample_n(t):
     return hash_take(t.events.select("event_id", "value"), ["event_id"], 100, seed=7)
 
 
+@query(
+    "sample_half",
+    """select event_id, value from events order by md5('7|' || event_id), event_id
+       limit (select count(*) // 2 from events)""",
+)
+def sample_half(t):
+    """Half of the table, found by counts of the digest and not by sorting it."""
+    events = t.events.select("event_id", "value")
+    return hash_take(events, ["event_id"], events.count() // 2, seed=7, at_once=20)
+
+
+@query(
+    "sample_draws",
+    """with placed as (select event_id, value, row_number() over (order by event_id) - 1 as place
+         from events),
+       draws as (select draw, ('0x' || substr(md5('7|' || draw), 1, 15))::bigint
+         % (select count(*) from events) as place
+         from (select unnest(range((select count(*) // 2 from events))) as draw))
+       select draw, event_id, value from draws join placed using (place)""",
+)
+def sample_draws(t):
+    """With replacement: half as many draws as there are rows."""
+    events = t.events.select("event_id", "value")
+    return hash_draws(events, ["event_id"], events.count() // 2, seed=7)
+
+
 @query(
     "split_hash",
     f"""select event_id, cast(case when md5('7|' || event_id) < '{cut_point(0.6)}' then 0

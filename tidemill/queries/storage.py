@@ -326,3 +326,32 @@ def metric_expiry(t):
     expire_metrics(store, "metrics", now, ttl_hours=36, versions=1)
     store.forget(1)
     return store.read("metrics").select("rowkey", "value")
+
+
+def bucketed_orders(t) -> tuple[str, str]:
+    """Orders and their lines, stored by order key."""
+    orders, lines = table_name("orders"), table_name("lines")
+    file_sinks.create_bucketed(t.orders, orders, ["o_orderkey"])
+    file_sinks.create_bucketed(t.lineitem, lines, ["l_orderkey"])
+    return orders, lines
+
+
+@query(
+    "join_stored_layout",
+    """select o_orderpriority, l_returnflag, count(*) as lines, count(distinct o_orderkey) as orders
+       from orders join lineitem on o_orderkey = l_orderkey group by 1, 2""",
+)
+def join_stored_layout(t):
+    """Two queries on one stored layout: a join by order, and orders counted by what it gave."""
+    orders, lines = bucketed_orders(t)
+    per_order = joined_by_layout(t.spark, orders, lines)
+    return per_order.groupBy("o_orderpriority", "l_returnflag").agg(
+        F.sum("n").alias("lines"), F.count(F.lit(1)).alias("orders")
+    )
+
+
+def joined_by_layout(spark, orders: str, lines: str):
+    a, b = spark.table(orders).hint("merge"), spark.table(lines)
+    joined = a.join(b, F.col("o_orderkey") == F.col("l_orderkey"))
+    keys = ["o_orderkey", "o_orderpriority", "l_returnflag"]
+    return joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.functions import userdefined
+from tidemill.functions import aggregators, userdefined
 from tidemill.plans.points import LEVELS_SQL
 from tidemill.registry import query
 
@@ -57,3 +57,37 @@ def udtf_words(t):
     return t.spark.sql(
         "SELECT p_partkey, word, cnt FROM {cells}, LATERAL words_of_cell(cell)", cells=cells
     )
+
+
+@query(
+    "udaf_top_distinct",
+    """select l_returnflag, min(l_extendedprice) as least, count(*) as rows from
+       (select *, dense_rank() over (partition by l_returnflag order by l_extendedprice desc) as d
+        from lineitem where l_extendedprice is not null) where d <= 20 group by 1""",
+)
+def udaf_top_distinct(t):
+    """A user aggregate whose state is no built-in's: one flag holds half of all rows, and no
+    task has more than a few states of it."""
+    top = aggregators.TopDistinct("l_extendedprice", 20)
+    lines = t.lineitem.select("l_returnflag", "l_extendedprice")
+    return aggregators.aggregate(lines, ["l_returnflag"], top, "least double, rows bigint")
+
+
+@query(
+    "udtf_table",
+    """with cuts as (select *, lag(event_type) over w is distinct from event_type as new
+         from events window w as (partition by user_id order by ts, event_id)),
+       runs as (select *, sum(new::int) over (partition by user_id order by ts, event_id
+         rows unbounded preceding) as run from cuts)
+       select user_id, cast(run as integer) as run, event_type, cast(count(*) as integer) as cnt
+       from runs group by all""",
+)
+def udtf_table(t):
+    """A table function over partitions of a table, in order: runs of equal events of a user."""
+    userdefined.register(t.spark)
+    return t.spark.sql(
+        """SELECT user_id, run, event_type, cnt FROM runs_of(TABLE(SELECT user_id, event_type, ts,
+             event_id FROM {events}) PARTITION BY user_id ORDER BY (ts, event_id),
+             'user_id', 'event_type', 5000000)""",
+        events=t.events,
+    )

@@ -62,6 +62,16 @@ def create_table(
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
 
 
+def create_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int | None = None) -> None:
+    """A catalog table that stays hash-partitioned and sorted by ``keys``: joins and aggregates on
+    them over tables with the same number of buckets need no shuffle. The number of buckets is the
+    session's shuffle count unless it is given. Rows are shuffled once, so that a bucket is one
+    file and not one per task."""
+    count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(count, *keys)
+    placed.write.format("parquet").bucketBy(count, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def write_partitioned(
     df: DataFrame, path: str, columns: list[str], mode: str = "errorifexists"
 ) -> None:
