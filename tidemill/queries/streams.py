@@ -33,6 +33,25 @@ def timed(t, name="events", column="ts", delay=WHOLE_SPAN):
     return streams.event_time(rows, column, delay)
 
 
+ALL_FILES = 1_000_000  # every file of an arrival in one batch
+
+
+def settled(t, build, label, after_each=None):
+    """``build(events)`` over four arrivals of the events, a run of one checkpoint after each."""
+    folder, out, checkpoint = (work_path(t.spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
+    for run in t.arrivals("events", "ts", folder):
+        done = build(t.stream_of("events", folder, files_per_trigger=ALL_FILES))
+        runner.run_to_files(done, out, checkpoint)
+        if after_each:
+            after_each(run, checkpoint)
+    return t.spark.read.schema(done.schema).parquet(out)
+
+
+def in_parts(t, name, column):
+    """The table as a stream of several micro-batches, for results that no watermark settles."""
+    return t.stream_of(name, t.split(name, column), files_per_trigger=1)
+
+
 @query(
     "stream_project",
     """select event_id, upper(event_type) as kind, value * 2 as doubled from events
@@ -40,11 +59,11 @@ def timed(t, name="events", column="ts", delay=WHOLE_SPAN):
        union all select event_id, 'SMALL', value from events where value < 1""",
 )
 def stream_project(t):
-    events = t.stream("events")
+    events = in_parts(t, "events", "ts")
     large = events.filter(F.col("value") > 50).select(
         "event_id", F.upper("event_type").alias("kind"), (F.col("value") * 2).alias("doubled")
     )
-    small = t.stream("events").filter(F.col("value") < 1).select(
+    small = in_parts(t, "events", "event_id").filter(F.col("value") < 1).select(
         "event_id", F.lit("SMALL").alias("kind"), F.col("value").alias("doubled")
     )
     return runner.appended(large.union(small), "project")
@@ -97,7 +116,7 @@ def stream_custom_source(t):
 def stream_file_sink(t):
     """CSV files by event type, exactly once through the sink's own log."""
     path = work_path(t.spark, "csv-out")
-    events = t.stream("events").select("event_id", "value", "event_type")
+    events = in_parts(t, "events", "ts").select("event_id", "value", "event_type")
     checkpoint = work_path(t.spark, "csv-checkpoint")
     runner.run_to_files(events, path, checkpoint, "csv", ["event_type"])
     return t.spark.read.schema(events.schema).csv(path)
@@ -107,7 +126,7 @@ def stream_file_sink(t):
 def stream_memory(t):
     """Memory sink polled by SQL; one row per event type."""
     name = f"counts_{uuid.uuid4().hex[:12]}"
-    runner.run_to_memory(state.running_count(t.stream("events"), "event_type"), name)
+    runner.run_to_memory(state.running_count(in_parts(t, "events", "ts"), "event_type"), name)
     return t.spark.sql(f"SELECT event_type, cnt FROM {name}")
 
 
@@ -115,7 +134,7 @@ def stream_memory(t):
 def stream_foreach(t):
     """Row-wise writer with open, process and close."""
     folder = work_path(t.spark, "foreach")
-    rows = t.stream("supplier").select("s_suppkey", "s_name")
+    rows = in_parts(t, "supplier", "s_suppkey").select("s_suppkey", "s_name")
     with runner.stream_conf(t.spark):
         writer = rows.writeStream.foreach(FileWriterPerTask(t.spark, folder))
         writer = writer.option("checkpointLocation", work_path(t.spark, "foreach-checkpoint"))
@@ -131,19 +150,31 @@ def stream_foreach(t):
 def stream_blacklist(t):
     """Stream rows whose key is not banned by a static table."""
     banned = t.labels.filter(F.col("toxic") == 1).select("doc_id").distinct()
-    documents = t.stream("documents").select("doc_id", "source")
+    documents = in_parts(t, "documents", "doc_id").select("doc_id", "source")
     kept = documents.join(checked_broadcast(banned), "doc_id", "left_anti")
     return runner.appended(kept, "blacklist")
 
 
-def order_streams(t):
-    orders = streams.event_time(t.stream("orders"), "o_orderdate", "30 days").select(
-        F.col("o_orderkey").alias("key"), "o_orderdate", "o_totalprice"
+def joined_arrivals(t, build, label):
+    """``build(orders, lines)`` over four arrivals of both tables, a run of one checkpoint after
+    each, so that what waits for its match is kept from run to run."""
+    one, two, out, checkpoint = (
+        work_path(t.spark, f"{label}-{x}") for x in ("orders", "lines", "out", "checkpoint")
     )
-    lines = streams.event_time(t.stream("lineitem"), "l_shipdate", "30 days").select(
-        F.col("l_orderkey").alias("key"), "l_shipdate", "l_linenumber", "l_quantity"
-    )
-    return orders, lines
+    arrivals = zip(t.arrivals("orders", "o_orderdate", one), t.arrivals("lineitem", "l_shipdate", two))
+    for _ in arrivals:
+        orders = t.stream_of("orders", one, files_per_trigger=ALL_FILES)
+        lines = t.stream_of("lineitem", two, files_per_trigger=ALL_FILES)
+        done = build(
+            streams.event_time(orders, "o_orderdate", "30 days").select(
+                F.col("o_orderkey").alias("key"), "o_orderdate", "o_totalprice"
+            ),
+            streams.event_time(lines, "l_shipdate", "30 days").select(
+                F.col("l_orderkey").alias("key"), "l_shipdate", "l_linenumber", "l_quantity"
+            ),
+        )
+        runner.run_to_files(done, out, checkpoint)
+    return t.spark.read.schema(done.schema).parquet(out)
 
 
 @query(
@@ -153,11 +184,11 @@ def order_streams(t):
        where l_shipdate >= o_orderdate and l_shipdate <= o_orderdate + interval 90 days""",
 )
 def stream_stream_join(t):
-    """Order lines shipped within 90 days, both sides streams."""
-    joined = state.interval_join(*order_streams(t), "key", "o_orderdate", "l_shipdate", 90)
+    """Order lines shipped within 90 days, both sides streams of several micro-batches."""
     shipped = F.col("l_shipdate").cast("timestamp_ntz").alias("l_shipdate")
     columns = ["key", "o_totalprice", "l_linenumber", "l_quantity", shipped]
-    return runner.appended(joined.select(*columns), "joined")
+    build = lambda a, b: state.interval_join(a, b, "key", "o_orderdate", "l_shipdate", 90)
+    return joined_arrivals(t, lambda a, b: build(a, b).select(*columns), "joined")
 
 
 @query(
@@ -172,15 +203,15 @@ def stream_stream_join(t):
 )
 def stream_left_outer(t):
     """Orders with their lines of 90 days; orders without a line when their time is over."""
-    orders = streams.event_time(t.stream("orders"), "o_orderdate", "30 days").select(
-        F.col("o_orderkey").alias("key"), "o_orderdate"
-    )
-    lines = streams.event_time(t.stream("lineitem"), "l_shipdate", "30 days").select(
-        F.col("l_orderkey").alias("key"), "l_shipdate", "l_linenumber"
-    )
-    joined = state.outer_interval_join(orders, lines, "key", "o_orderdate", "l_shipdate", 90)
     stamps = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("o_orderdate", "l_shipdate")]
-    return runner.appended(joined.select("key", *stamps, "l_linenumber"), "outer")
+
+    def build(orders, lines):
+        joined = state.outer_interval_join(
+            orders.drop("o_totalprice"), lines.drop("l_quantity"), "key", "o_orderdate", "l_shipdate", 90
+        )
+        return joined.select("key", *stamps, "l_linenumber")
+
+    return joined_arrivals(t, build, "outer")
 
 
 @query("stream_batch_count", "select event_type, count(*) as cnt from events group by 1")
@@ -203,7 +234,7 @@ def stream_batch_count(t):
 )
 def stream_topn(t):
     """Sorted result table of a complete-mode count."""
-    counts = state.running_count(t.stream("events"), "user_id")
+    counts = state.running_count(in_parts(t, "events", "ts"), "user_id")
     ranked = counts.orderBy(F.col("cnt").desc(), "user_id").limit(10)
     return runner.completed(ranked, "topn")
 
@@ -224,7 +255,7 @@ def stream_running_count(t):
 @query("stream_map_with_state", WORD_COUNT_SQL)
 def stream_map_with_state(t):
     """Changed words only after every batch; the last state of each."""
-    counts = state.running_count(words(t.stream("documents"), "text"), "word")
+    counts = state.running_count(words(in_parts(t, "documents", "doc_id"), "text"), "word")
     return runner.updated(counts, ["word"], "word-updates")
 
 
@@ -299,10 +330,12 @@ def stream_key_window(t):
 )
 def stream_watermark(t):
     """Append mode: a window comes out once the watermark has passed its end."""
-    events = streams.event_time(t.stream("events"), "ts", "1 hour")
     measures = [F.count(F.lit(1)).alias("cnt")]
-    windows = state.windowed(events, "ts", "1 day", None, measures)
-    return runner.appended(windows, "watermark")
+
+    def build(events):
+        return state.windowed(streams.event_time(events, "ts", "1 hour"), "ts", "1 day", None, measures)
+
+    return settled(t, build, "watermark")
 
 
 @query("stream_dedup", "select event_id, ts, event_type from events")
@@ -443,20 +476,6 @@ def stream_dashboard(t):
     return metrics.select("event", "slot", "value")
 
 
-ALL_FILES = 1_000_000  # every file of an arrival in one batch
-
-
-def settled(t, build, label, after_each=None):
-    """``build(events)`` over four arrivals of the events, a run of one checkpoint after each."""
-    folder, out, checkpoint = (work_path(t.spark, f"{label}-{x}") for x in ("in", "out", "checkpoint"))
-    for run in t.arrivals("events", "ts", folder):
-        done = build(t.stream_of("events", folder, files_per_trigger=ALL_FILES))
-        runner.run_to_files(done, out, checkpoint)
-        if after_each:
-            after_each(run, checkpoint)
-    return t.spark.read.schema(done.schema).parquet(out)
-
-
 # the time in microseconds, and the number of the arrival
 ARRIVED_SQL = """(select epoch_us(ts) as us, cast(trunc(value) as bigint) as amount,
     (epoch_us(ts) - min(epoch_us(ts)) over ())
