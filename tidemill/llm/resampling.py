@@ -100,13 +100,20 @@ def frequent(texts: DataFrame, run: int = RUN, head: int = HEAD) -> Head:
         .groupBy("length", "feature")
         .agg(F.sum("n").alias("n"))
     )
+    # counts in bands of a sixteenth of a doubling; only bands that reach into the head are sorted
+    band = F.floor(F.log2("n") * 16).cast("int")
+    seen = materialize(seen.withColumn("band", band), "frequent")
+    sizes = seen.groupBy("length", "band").agg(F.count("*").alias("features")).collect()
     found: Head = ({}, {})
-    if run > 1:
-        seen = materialize(seen, "frequent")
     for length in range(1, min(run, 2) + 1):
-        # a heap of ``head`` rows per partition, merged
-        top = seen.where(F.col("length") == length).orderBy(F.desc("n"), "feature").limit(head)
-        for row in top.collect():
+        room, least = head, 0
+        for row in sorted((r for r in sizes if r["length"] == length), key=lambda r: -r["band"]):
+            least = row["band"]
+            room -= row["features"]
+            if room <= 0:
+                break
+        high = seen.where((F.col("length") == length) & (F.col("band") >= least))
+        for row in high.orderBy(F.desc("n"), "feature").limit(head).collect():
             feature = bytes(row["feature"])
             found[length - 1][feature] = zlib.crc32(feature)
     return found
