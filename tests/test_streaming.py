@@ -190,6 +190,37 @@ def test_interval_join_equals_the_plain_condition(spark, small):
         assert rows_of(bucketed) == rows_of(plain)
 
 
+def test_outer_interval_join_with_a_hot_key_and_repeated_rows(spark, tmp_path):
+    """A third of both sides has one key; rows of the same values count as often as they came."""
+    kinds = "key bigint, a timestamp, tag int", "key bigint, b timestamp, line int"
+    day = lambda n: datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n)
+    left = [(0 if n % 3 == 0 else n % 23, day(n // 4), n % 2) for n in range(600)] * 2
+    left += [(None, day(5), 1)]
+    right = [(0 if n % 3 == 0 else n % 29, day(n // 3 + n % 5), n) for n in range(500) if n % 40 > 9]
+    folders = [str(tmp_path / x) for x in ("left", "right")]
+    for run in range(3):
+        for rows, kind, folder in zip((left, right), kinds, folders):
+            part = [r for r in rows if (r[1] - day(0)).days * 3 // 180 == run]
+            spark.createDataFrame(part, kind).coalesce(1).write.mode("append").parquet(folder)
+        a, b = (
+            streams.event_time(spark.readStream.schema(kind).parquet(folder), moment, "7 days")
+            for kind, folder, moment in zip(kinds, folders, "ab")
+        )
+        done = state.outer_interval_join(a, b, "key", "a", "b", 3)
+        runner.run_to_files(done, str(tmp_path / "out"), str(tmp_path / "cp"))
+    spark.createDataFrame(left, kinds[0]).createOrReplaceTempView("outer_left")
+    spark.createDataFrame(right, kinds[1]).createOrReplaceTempView("outer_right")
+    mark = min(max(r[1] for r in rows) for rows in (left, right)) - datetime.timedelta(days=7)
+    want = spark.sql(
+        f"""select l.key, a, tag, b, line from outer_left l left join outer_right r
+            on l.key = r.key and b between a and a + interval 3 days
+            where line is not null or a + interval 3 days < timestamp '{mark}'"""
+    )
+    got = spark.read.schema(done.schema).parquet(str(tmp_path / "out"))
+    assert want.where("line is null").count() > 20
+    assert rows_of(got) == rows_of(want)
+
+
 def test_blacklist(spark, tmp_path):
     banned = spark.createDataFrame([("spark", True), ("scala", False)], "word string, b boolean")
     (tmp_path / "w.txt").write_text("1 hadoop\n2 spark\n3 scala\n4 java\n5 hive\n")

@@ -15,6 +15,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemill.plans.skew import SALT, row_salt
 
+BLOCK = 10_000
+
 
 def running_count(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
@@ -85,6 +87,32 @@ def unique(
     return drop(per_salt.drop(SALT), keys)
 
 
+def _bucket(moment: Column, size: int) -> Column:
+    return F.floor(F.unix_date(moment.cast("date")) / F.lit(size))
+
+
+def _reach(df: DataFrame, moment: str, days: int) -> DataFrame:
+    """A copy of each row per bucket of days that ``days`` from its time on can touch."""
+    size = max(1, days // 2)
+    last = F.date_add(F.col(moment).cast("date"), days)
+    buckets = F.sequence(_bucket(F.col(moment), size), _bucket(last, size))
+    return df.withColumn("_bucket", F.explode(buckets))
+
+
+def _within(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int, how: str):
+    """Join of the copies of ``_reach`` with right rows, each of which has one bucket."""
+    other = right.withColumn("_right_bucket", _bucket(F.col(right_time), max(1, days // 2)))
+    span = F.expr(f"INTERVAL '{days}' DAY")
+    return left.join(
+        other.withColumnRenamed(key, "_key"),
+        (F.col(key) == F.col("_key"))
+        & (F.col("_bucket") == F.col("_right_bucket"))
+        & (F.col(right_time) >= F.col(left_time))
+        & (F.col(right_time) <= F.col(left_time) + span),
+        how,
+    )
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int
 ) -> DataFrame:
@@ -93,32 +121,40 @@ def interval_join(
     The day span is cut into buckets that join the key, so that a hot key is spread over
     time: a right row has one bucket, a left row one copy per bucket it can reach.
     """
-    size = max(1, days // 2)
-    bucket = lambda c: F.floor(F.unix_date(c.cast("date")) / F.lit(size))
-    first = bucket(F.col(left_time))
-    last = bucket(F.date_add(F.col(left_time).cast("date"), days))
-    a = left.withColumn("_bucket", F.explode(F.sequence(first, last)))
-    b = right.withColumn("_bucket", bucket(F.col(right_time))).withColumnRenamed(key, "_key")
-    span = F.expr(f"INTERVAL '{days}' DAY")
-    return a.join(
-        b.withColumnRenamed("_bucket", "_right_bucket"),
-        (F.col(key) == F.col("_key"))
-        & (F.col("_bucket") == F.col("_right_bucket"))
-        & (F.col(right_time) >= F.col(left_time))
-        & (F.col(right_time) <= F.col(left_time) + span),
-    ).drop("_bucket", "_right_bucket", "_key")
+    copies = _reach(left, left_time, days)
+    joined = _within(copies, right, key, left_time, right_time, days, "inner")
+    return joined.drop("_bucket", "_right_bucket", "_key")
 
 
 def outer_interval_join(
     left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int
 ) -> DataFrame:
     """Left outer form; a left row without a match comes out once the watermark has
-    passed its interval."""
-    span = F.expr(f"INTERVAL '{days}' DAY")
-    return left.join(
-        right.withColumnRenamed(key, "_key"),
-        (F.col(key) == F.col("_key"))
-        & (F.col(right_time) >= F.col(left_time))
-        & (F.col(right_time) <= F.col(left_time) + span),
-        "left_outer",
-    ).drop("_key")
+    passed its interval.
+
+    Each copy of a left row reports when it stayed alone, so a hot key is spread over time
+    here as well. A second state notes per left row which of its copies have reported: a row
+    is without a match when all have, and equal rows come out as often as they came in.
+    The side that only asks for a match holds keys and times of the right rows, no more.
+    A left row without a time has no interval and comes out never; one without a key does.
+    """
+    size = max(1, days // 2)
+    last = F.date_add(F.col(left_time).cast("date"), days)
+    copies = (_bucket(last, size) - _bucket(F.col(left_time), size) + 1).cast("int")
+    asked = _within(
+        _reach(left, left_time, days), right.select(key, right_time), key, left_time, right_time, days, "left_outer"
+    )
+    place = (F.col("_bucket") - _bucket(F.col(left_time), size)).cast("int").alias("_place")
+    reports = asked.where(F.col("_right_bucket").isNull()).select(*left.columns, place)
+    alone = reports.groupBy(*left.columns).agg(
+        F.count(F.lit(1)).alias("_reports"), F.bit_or(F.expr("shiftleft(1, _place)")).alias("_places")
+    )
+    every = alone.withColumn("_copies", copies).where("_places = shiftleft(1, _copies) - 1")
+    times = every.selectExpr("*", "_reports div _copies as _times")
+    # in two steps, so that no array is long when one row came very often
+    blocks = times.selectExpr("*", f"explode(sequence(0, _times div {BLOCK})) as _block")
+    settled = blocks.selectExpr(
+        "*", f"explode(array_repeat(0, int(least({BLOCK}, _times - _block * {BLOCK})))) as _again"
+    )
+    matched = interval_join(left, right, key, left_time, right_time, days)
+    return matched.unionByName(settled.select(*left.columns), allowMissingColumns=True)
