@@ -212,3 +212,25 @@ def test_latest_offsets_group_and_ties(spark):
         [("g", "t", 0, 9, t[0]), ("g", "t", 0, 5, t[1]), ("g", "t", 0, 6, t[1]),
          ("h", "t", 0, 1, t[0])], "grp string, topic string, part int, offset bigint, ts timestamp")
     assert rows_of(offsets.latest_offsets(log)) == ["('g', 't', 0, 6)", "('h', 't', 0, 1)"]
+
+
+def test_rejects_are_counted_and_kept(spark):
+    """Hours beyond the day, as in the worked example's file; NULL and empty texts."""
+    texts = spark.createDataFrame(
+        [("1", "2019-04-12 25:31:00"), ("x", "2019-04-12 23:31:00"), (None, None), ("", "31"), ("7", "2019-04-12 31:00:01")],
+        "n string, ct string",
+    )
+    schema, formats = "n int, ct timestamp_ntz", {"ct": "yyyy-MM-dd HH:mm:ss"}
+    good = files.typed(texts, schema, formats)
+    assert good.where("ct is not null").count() == 1 and good.where("n is not null").count() == 2
+    counts = {r["column"]: (r.present, r.rejected) for r in files.reject_counts(texts, schema, formats).collect()}
+    assert counts == {"n": (4, 2), "ct": (4, 3)}
+    bad = sorted((r.n, r.ct, tuple(r.faults)) for r in files.rejected_rows(texts, schema, formats).collect())
+    assert bad == [
+        ("", "31", ("n", "ct")),
+        ("1", "2019-04-12 25:31:00", ("ct",)),
+        ("7", "2019-04-12 31:00:01", ("ct",)),
+        ("x", "2019-04-12 23:31:00", ("n",)),
+    ]
+    none = files.reject_counts(texts.limit(0), schema, formats)
+    assert {(r.present, r.rejected) for r in none.collect()} == {(0, 0)}

@@ -41,6 +41,49 @@ def scan_csv_positional(t):
     return files.read_csv_positional(t.spark, path, SCHEMAS["customer"])
 
 
+def damaged_orders(t):
+    """The orders as text, some prices without digits and some hours beyond the day."""
+    key = F.col("o_orderkey")
+    hour = F.when(key % 11 == 0, F.lit(" 25:10")).otherwise(F.lit(" 23:10"))
+    return t.orders.select(
+        key.cast("string").alias("o_orderkey"),
+        F.when(key % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(key % 5 != 0, F.concat(F.date_format("o_orderdate", "yyyy/MM/dd"), hour)).alias("at"),
+    )
+
+
+READ_AS = "o_orderkey bigint, o_totalprice double, at timestamp_ntz"
+AT = {"at": "yyyy/MM/dd HH:mm"}
+
+
+@query(
+    "ingest_rejects",
+    """select 'o_orderkey' as "column", count(*) as present, 0 as rejected from orders union all
+       select 'o_totalprice', count(*), count(*) filter (o_orderkey % 7 = 0) from orders union all
+       select 'at', count(*) filter (o_orderkey % 5 <> 0),
+         count(*) filter (o_orderkey % 5 <> 0 and o_orderkey % 11 = 0) from orders""",
+)
+def ingest_rejects(t):
+    """Texts that do not fit their column's type, counted per column."""
+    path = work_path(t.spark, "damaged")
+    damaged_orders(t).write.csv(path)
+    texts = t.spark.read.schema("o_orderkey string, o_totalprice string, at string").csv(path)
+    return files.reject_counts(texts, READ_AS, AT)
+
+
+@query(
+    "ingest_quarantine",
+    """select o_orderkey, case when o_orderkey % 7 = 0 then 'o_totalprice' else '' end
+         || case when o_orderkey % 35 <> 0 and o_orderkey % 77 = 0 then ',' else '' end
+         || case when o_orderkey % 5 <> 0 and o_orderkey % 11 = 0 then 'at' else '' end as faults
+       from orders where o_orderkey % 7 = 0 or (o_orderkey % 5 <> 0 and o_orderkey % 11 = 0)""",
+)
+def ingest_quarantine(t):
+    """The rows themselves, with the columns at fault."""
+    bad = files.rejected_rows(damaged_orders(t), READ_AS, AT)
+    return bad.select(F.col("o_orderkey").cast("bigint"), F.concat_ws(",", "faults").alias("faults"))
+
+
 @query("scan_json", "select * from events")
 def scan_json(t):
     path = work_path(t.spark, "json")
