@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -127,3 +130,86 @@ def lcs(a, b) -> int:
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
     return row[-1]
+
+
+def statistics(raw: bytes) -> dict:
+    """The numbers that the quality classifier knows of a text, one after another."""
+    text = [bytes([c]) for c in raw]
+    size = max(1, len(raw))
+    share = lambda test: sum(map(test, text)) / size
+    words, lines = raw.split(), [x for x in raw.split(b"\n") if x.strip()]
+    n = max(1, len(words))
+    runs = [len(list(same)) for _, same in itertools.groupby(words)]
+    mean = lambda x: sum(x) / len(x) if x else 0.0
+    spread = lambda x: math.sqrt(max(0, mean([v * v for v in x]) - mean(x) ** 2))
+    lengths = [len(w) for w in words]
+    blanks = [line.count(b" ") + 1 for line in lines]
+    letters = [raw.count(c) / size for c in set(raw)]
+
+    def is_odd(word):
+        return any(c < 128 and not chr(c).isalpha() for c in word.rstrip(b".,;:"))
+
+    return {
+        "lower": share(bytes.islower), "upper": share(bytes.isupper), "digit": share(bytes.isdigit),
+        "stop": share(lambda c: c in b".,;:"), "call": share(lambda c: c in b"!?"),
+        "bar": share(lambda c: c == b"|"), "symbol": share(lambda c: c in b"#$%&*+/<=>@[]\\^_`{}~"),
+        "quote": share(lambda c: c in b"'\"()-"), "blank": share(lambda c: c in b" \t\x0b\x0c"),
+        "line": share(lambda c: c in b"\n\r"), "high": share(lambda c: c > b"\x7f"),
+        "bytes": math.log(1 + len(raw)), "words": math.log(1 + len(words)),
+        "word_bytes": mean(lengths), "word_spread": spread(lengths),
+        "different": len(set(words)) / n, "top_word": max(Counter(words).values(), default=0) / n,
+        "same_next": sum(a == b for a, b in zip(words, words[1:])) / n,
+        "longest_run": max(runs, default=0) / n,
+        "upper_words": sum(w.isupper() and len(w) > 1 for w in words) / n,
+        "odd_words": sum(map(is_odd, words)) / n,
+        "capital_words": sum(w[:1].isupper() for w in words) / n,
+        "lines": math.log(1 + len(lines)), "line_words": mean(blanks), "line_spread": spread(blanks),
+        "repeated_lines": 1 - len(set(lines)) / max(1, len(lines)),
+        "letter_spread": -sum(x * math.log2(x) for x in letters),
+    }
+
+
+def boosted(rows, good, trees, depth, bins, rate, least, ridge):
+    """Scores of ``rows`` by trees whose splits come from trying every quantile of every column."""
+    rows, good = np.asarray(rows, dtype=float), np.asarray(good, dtype=float)
+    chance = (good.sum() + 0.5) / (len(good) + 1)
+    margin = np.full(len(rows), math.log(chance / (1 - chance)))
+    cuts = [sorted(set(np.quantile(col, [k / bins for k in range(1, bins)]))) for col in rows.T]
+
+    def grow(inside, depth, slope, bend, step):
+        gain_of = lambda part: slope[part].sum() ** 2 / (bend[part].sum() + ridge)
+        best, split = 1e-6, None
+        for column in range(rows.shape[1]) if depth and inside.sum() >= 2 * least else ():
+            for cut in cuts[column]:
+                low = inside & (rows[:, column] <= cut)
+                high = inside & ~low
+                if min(low.sum(), high.sum()) >= least:
+                    gain = gain_of(low) + gain_of(high) - gain_of(inside)
+                    if gain > best + 1e-9:
+                        best, split = gain, (low, high)
+        if split:
+            for part in split:
+                grow(part, depth - 1, slope, bend, step)
+        else:
+            step[inside] = rate * slope[inside].sum() / (bend[inside].sum() + ridge)
+
+    for _ in range(trees):
+        p = 1 / (1 + np.exp(-margin))
+        step = np.zeros(len(rows))
+        grow(np.ones(len(rows), dtype=bool), depth, good - p, p * (1 - p), step)
+        margin = margin + step
+    return 1 / (1 + np.exp(-margin))
+
+
+def largest_share(items, text, common, least=0.5) -> float:
+    """The largest part of an item's words that a stretch of ``text`` has in their order, 0 if
+    it is below ``least``; ``common(item, stretch)`` is the longest common subsequence."""
+    best, whole = 0.0, Counter(text)
+    for item in items:
+        held = sum(min(n, whole[w]) for w, n in Counter(item).items())
+        if held < max(best, least) * len(item):
+            continue
+        width = int(1.3 * len(item)) + 4
+        for at in range(0, max(1, len(text) - len(item) // 2), 4):
+            best = max(best, common(item, text[at : at + width]) / len(item))
+    return best

@@ -59,6 +59,31 @@ def test_flat_trees_are_the_trees():
     assert np.mean((scores > 0.5) == good) > 0.95
 
 
+def test_statistics_of_a_text():
+    texts = [(t or "").encode() for _, t, *_ in brute.odd_rows()][:8] + [
+        "Ein Satz, noch ein Satz.\n\n  Ein Satz, noch ein Satz.\nEND\tEND END! (a|b) 3.14 [x]=y_z `q` \\".encode(),
+        "É è |漢字| 'x' --\r\n\x0b#1 #1 #1 A ABC Abc aBC x1: 1x;".encode(),
+    ]
+    for raw in texts:
+        want = brute.statistics(raw)
+        assert list(want) == quality.FEATURES
+        assert np.allclose(quality.features(raw), list(want.values())), raw
+
+
+def test_histograms_find_the_best_splits(monkeypatch):
+    """Against trying every cut of every column row by row; ties among columns aside."""
+    monkeypatch.setattr(quality, "TREES", 4)
+    rng = np.random.default_rng(7)
+    rows = np.column_stack([rng.random(260), rng.integers(0, 5, 260), rng.normal(size=260), np.ones(260)])
+    for seed in range(3):
+        noise = np.random.default_rng(seed).random(260)
+        good = ((rows[:, 0] > 0.4) & (rows[:, 1] < 3) | (noise > 0.9)).astype(float)
+        want = brute.boosted(
+            rows, good, 4, quality.DEPTH, quality.BINS, quality.RATE, quality.LEAST_ROWS, quality.RIDGE
+        )
+        assert np.allclose(quality.fit(rows, good).score(rows), want)
+
+
 def test_quality_odd_cases(spark):
     docs = brute.odd(spark)
     ddl = "doc_id long, quality int, toxic int, score double"
@@ -211,6 +236,11 @@ def test_every_query_runs(spark, name):
     assert QUERIES[name](spark, brute.SMALL).count() > 0
 
 
+def words_of(text):
+    folded = (text or "").lower().encode().translate(None, decontaminate.PUNCTUATION)
+    return folded.split()
+
+
 def test_pipeline(spark, tmp_path):
     """The stages one after another against plain versions of each, on the rows it got."""
     docs = brute.documents(spark, brute.MIDDLE)
@@ -229,8 +259,17 @@ def test_pipeline(spark, tmp_path):
             assert kept == set(first.values())
         elif name == "simhash":
             assert kept == set(brute.components_of(before, 2).values())
-        else:
+        elif name == "quality":
+            trees = quality.train(docs, spark.read.parquet(f"{brute.MIDDLE}/labels.parquet"))
+            rows = [list(brute.statistics((text or "").encode()).values()) for _, text in before]
+            scores = trees.score(np.array(rows))
             assert 0 < len(kept) < len(before)
+            assert kept == {doc for (doc, _), score in zip(before, scores) if score >= quality.REJECT_BELOW}
+        else:
+            items = [words_of(r.text) for r in spark.read.parquet(f"{brute.MIDDLE}/benchmark.parquet").collect()]
+            share = {doc: brute.largest_share(items, words_of(text), decontaminate.common_words) for doc, text in before}
+            leaks, clean = ({d for d, x in share.items() if f(x)} for f in (lambda x: x >= 0.8, lambda x: x < 0.5))
+            assert leaks and not kept & leaks and clean <= kept
     end = corpus_pipeline.run(spark, brute.MIDDLE).collect()
     assert {r.doc_id for r in end} == kept
     assert sum(r.length for r in end) == sum({r.doc_id: r.doc_tokens for r in end}.values())
