@@ -5,7 +5,9 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from tidemill.llm import exact_dedup, line_dedup, recompress, simhash, substring_dedup, words
@@ -155,22 +157,95 @@ def test_common_passage_in_many_documents(spark):
     }
 
 
+def _batch_of_words(rng, alphabet):
+    texts = [[rng.randrange(alphabet) for _ in range(400)] for _ in range(8)]
+    for text in texts[1:]:
+        text[100:280] = texts[0][37:217]
+    return texts, *words.named([" ".join(map(str, t)).encode() for t in texts])
+
+
 def test_equal_windows_have_equal_anchors():
     rng = random.Random(6)
     for alphabet in (1, 2, 3, 30, 10_000):
-        texts = [[rng.randrange(alphabet) for _ in range(400)] for _ in range(8)]
-        for text in texts[1:]:
-            text[100:180] = texts[0][37:117]
-        names, doc = words.named([" ".join(map(str, t)).encode() for t in texts])
-        whole, anchor, place, inside = recompress.anchors(names, doc, 20)
+        texts, names, doc = _batch_of_words(rng, alphabet)
+        found = recompress.Anchors(names, doc, 20)
+        at = np.flatnonzero(found.inside)
+        named = dict(zip(at.tolist(), zip(*(x.tolist() for x in found.windows(at)))))
         flat = [x for t in texts for x in t]
         by: dict[tuple, list[int]] = {}
-        for at in np.flatnonzero(inside).tolist():
-            by.setdefault(tuple(flat[at : at + 20]), []).append(at)
-        assert len(by) == len(set(whole[inside].tolist()))
+        for place in at.tolist():
+            by.setdefault(tuple(flat[place : place + 20]), []).append(place)
+        assert len(by) == len(set(named.values()))
+        assert len(by) == len({n for n, _ in named.values()}) == len({p for _, p in named.values()})
         for places in by.values():
-            assert len({int(anchor[p]) for p in places}) == 1
-            assert len({int(place[p]) for p in places}) == len(places)
+            assert len({named[p] for p in places}) == 1
+            assert len({int(found.key[p]) for p in places}) == 1
+            assert len({int(found.place[p]) for p in places}) == len(places)
+
+
+def test_blocks_are_equal_where_their_words_are():
+    rng = random.Random(7)
+    for alphabet in (1, 2, 30, 10_000):
+        texts, names, doc = _batch_of_words(rng, alphabet)
+        flat = [x for t in texts for x in t]
+        name, proof, start, size = recompress.blocks(names, doc, 20, (7, 12))
+        held: dict[int, set] = {}
+        for n, p, at, long in zip(*(x.tolist() for x in (name, proof, start, size))):
+            assert doc[at] == doc[at + long - 1] and long >= 20
+            held.setdefault(n, set()).add((p, tuple(flat[at : at + long])))
+        assert len(set(zip(start.tolist(), size.tolist()))) == len(name)
+        assert len(name) and all(len(same) == 1 for same in held.values())
+        assert len({next(iter(same)) for same in held.values()}) == len(held)
+        if alphabet > 2:  # the shared passage of all eight gives blocks that all eight have
+            assert max(Counter(name.tolist()).values()) >= 8
+        else:  # runs of one word are one symbol
+            assert alphabet == 2 or set(size.tolist()) == {400}
+
+
+def _symbols_of(task, rows):
+    batch = pa.RecordBatch.from_pylist(
+        rows, pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("raw", pa.binary())])
+    )
+    out = [row for part in task(iter([batch])) for row in part.to_pylist()]
+    return {row.get("name", row.get("anchor")) for row in out} - {None}
+
+
+@pytest.mark.parametrize("find", [substring_dedup._find_blocks, substring_dedup._find_anchors])
+def test_names_of_symbols_decide(find, monkeypatch):
+    """Two tasks meet by the names of runs and pairs: if one names them otherwise, the passage
+    that they share is not found."""
+    rng = random.Random(8)
+    shared = [f"s{rng.randrange(10**6)}" for _ in range(600)]
+    rows = [
+        [{"doc_id": n, "tag": 1, "raw": " ".join([f"o{n}"] * 3 + shared + [f"p{n}"]).encode()}]
+        for n in range(2)
+    ]
+    first = _symbols_of(find(20), rows[0])
+    assert len(first & _symbols_of(find(20), rows[1])) > len(first) // 2 > 1
+    true = recompress.mix
+    named_otherwise = lambda values, salt: true(values, salt + 100 * (salt == 2))
+    monkeypatch.setattr(recompress, "mix", named_otherwise)
+    other = _symbols_of(find(20), rows[1])
+    assert len(other) > 1 and len(first & other) <= len(first) // 8
+
+
+def test_long_copies_are_settled_by_blocks(spark):
+    """Copies in other partitions cost rows of blocks, and windows only at the blocks' edges."""
+    rng = random.Random(9)
+    text = [f"w{rng.randrange(500)}" for _ in range(3000)]
+    rows = [(doc, " ".join([f"own{doc}", *text])) for doc in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    raw = substring_dedup.raw_text(docs).withColumn("tag", substring_dedup.tag_of(F.col("raw")))
+    found = raw.mapInArrow(substring_dedup._find_blocks(20), substring_dedup.FOUND).cache()
+    later = substring_dedup.later_ones(found).collect()
+    held = Counter()
+    for row in later:
+        held[row.doc_id] += row.stretch & ((1 << substring_dedup.COUNT_BITS) - 1)
+    assert held[0] == 0 and min(held[doc] for doc in range(1, 12)) > 2000
+    assert found.count() < 12 * 3000 / 10
+    want = brute.without_repeats(rows, 20)
+    got = substring_dedup.drop_repeats(docs, 20, texts=False).collect()
+    assert {tuple(r) for r in got} == {(doc, *want[(doc, t)]) for doc, t in rows}
 
 
 def test_word_names():
