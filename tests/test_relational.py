@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.aggregates import first_per_key, item_sets, observed
 from tidemill.operators.joins import cogroup_chunks, except_rows, map_side_join, pair_with_all
 from tidemill.operators.ordering import listed_order, zip_with_index
-from tidemill.operators.partitions import partition_batches, sorted_within
+from tidemill.operators.partitions import partition_batches, sorted_within, steps_back
 from tidemill.operators.sampling import cut_point, hash_fraction, hash_split, hash_take
 from tidemill.plans.bounds import checked_broadcast, measured_bytes
 from tidemill.plans.skew import (
@@ -94,10 +94,25 @@ def test_pair_with_all_refuses_a_large_side(spark, skewed):
 def test_cogroup_chunks(spark):
     left = spark.createDataFrame([(1, 3), (1, 1), (1, 2), (2, 9)], "k int, v int")
     right = spark.createDataFrame([(1, 7), (3, 8)], "k int, w int")
-    got = {(r.k, r.chunk): (r.left_items, r.right_items)
-           for r in cogroup_chunks(left, right, "k", "v", "w", chunk_rows=2).collect()}
-    assert got == {(1, 0): ([1, 2], [7]), (1, 1): ([3], None), (2, 0): ([9], None),
-                   (3, 0): (None, [8])}
+    got = cogroup_chunks(left, right, "k", "v", "w", chunk_rows=2)
+    assert {(r.k, r.side, r.chunk): r["items"] for r in got.collect()} == {
+        (1, "left", 0): [1, 2], (1, "left", 1): [3], (2, "left", 0): [9],
+        (1, "right", 0): [7], (3, "right", 0): [8]}
+
+
+def test_steps_back_counts_rows_out_of_order(spark):
+    rows = [(None, 5), (None, 9), (1, None), (1, 2), (1, 1), (3, 0), (2, 7), (2, 7), (2, None)]
+    frame = spark.createDataFrame(rows, "a long, b long").coalesce(1)
+    for size in (1, 2, 100):  # rows of a batch: the last one is carried on
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = steps_back(frame, ["a", "b"]).groupBy().sum("back", "rows").first()
+            sorted_too = steps_back(frame.sortWithinPartitions("a", "b"), ["a", "b"])
+            assert tuple(got) == (3, 9)
+            assert sorted_too.groupBy().sum("back").first()[0] == 0
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert steps_back(frame.where("a > 9"), ["a", "b"]).count() == 0
 
 
 def test_cogroup_function_gets_a_row_of_a_key(spark, monkeypatch):

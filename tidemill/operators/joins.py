@@ -66,13 +66,18 @@ def cogroup_chunks(
     chunk_rows: int = 100_000,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Per key the sorted values of both sides, in arrays of at most ``chunk_rows``.
+    """Per key the sorted values of both sides, in rows ``key, side, chunk, items`` of at most
+    ``chunk_rows`` values.
 
-    A key with fewer values gives one row (chunk 0), as a plain cogroup does; a hot key
-    gives several, so that no group has to fit into one task.
+    Each side has rows of its own, numbered from chunk 0, so a row means the same for every
+    key: a key that only one side has has no row of the other, and a hot key has more chunks, so
+    no group has to fit into one task.
     """
-    a = collect_chunks(left, [key], [left_value], left_value, chunk_rows, rows_per_task)
-    b = collect_chunks(right, [key], [right_value], right_value, chunk_rows, rows_per_task)
-    a = a.withColumnRenamed("items", "left_items")
-    b = b.withColumnRenamed("items", "right_items")
-    return a.join(b, [key, "chunk"], "full")
+    sides = [("left", left, left_value), ("right", right, right_value)]
+    a, b = (
+        collect_chunks(rows, [key], [value], value, chunk_rows, rows_per_task).select(
+            key, F.lit(side).alias("side"), "chunk", "items"
+        )
+        for side, rows, value in sides
+    )
+    return a.union(b)

@@ -5,27 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.partitions import by_rule, partition_sizes, sorted_within
+from tidemill.operators.partitions import by_rule, partition_sizes, sorted_within, steps_back
 from tidemill.registry import query
+from tidemill.session import shuffle_count
 
 
-def summed(sizes):
-    """How many partitions hold rows, and how many rows."""
-    return sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
-
-
-@query("repartition_counts", "select 4 as partitions, count(*)::bigint as rows from orders")
+@query("repartition_counts", "select 0::bigint as beyond, count(*)::bigint as rows from orders")
 def repartition_counts(t):
-    """Eight partitions, then four without a shuffle."""
-    eight = t.orders.select("o_orderkey").repartition(8)
-    sizes = summed(partition_sizes(eight.coalesce(4)))
-    return sizes.withColumn("partitions", F.col("partitions").cast("int"))
+    """As many partitions as the session shuffles into, then half of them without a shuffle;
+    ``beyond`` counts partitions past the half."""
+    count = shuffle_count(t.spark)
+    half = max(1, count // 2)
+    sizes = partition_sizes(t.orders.select("o_orderkey").repartition(count).coalesce(half))
+    return sizes.agg(
+        F.count_if(F.col("partition") >= half).alias("beyond"), F.sum("rows").alias("rows")
+    )
 
 
 @query("repartition_hash", "select o_custkey, 1::bigint as places, count(*) as rows from orders group by 1")
 def repartition_hash(t):
     """Equal keys are in one partition."""
-    placed = t.orders.select("o_custkey").repartition(8, "o_custkey")
+    placed = t.orders.select("o_custkey").repartition(shuffle_count(t.spark), "o_custkey")
     per_place = placed.groupBy("o_custkey", F.spark_partition_id().alias("place")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -40,7 +40,9 @@ def repartition_hash(t):
 )
 def repartition_range(t):
     """Partitions hold ranges that do not overlap; one row per partition is compared."""
-    ranged = t.orders.select("o_orderkey").repartitionByRange(8, "o_orderkey")
+    ranged = t.orders.select("o_orderkey").repartitionByRange(
+        shuffle_count(t.spark), "o_orderkey"
+    )
     spans = ranged.groupBy(F.spark_partition_id().alias("place")).agg(
         F.min("o_orderkey").alias("low"),
         F.max("o_orderkey").alias("high"),
@@ -69,14 +71,10 @@ def repartition_custom(t):
     "select 0::bigint as misplaced, count(*)::bigint as rows from orders",
 )
 def repartition_sorted(t):
-    """Each partition is in order: its rows in place order are its rows in key order."""
+    """Each partition is in order: no row is smaller than the one before it."""
     order = ["o_custkey", "o_orderkey"]
-    placed = sorted_within(t.orders.select(*order), 8, ["o_custkey"], order)
-    placed = placed.withColumn("place", F.monotonically_increasing_id())
-    after = Window.partitionBy(F.shiftright("place", 33)).orderBy("place")
-    keys = F.struct(*order)
-    steps = placed.select((F.lag(keys).over(after) > keys).alias("back"))
-    return steps.agg(
-        F.count_if(F.coalesce("back", F.lit(False))).alias("misplaced"),
-        F.count(F.lit(1)).alias("rows"),
+    count = shuffle_count(t.spark)
+    placed = sorted_within(t.orders.select(*order), count, ["o_custkey"], order)
+    return steps_back(placed, order).agg(
+        F.sum("back").alias("misplaced"), F.sum("rows").alias("rows")
     )

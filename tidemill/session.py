@@ -105,6 +105,13 @@ def size_shuffles(spark: SparkSession, root: str | None = None) -> None:
         spark.conf.set(INITIAL_PARTITIONS, str(wanted))
 
 
+def shuffle_count(spark: SparkSession) -> int:
+    """The partitions that a shuffle of this session starts with."""
+    return int(
+        spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
