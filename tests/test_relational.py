@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators.aggregates import first_per_key, item_sets, observed
-from tidemill.operators.joins import cogroup_chunks, except_rows, map_side_join, pair_with_all
+from tidemill.operators.joins import cogroup_beside, cogroup_chunks, except_rows, map_side_join, pair_with_all
 from tidemill.operators.ordering import listed_order, zip_with_index
 from tidemill.operators.partitions import partition_batches, sorted_within, steps_back
 from tidemill.operators.sampling import cut_point, hash_fraction, hash_split, hash_take
@@ -100,6 +100,23 @@ def test_cogroup_chunks(spark):
         (1, "right", 0): [7], (3, "right", 0): [8]}
 
 
+def test_cogroup_beside_joins_the_sides(spark):
+    left = spark.createDataFrame([(1, 3), (1, 1), (1, 2), (2, 9)], "k int, v int")
+    right = spark.createDataFrame([(1, 7), (3, 8)], "k int, w int")
+    got = {(r.k, r.chunk): (r.left_items, r.right_items)
+           for r in cogroup_beside(left, right, "k", "v", "w", chunk_rows=2).collect()}
+    assert got == {(1, 0): ([1, 2], [7]), (1, 1): ([3], None), (2, 0): ([9], None),
+                   (3, 0): (None, [8])}
+
+
+def test_cogroup_query_has_both_sides_in_a_row(spark, small):
+    from tidemill.registry import all_queries
+
+    got = all_queries()["cogroup"].build(small)
+    assert got.columns == ["key", "chunk", "left_items", "right_items"]
+    assert got.where("left_items is not null and right_items is not null").count() > 0
+
+
 def test_steps_back_counts_rows_out_of_order(spark):
     rows = [(None, 5), (None, 9), (1, None), (1, 2), (1, 1), (3, 0), (2, 7), (2, 7), (2, None)]
     frame = spark.createDataFrame(rows, "a long, b long").coalesce(1)

@@ -81,3 +81,25 @@ def cogroup_chunks(
         for side, rows, value in sides
     )
     return a.union(b)
+
+
+def cogroup_beside(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_value: str,
+    right_value: str,
+    chunk_rows: int = 100_000,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Per key the sorted values of both sides beside each other, in arrays of at most
+    ``chunk_rows``: rows ``key, chunk, left_items, right_items``.
+
+    A key with fewer values gives one row (chunk 0), as a plain cogroup does; a hot key
+    gives several, so that no group has to fit into one task.
+    """
+    a = collect_chunks(left, [key], [left_value], left_value, chunk_rows, rows_per_task)
+    b = collect_chunks(right, [key], [right_value], right_value, chunk_rows, rows_per_task)
+    a = a.withColumnRenamed("items", "left_items")
+    b = b.withColumnRenamed("items", "right_items")
+    return a.join(b, [key, "chunk"], "full")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemill.operators.joins import cogroup_chunks, map_side_join, pair_with_all
+from tidemill.operators.joins import cogroup_beside, map_side_join, pair_with_all
 from tidemill.plans.bounds import checked_broadcast
 from tidemill.plans.skew import join_full_split, join_hot_split, join_salted
 from tidemill.queries.aggregates import as_text
@@ -148,19 +148,23 @@ def hot_split(t):
 
 @query(
     "cogroup",
-    """with both_sides as (
-         select o_custkey as key, 'left' as side, o_orderkey as v from orders
-         union all select user_id, 'right', event_id from events),
-       placed as (select *, row_number() over (partition by key, side order by v) as rn
-         from both_sides)
-       select key, side, (rn - 1) // 100000 as chunk,
-         array_to_string(list(v order by rn), ',') as items from placed group by all""",
+    """with a as (select key, (rn - 1) // 20 as chunk, list(v order by rn) as left_items from
+         (select o_custkey as key, o_orderkey as v,
+          row_number() over (partition by o_custkey order by o_orderkey) as rn from orders)
+         group by 1, 2),
+       b as (select key, (rn - 1) // 20 as chunk, list(v order by rn) as right_items from
+         (select user_id as key, event_id as v,
+          row_number() over (partition by user_id order by event_id) as rn from events)
+         group by 1, 2)
+       select coalesce(a.key, b.key) as key, coalesce(a.chunk, b.chunk) as chunk,
+         array_to_string(left_items, ',') as left_items,
+         array_to_string(right_items, ',') as right_items from a full join b on a.key = b.key and a.chunk = b.chunk""",
 )
 def cogroup(t):
     orders = t.orders.select(F.col("o_custkey").alias("key"), "o_orderkey")
     events = t.events.select(F.col("user_id").alias("key"), "event_id")
-    both = cogroup_chunks(orders, events, "key", "o_orderkey", "event_id")
-    return both.withColumn("items", as_text("items"))
+    both = cogroup_beside(orders, events, "key", "o_orderkey", "event_id", chunk_rows=20)
+    return both.withColumns({c: as_text(c) for c in ("left_items", "right_items")})
 
 
 @query(
