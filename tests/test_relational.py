@@ -117,6 +117,13 @@ def test_cogroup_query_has_both_sides_in_a_row(spark, small):
     assert got.where("left_items is not null and right_items is not null").count() > 0
 
 
+def test_repartition_counts_names_the_partitions(small):
+    from tidemill.registry import all_queries
+
+    got = all_queries()["repartition_counts"].build(small)
+    assert [tuple(r) for r in got.collect()] == [(4, small.orders.count())]
+
+
 def test_steps_back_counts_rows_out_of_order(spark):
     rows = [(None, 5), (None, 9), (1, None), (1, 2), (1, 1), (3, 0), (2, 7), (2, 7), (2, None)]
     frame = spark.createDataFrame(rows, "a long, b long").coalesce(1)
