@@ -92,6 +92,18 @@ def test_state_keeps_large_integers_and_other_key_types(spark, tmp_path):
     assert got == {("a", 2, 9007199254740993), ("b", 1, 0)}
 
 
+def test_totals_are_kept_per_bucket_and_added_up_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "in")
+    rows = [(n % 50 or None, 1) for n in range(4000)]
+    spark.createDataFrame(rows, "k long, v long").coalesce(1).write.parquet(path)
+    from tidemill.streaming import runner
+
+    read = spark.readStream.schema("k long, v long").parquet(path)
+    states = runner.updated(state.running_totals(read, "k", "v", buckets=4, most=20), ["k", skew.SALT], "t").collect()
+    assert {r[skew.SALT] for r in states} == {0, 1, 2, 3}  # not a state for every key
+    assert sorted((r.k or 0, r.cnt, r.total) for r in states) == [(n, 80, 80) for n in range(50)]
+
+
 def test_upsert_of_a_missing_key(spark):
     base = spark.createDataFrame([(None, "old"), (1, "one")], "k int, v string")
     changes = spark.createDataFrame([(None, "new", 1)], "k int, v string, seq int")

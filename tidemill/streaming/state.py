@@ -6,9 +6,13 @@ task and batch.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -38,34 +42,84 @@ def windowed(
     return grouped.select(start, *keys, *names)
 
 
-def running_totals(df: DataFrame, key: str, value: str, salts: int = 8) -> DataFrame:
-    """Running count and sum per key and salt, kept by the function itself.
+def _sums(table: pa.Table, keys: list[str]) -> pa.Table:
+    added = table.group_by(keys).aggregate([("cnt", "sum"), ("total", "sum")])
+    return added.rename_columns([c.removesuffix("_sum") for c in added.column_names])
 
-    The function sees every row of its group, so a key is split over ``salts`` states;
-    ``merged_totals`` adds them up.
-    """
+
+def _packed(table: pa.Table) -> bytes:
+    out = io.BytesIO()
+    with pa.ipc.new_stream(out, table.schema) as writer:
+        writer.write_table(table)
+    return out.getvalue()
+
+
+def _parts(most: int):
+    """Rows ``bucket, key, cnt, total`` of a task added up, one cell of sums per bucket."""
+
+    def cells(held: pa.Table) -> pa.RecordBatch:
+        held = held.combine_chunks().sort_by("bucket")
+        places = held["bucket"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, np.diff(places) != 0])
+        sums = held.select(["key", "cnt", "total"])
+        packed = [_packed(sums.slice(a, b - a)) for a, b in zip(starts, np.r_[starts[1:], len(places)])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(places[starts], pa.int32()), pa.array(packed, pa.binary())], ["bucket", "part"]
+        )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            now = _sums(pa.Table.from_batches([batch]), ["bucket", "key"])
+            held = now if held is None else _sums(pa.concat_tables([held, now]), ["bucket", "key"])
+            if held.num_rows > most:
+                yield cells(held)
+                held = None
+        if held is not None:
+            yield cells(held)
+
+    return task
+
+
+def running_totals(df: DataFrame, key: str, value: str, buckets: int = 512, most: int = 200_000) -> DataFrame:
+    """Running count and sum per key, kept by the function itself; ``merged_totals`` takes them.
+
+    Rows are added up in the task that reads them, ``most`` keys at a time, so a hot key reaches
+    the state as a row or two per task. A call of the function costs milliseconds, so a state holds
+    a bucket of keys (column SALT; all of a key are in one), and a call adds a whole bucket up."""
 
     def update(
         group: tuple, frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        count, total = state.get if state.exists else (0, 0)
-        for frame in frames:
-            count += len(frame)
-            total += int(frame[value].sum())  # integers: NULLs were made 0 before
-        state.update((count, total))
-        yield pd.DataFrame({key: [group[0]], SALT: [group[1]], "cnt": [count], "total": [total]})
-
-    columns = "cnt bigint, total bigint"
-    rows = df.select(key, F.coalesce(value, F.lit(0)).cast("bigint").alias(value))
-    salted = rows.withColumn(SALT, row_salt(rows, salts))
+        came = [pa.ipc.open_stream(part).read_all() for frame in frames for part in frame["part"]]
+        new = _sums(pa.concat_tables(came), ["key"])
+        whole = new
+        if state.exists:
+            whole = _sums(pa.concat_tables([pa.ipc.open_stream(state.get[0]).read_all(), new]), ["key"])
+        state.update((_packed(whole),))
+        changed = whole.filter(pc.is_in(whole["key"], new["key"].combine_chunks()))
+        out = changed.to_pandas(integer_object_nulls=True)
+        out.insert(1, SALT, group[0])
+        yield out
+
     kind = df.schema[key].dataType.simpleString()
-    return salted.groupBy(key, SALT).applyInPandasWithState(
+    rows = df.select(
+        F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"),
+        F.col(key).alias("key"),
+        F.lit(1).cast("bigint").alias("cnt"),
+        F.coalesce(F.col(value).cast("bigint"), F.lit(0).cast("bigint")).alias("total"),
+    )
+    parts = rows.mapInArrow(_parts(most), "bucket int, part binary")
+    totals = parts.groupBy("bucket").applyInPandasWithState(
         update,
-        f"{key} {kind}, {SALT} int, {columns}",
-        columns,
+        f"key {kind}, {SALT} int, cnt bigint, total bigint",
+        "sums binary",
         "update",
         GroupStateTimeout.NoTimeout,
     )
+    return totals.withColumnRenamed("key", key)
 
 
 def merged_totals(states: DataFrame, key: str) -> DataFrame:
