@@ -201,3 +201,21 @@ def test_workers_get_the_package(tmp_path):
     counts = [line for line in done.stdout.splitlines() if line.split()[0] in code]
     assert len(counts) == 3, done.stderr[-2000:]
     assert not list((tmp_path / "shared").glob("run-*"))
+
+
+def test_state_partitions_follow_the_input_on_a_cluster(spark, tmp_path):
+    from types import SimpleNamespace
+
+    from tidemill.session import STATE_PARTITIONS, size_states
+    from tidemill.streaming.runner import PARTITIONS, stream_conf
+
+    values = {PARTITIONS: "200"}
+    conf = SimpleNamespace(get=lambda k, d=None: values.get(k, d), set=values.__setitem__, unset=values.pop)
+    context = SimpleNamespace(master="spark://far:7077", defaultParallelism=12)
+    cluster = SimpleNamespace(sparkContext=context, conf=conf, _jvm=spark._jvm, _jsc=spark._jsc)
+    size_states(cluster, str(tmp_path))
+    for sized, given, wanted in ((values[STATE_PARTITIONS], None, "12"), ("900", None, "200"), ("900", 7, "7")):
+        values[STATE_PARTITIONS] = sized
+        with stream_conf(cluster, given):
+            assert values[PARTITIONS] == wanted
+        assert values[PARTITIONS] == "200"
