@@ -165,6 +165,33 @@ def test_cogroup_function_gets_a_row_of_a_key(spark, monkeypatch):
         assert side.groupBy("key").count().where("count > 1").count() == 0
 
 
+def test_cogroup_takes_keys_by_the_bucket(spark, tmp_path):
+    from tidemill.operators.joins import cogroup_apply
+    from tidemill.queries.checks import orders_and_events
+
+    calls = str(tmp_path)
+
+    def noted(orders, events):
+        import uuid
+
+        open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+        return orders_and_events(orders, events)
+
+    large = 2**62 + 1  # would lose digits as a float beside a missing key
+    left = spark.range(600).selectExpr("id as key", "id as orders", "if(id % 3 = 0, null, id * 0.5d) as spent")
+    left = left.union(spark.createDataFrame([(None, 7, 1.0), (large, 1, float("nan"))], "key long, orders long, spent double"))
+    right = spark.range(400, 1000).selectExpr("id as key", "1L as events")
+    right = right.union(spark.createDataFrame([(None, 5), (large, 2)], "key long, events long"))
+    schema = "key long, orders long, events long, spent double"
+    got = {r.key: tuple(r)[1:] for r in cogroup_apply(left, right, "key", noted, schema, 20).collect()}
+    assert len(got) == 1002 and len(list(tmp_path.iterdir())) <= 20
+    assert got[None] == (7, 5, 1.0) and got[large] == (1, 2, 0.0)
+    assert got[1] == (1, 0, 0.5) and got[3] == (3, 0, 0.0) and got[500] == (500, 1, 250.0) and got[999] == (0, 1, 0.0)
+    one_side = cogroup_apply(left.where("key < 0"), right, "key", orders_and_events, schema, 3)
+    assert one_side.count() == 602
+    assert cogroup_apply(left, right.where("key < 0"), "key", orders_and_events, schema).count() == 602
+
+
 def test_salted_aggregate_equals_plain(skewed):
     left = skewed[0]
     spec = {"n": ("count", F.col("a")), "s": ("sum", F.col("a")), "m": ("avg", F.col("a")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +13,10 @@ from tidemill.plans.bounds import (
     null_safe,
 )
 from tidemill.plans.ordered import ROWS_PER_TASK, collect_chunks
+from tidemill.session import shuffle_count
+
+BUCKET = "_bucket"
+CALLS_PER_TASK = 16
 
 
 def map_side_join(
@@ -50,11 +55,23 @@ def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(distinct, condition, "left_anti")
 
 
-def cogroup_apply(left: DataFrame, right: DataFrame, key: str, function, schema: str) -> DataFrame:
-    """``function(key, left rows, right rows)`` with pandas frames, once per key that either
-    side has. Both groups of a key go to one task: where a key may be large, pass totals per
-    key (they combine before the shuffle) or use ``cogroup_chunks``."""
-    return left.groupBy(key).cogroup(right.groupBy(key)).applyInPandas(function, schema)
+def cogroup_apply(
+    left: DataFrame, right: DataFrame, key: str, function, schema: str, buckets: int | None = None
+) -> DataFrame:
+    """``function(left rows, right rows)`` with Arrow tables that hold all rows of the keys in a
+    bucket, of both sides; a key that only one side has is there too, a missing key is one as well.
+
+    A call costs milliseconds, so keys go by the bucket, of which there are ``CALLS_PER_TASK`` for
+    every partition of a shuffle unless given. All groups of a bucket go to one task: where a key may
+    be large, pass totals per key (they combine before the shuffle) or use ``cogroup_chunks``."""
+    count = buckets or CALLS_PER_TASK * shuffle_count(left.sparkSession)
+    bucket = F.pmod(F.xxhash64(key), F.lit(count)).alias(BUCKET)
+    a, b = (side.select(bucket, *side.columns).groupBy(BUCKET) for side in (left, right))
+
+    def whole(left_rows: pa.Table, right_rows: pa.Table) -> pa.Table:
+        return function(left_rows.drop_columns(BUCKET), right_rows.drop_columns(BUCKET))
+
+    return a.cogroup(b).applyInArrow(whole, schema)
 
 
 def cogroup_chunks(

@@ -311,7 +311,7 @@ def agg_summary(t):
 )
 def cogroup_function(t):
     """Both groups of a key in one call of a function. Each side is added up by key before, so
-    a call gets one row of a side at most, however many rows the key has."""
+    a call gets one row of a key and side at most, however many rows the key has."""
     from tidemill.operators.joins import cogroup_apply
 
     orders = t.orders.groupBy(F.col("o_custkey").alias("key")).agg(
@@ -324,14 +324,20 @@ def cogroup_function(t):
     return both.withColumn("spent", F.round("spent", 2))
 
 
-def orders_and_events(key, orders, events):
-    import pandas as pd
+def orders_and_events(orders, events):
+    """A row per key of either side."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
 
-    return pd.DataFrame(
-        {
-            "key": [key[0]],
-            "orders": [int(orders["orders"].sum())],
-            "events": [int(events["events"].sum())],
-            "spent": [float(orders["spent"].sum())],
-        }
-    )
+    def column(rows, name, kind):
+        here = rows[name] if name in rows.column_names else pa.nulls(rows.num_rows)
+        some = pc.fill_null(here.cast(kind), 0)
+        return pc.if_else(pc.is_nan(some), 0.0, some) if kind == pa.float64() else some
+
+    kinds = {"orders": pa.int64(), "events": pa.int64(), "spent": pa.float64()}
+    sides = [
+        pa.table({"key": rows["key"], **{n: column(rows, n, kind) for n, kind in kinds.items()}})
+        for rows in (orders, events)
+    ]
+    both = pa.concat_tables(sides).group_by("key").aggregate([(n, "sum") for n in kinds])
+    return both.rename_columns([n.removesuffix("_sum") for n in both.column_names])
