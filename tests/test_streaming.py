@@ -179,6 +179,40 @@ def test_dedup_over_batches(spark, small, split_events):
         assert runner.appended(unique, "d").count() == small.events.count()
 
 
+def test_copies_go_before_the_state(spark, tmp_path):
+    """Few copies of a hot key reach the one state, and one that is too late hides none in time."""
+    hot = spark.range(6000, numPartitions=2).selectExpr(
+        "if(id < 5000, -1, id) as event_id", "timestamp'2024-01-10 00:00:00' as ts", "if(id < 5000, 'hot', null) as event_type")
+    hot = hot.union(hot.where("event_id > 0").limit(500))
+    hot.repartition(2).write.parquet(str(tmp_path / "in"))
+    for keys, moment in ((["event_id", "ts"], None), (["event_id"], "ts")):
+        read = streams.file_stream(spark, "parquet", str(tmp_path / "in"), "event_id long, ts timestamp, event_type string")
+        once = state.unique(read.withWatermark("ts", "1 day"), keys, moment)
+        out, reports = str(tmp_path / f"out-{moment}"), []
+        with runner.stream_conf(spark):
+            writer = once.writeStream.option("checkpointLocation", str(tmp_path / f"kept-{moment}"))
+            query = runner.finish(writer.trigger(availableNow=True).start(out))
+            reports = [p for p in query.recentProgress if p.numInputRows]
+        assert len(reports[0].stateOperators) == 1
+        dropped = sum(p.stateOperators[0].customMetrics["numDroppedDuplicateRows"] for p in reports)
+        assert dropped <= 520  # of 5499 copies
+        got = spark.read.parquet(out)
+        assert got.count() == got.select("event_id").distinct().count() == 1001
+
+    def put(name, rows):
+        spark.createDataFrame(rows, "event_id long, ts string").selectExpr(
+            "event_id", "timestamp(ts) as ts").coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+    put("late", [(1, "2024-03-01")])
+    for again in ([], [(2, "2024-01-01"), (2, "2024-03-02"), (3, "2024-01-01"), (4, None), (4, None)]):
+        if again:
+            put("late", again)
+        read = streams.file_stream(spark, "parquet", str(tmp_path / "late"), "event_id long, ts timestamp")
+        once = state.unique(read.withWatermark("ts", "1 day"), ["event_id"], "ts")
+        runner.run_to_files(once, str(tmp_path / "out-late"), str(tmp_path / "kept-late"))
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "out-late")).collect()) == [1, 2, 4]
+
+
 def test_interval_join_equals_the_plain_condition(spark, small):
     orders = small.orders.select(F.col("o_orderkey").alias("key"), "o_orderdate")
     lines = small.lineitem.select(F.col("l_orderkey").alias("key"), "l_shipdate", "l_quantity")

@@ -342,7 +342,8 @@ def stream_watermark(t):
 def stream_dedup(t):
     """The stream united with itself; one row is kept of each (id, event time)."""
     once, again = timed(t), streams.event_time(t.stream("events"), "ts", WHOLE_SPAN)
-    unique = state.unique(once.union(again), ["event_id", "ts"])
+    both = once.union(again).select("event_id", "ts", "event_type")
+    unique = state.unique(both, ["event_id", "ts"])
     stamp = F.col("ts").cast("timestamp_ntz").alias("ts")
     return runner.appended(unique.select("event_id", stamp, "event_type"), "dedup")
 
@@ -350,7 +351,8 @@ def stream_dedup(t):
 @query("stream_dedup_within", "select event_id, event_type from events")
 def stream_dedup_within(t):
     once, again = timed(t), streams.event_time(t.stream("events"), "ts", WHOLE_SPAN)
-    unique = state.unique(once.union(again), ["event_id"], within_watermark=True)
+    both = once.union(again).select("event_id", "ts", "event_type")
+    unique = state.unique(both, ["event_id"], "ts")
     return runner.appended(unique.select("event_id", "event_type"), "dedup-within")
 
 

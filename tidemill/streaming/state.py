@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemill.plans.skew import SALT, row_salt
+from tidemill.plans.skew import SALT
 
 BLOCK = 10_000
 
@@ -127,18 +127,50 @@ def merged_totals(states: DataFrame, key: str) -> DataFrame:
     return states.groupBy(key).agg(F.sum("cnt").alias("cnt"), F.sum("total").alias("total"))
 
 
+def _firsts(keys: list[str], moment: str | None, most_rows: int, most_bytes: int):
+    """The first row of each key among the rows that a task has at hand, or the latest by ``moment``."""
+
+    def firsts(rows: pa.Table) -> list[pa.RecordBatch]:
+        if moment:
+            rows = rows.take(pc.sort_indices(rows, [(moment, "descending")], null_placement="at_end"))
+        place = pa.array(np.arange(rows.num_rows))
+        named = pa.table([rows[k] for k in keys] + [place], names=[*map(str, range(len(keys))), "place"])
+        kept = named.group_by([*map(str, range(len(keys)))]).aggregate([("place", "min")])["place_min"]
+        if len(kept) < rows.num_rows:
+            rows = rows.take(kept.combine_chunks().sort())
+        return rows.combine_chunks().to_batches(max_chunksize=BLOCK)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count, size = [], 0, 0
+        for batch in batches:
+            held.append(batch)
+            count, size = count + batch.num_rows, size + batch.nbytes
+            if count >= most_rows or size >= most_bytes:
+                yield from firsts(pa.Table.from_batches(held))
+                held, count, size = [], 0, 0
+        if count:
+            yield from firsts(pa.Table.from_batches(held))
+
+    return task
+
+
 def unique(
-    df: DataFrame, keys: list[str], salts: int = 8, within_watermark: bool = False
+    df: DataFrame,
+    keys: list[str],
+    moment: str | None = None,
+    most_rows: int = 200_000,
+    most_bytes: int = 64 * 1024 * 1024,
 ) -> DataFrame:
-    """One row per key. Either the watermark column is one of the keys, or copies count as
-    such only within the watermark's delay.
-
-    A stream does not drop copies before its shuffle. Copies are dropped per salt first,
-    so that of a key with any number of copies at most ``salts`` meet in one task.
-    """
-    drop = DataFrame.dropDuplicatesWithinWatermark if within_watermark else DataFrame.dropDuplicates
-    per_salt = drop(df.withColumn(SALT, row_salt(df, salts)), [*keys, SALT])
-    return drop(per_salt.drop(SALT), keys)
+    """One row per key. Either the watermark column is one of the keys, or it is ``moment`` and
+    copies count as such only within the watermark's delay.
+
+    A stream does not drop copies before its shuffle, so a task drops those among the rows it has
+    at hand (``most_rows`` or ``most_bytes``): a key with any number of copies reaches its state
+    as a row for each of these portions. Of copies with other times the latest goes on, for an
+    earlier one may be too late for the watermark. Keys are plain values, no arrays or structs."""
+    firsts = _firsts(keys, moment, most_rows, most_bytes)
+    fewer = df.mapInArrow(firsts, df.schema)  # the schema names the watermark as well
+    return fewer.dropDuplicatesWithinWatermark(keys) if moment else fewer.dropDuplicates(keys)
 
 
 def _bucket(moment: Column, size: int) -> Column:
