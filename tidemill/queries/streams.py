@@ -187,7 +187,8 @@ def stream_stream_join(t):
     """Order lines shipped within 90 days, both sides streams of several micro-batches."""
     shipped = F.col("l_shipdate").cast("timestamp_ntz").alias("l_shipdate")
     columns = ["key", "o_totalprice", "l_linenumber", "l_quantity", shipped]
-    build = lambda a, b: state.interval_join(a, b, "key", "o_orderdate", "l_shipdate", 90)
+    buckets = state.key_buckets(t.spark)
+    build = lambda a, b: state.interval_join(a, b, "key", "o_orderdate", "l_shipdate", 90, buckets)
     return joined_arrivals(t, lambda a, b: build(a, b).select(*columns), "joined")
 
 
@@ -205,9 +206,11 @@ def stream_left_outer(t):
     """Orders with their lines of 90 days; orders without a line when their time is over."""
     stamps = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("o_orderdate", "l_shipdate")]
 
+    buckets = state.key_buckets(t.spark)
+
     def build(orders, lines):
         joined = state.outer_interval_join(
-            orders.drop("o_totalprice"), lines.drop("l_quantity"), "key", "o_orderdate", "l_shipdate", 90
+            orders.drop("o_totalprice"), lines.drop("l_quantity"), "key", "o_orderdate", "l_shipdate", 90, buckets
         )
         return joined.select("key", *stamps, "l_linenumber")
 

@@ -13,11 +13,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemill.plans.skew import SALT
+from tidemill.session import STATE_PARTITIONS
+from tidemill.streaming import intervals
 
 BLOCK = 10_000
 
@@ -199,24 +201,50 @@ def _within(left: DataFrame, right: DataFrame, key: str, left_time: str, right_t
     )
 
 
+KEY_BUCKETS = 16
+
+
+def key_buckets(spark: SparkSession, each: int = 8) -> int:
+    """Buckets of keys for the state of a join: so many for each partition of the state."""
+    cores = spark.sparkContext.defaultParallelism
+    return each * int(spark.conf.get(STATE_PARTITIONS, str(cores)))
+
+
 def interval_join(
-    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_time: str,
+    right_time: str,
+    days: int,
+    buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
     """Rows with equal keys and ``left_time <= right_time <= left_time + days``.
 
     The day span is cut into buckets that join the key, so that a hot key is spread over
-    time: a right row has one bucket, a left row one copy per bucket it can reach.
+    time: a right row has one bucket, a left row one copy per bucket it can reach. Two streams
+    keep a state per bucket of time and of keys (``intervals``); the number of the latter stays
+    with the checkpoint. Rows later than the watermark take no part.
     """
+    if intervals.fits(left, right, key, left_time, right_time):
+        return intervals.join(left, right, key, left_time, right_time, days, False, buckets)
     copies = _reach(left, left_time, days)
     joined = _within(copies, right, key, left_time, right_time, days, "inner")
     return joined.drop("_bucket", "_right_bucket", "_key")
 
 
 def outer_interval_join(
-    left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, days: int
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    left_time: str,
+    right_time: str,
+    days: int,
+    buckets: int = KEY_BUCKETS,
 ) -> DataFrame:
     """Left outer form; a left row without a match comes out once the watermark has
-    passed its interval.
+    passed its interval. Two streams keep one state for matches and for missing matches
+    (``intervals``). What follows is the form for other frames, with two joins.
 
     Each copy of a left row reports when it stayed alone, so a hot key is spread over time
     here as well. A second state notes per left row which of its copies have reported: a row
@@ -224,6 +252,8 @@ def outer_interval_join(
     The side that only asks for a match holds keys and times of the right rows, no more.
     A left row without a time has no interval and comes out never; one without a key does.
     """
+    if intervals.fits(left, right, key, left_time, right_time, True):
+        return intervals.join(left, right, key, left_time, right_time, days, True, buckets)
     size = max(1, days // 2)
     last = F.date_add(F.col(left_time).cast("date"), days)
     copies = (_bucket(last, size) - _bucket(F.col(left_time), size) + 1).cast("int")
