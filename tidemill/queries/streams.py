@@ -513,10 +513,10 @@ def stream_sessions(t):
         found = timers.snapshot(t.spark, checkpoint, "open")
         kept.append(materialize(found.withColumn("run", F.lit(run)), "open"))
 
-    gap, delay = 6 * 3600, "2 hours"
+    gap, delay, buckets = 6 * 3600, "2 hours", state.key_buckets(t.spark)
     closed = settled(
         t,
-        lambda e: timers.sessions(e, "user_id", "ts", F.col("value"), gap, delay),
+        lambda e: timers.sessions(e, "user_id", "ts", F.col("value"), gap, delay, buckets),
         "sessions",
         look,
     ).withColumn("run", F.lit(-1))

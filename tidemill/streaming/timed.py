@@ -21,79 +21,108 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 MILLI = 1_000  # microseconds
 SECOND = 1_000_000
+SESSION = "key bigint, start bigint, stop bigint, cnt bigint, total bigint"
+COLUMNS = ("key", "start", "stop", "cnt", "total")
+
+
+def stretches(gap: int, key, start, stop, cnt, total) -> tuple[np.ndarray, ...]:
+    """Parts of several keys in arrays: those of a key no further apart than ``gap`` become one."""
+    order = np.lexsort((start, key))
+    key, start, stop, cnt, total = (np.asarray(c)[order] for c in (key, start, stop, cnt, total))
+    new = np.r_[True, key[1:] != key[:-1]]
+    # the latest stop so far of the same key: a later key's ranks are above all of an earlier one's
+    moments, rank = np.unique(stop, return_inverse=True)
+    above = (np.cumsum(new) - 1) * len(moments)
+    latest = moments[np.maximum.accumulate(rank + above) - above]
+    new[1:] |= start[1:] > latest[:-1] + gap
+    first = np.flatnonzero(new)
+    sums = [np.add.reduceat(c, first) for c in (cnt, total)]
+    return key[first], start[first], np.maximum.reduceat(stop, first), *sums
 
 
 def merged(parts: list[tuple]) -> list[tuple]:
-    """Tuples (start, stop, gap, cnt, total): those no further apart than ``gap`` become one."""
-    out: list[tuple] = []
-    for start, stop, gap, cnt, total in sorted(parts):
-        if out and start <= out[-1][1] + gap:
-            low, high, _, n, whole = out[-1]
-            out[-1] = (low, max(high, stop), gap, n + cnt, whole + total)
-        else:
-            out.append((start, stop, gap, cnt, total))
-    return out
+    """Tuples (start, stop, gap, cnt, total) of one key: those no further apart than ``gap`` become one."""
+    if not parts:
+        return []
+    start, stop, (gap, *_), cnt, total = zip(*parts)
+    _, start, stop, cnt, total = (c.tolist() for c in stretches(gap, [0] * len(parts), start, stop, cnt, total))
+    return list(zip(start, stop, [gap] * len(start), cnt, total))
+
 
+def _stretches(gap: int, most: int):
+    """Stretches without a pause longer than ``gap`` of each key, among the rows that a task has at
+    hand, ``most`` at a time."""
 
-def _stretches(gap: int):
-    """Per key and batch of rows its stretches without a pause longer than ``gap``."""
+    def told(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        bucket, key, at, amount = (c.to_numpy() for c in pa.Table.from_batches(batches).columns)
+        found = stretches(gap, key, at, at, np.ones(len(at), np.int64), amount)
+        keys, place = np.unique(key, return_index=True)
+        own = bucket[place[np.searchsorted(keys, found[0])]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (own, *found)], ["bucket", *COLUMNS])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
-            frame = pa.Table.from_batches([batch]).to_pandas().sort_values(["key", "at"])
-            if frame.empty:
-                continue
-            new = (frame["key"] != frame["key"].shift()) | (frame["at"] - frame["at"].shift() > gap)
-            parts = frame.groupby(new.cumsum(), sort=False).agg(
-                key=("key", "first"), start=("at", "min"), stop=("at", "max"),
-                cnt=("at", "size"), total=("amount", "sum"),
-            )
-            yield pa.RecordBatch.from_pandas(parts, preserve_index=False)
+            held.append(batch)
+            count += batch.num_rows
+            if count >= most:
+                yield told(held)
+                held, count = [], 0
+        if count:
+            yield told(held)
 
     return task
 
 
+def _sessions_in(part: bytes) -> list[np.ndarray]:
+    return [c.to_numpy() for c in pa.ipc.open_stream(part).read_all().columns]
+
+
 class Sessions(StatefulProcessor):
-    """State per key: its open sessions, a map from the first moment to (last moment, rows,
-    total). Parts may come in any order; a session ends when the watermark is ``gap`` past its
-    last moment."""
+    """State per bucket of keys: the open sessions of all its keys in one cell of Arrow, so a call
+    takes them and gives them back at once. Parts may come in any order; a session ends when
+    the watermark is ``gap`` past its last moment."""
 
     def __init__(self, gap: int):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.open = handle.getMapState("open", "start bigint", "stop bigint, cnt bigint, total bigint")
+        self.open = handle.getValueState("open", "part binary")
 
-    def _ends(self, stop: int) -> int:
+    def _ends(self, stop: np.ndarray) -> np.ndarray:
         return -(-(stop + self.gap) // MILLI)
 
+    def _keep(self, columns, after: int = -1) -> None:
+        """Hold these; a timer fires when the watermark is above it, and the next one is later than ``after``."""
+        table = pa.table([pa.array(c) for c in columns], list(COLUMNS))
+        out = pa.BufferOutputStream()
+        with pa.ipc.new_stream(out, table.schema) as writer:
+            writer.write_table(table)
+        self.open.update((out.getvalue().to_pybytes(),))
+        self.handle.registerTimer(max(int(self._ends(columns[2]).min()) - 1, after + 1))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for frame in rows:
-            held = {start[0]: value for start, value in self.open.iterator()}
-            parts = [(start, v[0], self.gap, v[1], v[2]) for start, v in held.items()]
-            names = ("start", "stop", "cnt", "total")
-            for start, stop, cnt, total in zip(*(frame[n].tolist() for n in names)):
-                parts.append((start, stop, self.gap, cnt, total))
-            after = {start: (stop, cnt, total) for start, stop, _, cnt, total in merged(parts)}
-            for start in held.keys() - after.keys():
-                self.open.removeKey((start,))
-            for start, value in after.items():
-                if held.get(start) != value:
-                    self.open.updateValue((start,), value)
-                    self.handle.registerTimer(self._ends(value[0]))
+        parts = [[frame[c].to_numpy() for c in COLUMNS] for frame in rows if len(frame)]
+        if self.open.exists():
+            parts.append(_sessions_in(self.open.get()[0]))
+        if parts:
+            self._keep(stretches(self.gap, *(np.concatenate(c) for c in zip(*parts))))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """A timer of a session that went on since then finds it too young, and does nothing."""
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        done = [(s[0], *v) for s, v in self.open.iterator() if self._ends(v[0]) <= now]
-        for row in done:
-            self.open.removeKey((row[0],))
-        if done:
-            out = pd.DataFrame(done, columns=["start", "stop", "cnt", "total"])
-            out.insert(0, "key", [key[0]] * len(done))
-            yield out
+        """All sessions that the watermark ends. A timer of a session that went on since then, or
+        was ended by another timer, finds none."""
+        if not self.open.exists():
+            return
+        columns = _sessions_in(self.open.get()[0])
+        done = self._ends(columns[2]) <= timerValues.getCurrentWatermarkInMs()
+        if done.all():
+            self.open.clear()
+        else:
+            self._keep([c[~done] for c in columns], expiredTimerInfo.getExpiryTimeInMs())
+        if done.any():
+            yield pd.DataFrame(dict(zip(COLUMNS, (c[done] for c in columns))))
 
 
 def _by_value(call):
@@ -106,24 +135,22 @@ def _by_value(call):
         cloudpickle.unregister_pickle_by_value(module)
 
 
-SESSION = "key bigint, start bigint, stop bigint, cnt bigint, total bigint"
-
-
 def sessions(
-    df: DataFrame, key: str, moment: str, amount: Column, gap_seconds: int, delay: str
+    df: DataFrame, key: str, moment: str, amount: Column, gap_seconds: int, delay: str, buckets: int = 16, most: int = 200_000
 ) -> DataFrame:
     """Closed sessions of each key: ``key, start, stop`` (zone-less) ``cnt, total``. A row may come
-    ``delay`` late."""
+    ``delay`` late. The number of ``buckets`` of keys, which are the states, stays with the checkpoint."""
     gap = gap_seconds * SECOND
     rows = df.select(
+        F.pmod(F.xxhash64(F.col(key).cast("bigint")), F.lit(buckets)).cast("int").alias("bucket"),
         F.col(key).cast("bigint").alias("key"),
         F.unix_micros(F.col(moment).cast("timestamp")).alias("at"),
         F.coalesce(amount.cast("bigint"), F.lit(0)).alias("amount"),
     ).where("key is not null and at is not null")
-    parts = rows.mapInArrow(_stretches(gap), SESSION)
+    parts = rows.mapInArrow(_stretches(gap, most), f"bucket int, {SESSION}")
     timed = parts.withColumn("moment", F.timestamp_micros("stop")).withWatermark("moment", delay)
     closed = _by_value(
-        lambda: timed.groupBy("key").transformWithStateInPandas(Sessions(gap), SESSION, "append", "EventTime")
+        lambda: timed.groupBy("bucket").transformWithStateInPandas(Sessions(gap), SESSION, "append", "EventTime")
     )
     return closed.withColumns({c: zoneless(c) for c in ("start", "stop")})
 
@@ -136,11 +163,21 @@ def snapshot(
     spark: SparkSession, checkpoint: str, name: str, batch_id: int | None = None
 ) -> DataFrame:
     """State ``name`` of a checkpoint's stateful operator as a table, one row per entry: the key's
-    and the entry's columns. As it is after ``batch_id``, or after the last batch."""
+    and the entry's columns; of sessions, which stand in cells, a row per session. As it is after
+    ``batch_id``, or after the last batch."""
     reader = spark.read.format("statestore").option("stateVarName", name)
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    return reader.load(checkpoint).select("key.*", "user_map_key.*", "user_map_value.*")
+    found = reader.load(checkpoint)
+    if "user_map_key" in found.columns:
+        return found.select("key.*", "user_map_key.*", "user_map_value.*")
+    return found.select("value.part").mapInArrow(_cells_opened, SESSION)
+
+
+def _cells_opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in batch["part"].to_pylist():
+            yield from pa.ipc.open_stream(part)
 
 
 class Slide:
